@@ -1,6 +1,7 @@
 """The registered query set: Spark builders and their DuckDB oracle SQL.
 
-Every builder takes ``(spark, base_dir)`` and reads whole driver tables.
+Every builder takes ``(spark, base_dir)`` and reads whole driver tables;
+``ORACLE`` holds the equivalent DuckDB SQL for the keys that have one.
 """
 
 from __future__ import annotations
@@ -10,15 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from flowlog.config import MiningConfig
-from flowlog.operators import transitions as tr
-from flowlog.plans import sample_logs as logs
-from flowlog.plans.oracle_sql import EVENT_ORDER, mining, with_logs
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
 ORACLE: dict[str, str] = {}
 
 CFG = MiningConfig()
+AS_OF = "2026-03-31"
+NOISE = 0.2
+SALT = "flowlog-demo-salt"
 
 
 def register(name: str, sql: str | None = None):
@@ -30,23 +31,17 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-# ---------------------------------------------------------------- MN3 / MN4
-_BOTTLENECK_SQL = with_logs("log_a") + f""",
-s AS (SELECT source, activity, timestamp,
-             lag(activity) OVER w AS prev_activity, lag(timestamp) OVER w AS prev_ts
-      FROM {mining('log_a')} l
-      WINDOW w AS (PARTITION BY case_id, source ORDER BY {EVENT_ORDER})),
-t AS (SELECT source, strftime(timestamp, '%Y-%m') AS month, prev_activity AS from_activity,
-             activity AS to_activity,
-             date_diff('microsecond', prev_ts, timestamp) / 60000000.0 AS minutes
-      FROM s WHERE prev_activity IS NOT NULL),
-b AS (SELECT source, month, from_activity, to_activity,
-             round(avg(minutes), 4) AS mean_min, round(median(minutes), 4) AS median_min,
-             round(stddev_samp(minutes), 4) AS std_min, count(*) AS n,
-             round(100.0 * stddev_samp(minutes) / nullif(avg(minutes), 0), 1) AS cv_pct
-      FROM t GROUP BY source, month, from_activity, to_activity)"""
-
-
-@register("mn_bottleneck", _BOTTLENECK_SQL + "\nSELECT * FROM b")
-def mn_bottleneck(spark, d):
-    return tr.bottlenecks(logs.session_log(spark, d), CFG)
+MODULES = ("q_eventlog", "q_mining", "q_model", "q_quality", "q_io")
+
+
+def _load() -> None:
+    import importlib
+    import importlib.util
+
+    for m in MODULES:
+        name = f"flowlog.plans.{m}"
+        if importlib.util.find_spec(name) is not None:
+            importlib.import_module(name)
+
+
+_load()
