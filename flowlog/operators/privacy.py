@@ -42,14 +42,14 @@ def generalise_birth_date(df: DataFrame, column: str, as_of: _dt.date | str,
 
 
 def apply_policy(df: DataFrame, policy: ColumnPolicy, salt: str | None,
-                 as_of: _dt.date | str) -> DataFrame:
+                 as_of: _dt.date | str, date_format: str | None = None) -> DataFrame:
     """Drop, then hash, then generalise (AN5).  A missing salt raises before any plan is built."""
     if not salt:
         raise ValueError("a non-empty salt is required for pseudonymisation")
     out = drop_columns(df, policy.drop_columns)
     out = hash_columns(out, policy.hash_columns, salt)
     for c in policy.generalize_columns:
-        out = generalise_birth_date(out, c, as_of)
+        out = generalise_birth_date(out, c, as_of, fmt=date_format)
     return out
 
 
