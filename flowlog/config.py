@@ -73,16 +73,35 @@ class Rule:
     action: str = "warn"
 
 
+@dataclass(frozen=True)
+class SkewConfig:
+    """How ordered operators find and split hot keys (cases, users, files).
+
+    ``mode='detect'``: a ``sample_fraction`` sample estimates rows per key;
+    keys estimated at ``hot_rows`` or more (at most ``max_hot_keys`` of them,
+    the largest) are split into buckets of about ``bucket_rows`` rows along
+    the first sort column.  The hot-key table is bounded by ``max_hot_keys``
+    rows and is broadcast.  ``mode='off'``: no splitting.  ``mode='all'``:
+    every key is split (tests exercise the split path with it).
+    """
+
+    mode: str = "detect"
+    hot_rows: int = 2_000_000
+    sample_fraction: float = 0.01
+    bucket_rows: int = 250_000
+    max_hot_keys: int = 100_000
+
+
 @dataclass(frozen=True)
 class MiningConfig:
     """Knobs shared by the mining operators.
 
-    ``bucket`` is the time grain that splits one case into independently
-    sorted pieces, so a case holding a large share of all rows is spread over
-    many tasks.  ``approx`` switches exact percentiles to ``percentile_approx``.
+    ``skew`` controls how a case holding a large share of all rows is spread
+    over many tasks; ``approx`` switches exact percentiles to
+    ``percentile_approx``.
     """
 
-    bucket: str = "hour"
+    skew: SkewConfig = SkewConfig()
     approx: bool = False
     accuracy: int = 10000
     seeds: tuple[str, str] = ("flowlog-a", "flowlog-b")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from flowlog.config import CANONICAL_COLUMNS, TIE_BREAK, MiningConfig, SourceSpec
 from flowlog.functions import span_minutes
-from flowlog.operators.sequence import with_neighbors
+from flowlog.operators.sequence import assign_buckets, with_neighbors
 
 
 def _col(v, default_type: str = "string") -> Column:
@@ -112,30 +112,27 @@ def event_order(log: DataFrame) -> list[str]:
     return ["timestamp"] + [c for c in TIE_BREAK if c in log.columns]
 
 
-def bucket_of(cfg: MiningConfig, ts: str = "timestamp") -> Column:
-    return F.date_trunc(cfg.bucket, F.col(ts))
-
-
 def case_steps(log: DataFrame, cfg: MiningConfig = MiningConfig(), by: Sequence[str] = ("case_id",),
                carry: Sequence[str] = ("activity", "timestamp"), lags: Sequence[int] = (1,),
                leads: Sequence[int] = ()) -> DataFrame:
     """The shared "steps" base: neighbours and position of each event inside ``by``."""
     view = mining_view(log)
     return with_neighbors(view, list(by), event_order(view), list(carry), lags=lags,
-                          leads=leads, bucket=bucket_of(cfg))
+                          leads=leads, skew=cfg.skew)
 
 
 def traces(log: DataFrame, cfg: MiningConfig = MiningConfig(),
            fields: Sequence[str] = ("activity", "timestamp")) -> DataFrame:
     """One row per case with its ordered events as ``array<struct>`` (EL8).
 
-    Events are first gathered per (case, time bucket) - bounded pieces - and
-    the pieces are concatenated in bucket order, so no single sort holds a
-    whole hot case; the output row itself is the whole trace by definition.
+    Events are first gathered per (case, bucket) - a hot case is split into
+    bounded pieces - and the pieces are concatenated in bucket order, so no
+    single sort holds a whole hot case; the output row itself is the whole
+    trace by definition.
     """
     view = mining_view(log)
     order = event_order(view)
-    pieces = (view.withColumn("_b", bucket_of(cfg))
+    pieces = (assign_buckets(view, ["case_id"], "timestamp", cfg.skew)
               .groupBy("case_id", "_b")
               .agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order],
                                                         *[F.col(f).alias(f"_f_{f}") for f in fields])))

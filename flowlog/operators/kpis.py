@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from flowlog.config import MiningConfig
 from flowlog.functions import minutes_between, month_key
-from flowlog.operators.eventlog import bucket_of, event_order, mining_view
+from flowlog.operators.eventlog import event_order, mining_view
 from flowlog.operators.sequence import with_neighbors
 
 
@@ -15,7 +15,7 @@ def journey_kpis(log: DataFrame, cfg: MiningConfig = MiningConfig(), digits: int
     mean / median case duration in minutes and mean events per case."""
     view = mining_view(log)
     steps = with_neighbors(view, ["case_id"], event_order(view), ["activity"], lags=(),
-                           bucket=bucket_of(cfg))
+                           skew=cfg.skew)
     per_case = steps.groupBy("case_id").agg(
         F.min("timestamp").alias("_start"), F.max("timestamp").alias("_end"),
         F.count(F.lit(1)).alias("_events"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowlog.config import MiningConfig
-from flowlog.operators.eventlog import bucket_of, event_order, mining_view
+from flowlog.operators.eventlog import event_order, mining_view
 from flowlog.operators.sequence import with_neighbors, with_prefix_xor
 
 # Names of the virtual start and end activities.
@@ -41,15 +41,13 @@ def edge_steps(log: DataFrame, cfg: MiningConfig = MiningConfig(), scope: str =
     view = mining_view(log)
     by = ["case_id", "source"] if scope == "source" else ["case_id"]
     order = event_order(view)
-    steps = with_neighbors(view, by, order, ["activity"], lags=(1,), leads=(1,),
-                           bucket=bucket_of(cfg))
+    steps = with_neighbors(view, by, order, ["activity"], lags=(1,), leads=(1,), skew=cfg.skew)
     if with_prefix:
         s1, s2 = cfg.seeds
         steps = steps.withColumns({
             "_h1": F.xxhash64(F.lit(s1), "activity", "_pos"),
             "_h2": F.xxhash64(F.lit(s2), "activity", "_pos")})
-        steps = with_prefix_xor(steps, by, order, F.col("_h1"), "_x1")
-        steps = with_prefix_xor(steps, by, order, F.col("_h2"), "_x2")
+        steps = with_prefix_xor(steps, by, order, {"_x1": F.col("_h1"), "_x2": F.col("_h2")})
     seg: Column = F.col("source") if scope == "source" else F.lit("all" if scope == "log" else None)
     first = {"prev_activity": F.coalesce(F.col("_lag1.activity"), F.lit(START)),
              "activity": F.col("activity"), "step": F.col("_pos")}
@@ -113,8 +111,7 @@ def eventually_follows(log: DataFrame, cfg: MiningConfig = MiningConfig(),
     """
     view = mining_view(log)
     by = ["case_id", "source"] if scope == "source" else ["case_id"]
-    steps = with_neighbors(view, by, event_order(view), ["activity"], lags=(),
-                           bucket=bucket_of(cfg))
+    steps = with_neighbors(view, by, event_order(view), ["activity"], lags=(), skew=cfg.skew)
     seg = F.col("source") if scope == "source" else F.lit("all" if scope == "log" else None)
     pos = steps.groupBy("case_id", seg.cast("string").alias("segment"), "activity").agg(
         F.min("_pos").alias("first_pos"), F.max("_pos").alias("last_pos"))

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from flowlog.config import SkewConfig
 from flowlog.operators.sequence import forward_fill
 
 # Fixed value: a time of day written HH:mm:ss.
@@ -32,17 +33,16 @@ def positional_projection(df: DataFrame, keep: Sequence[str], names: Sequence[st
 
 def fill_group_headers(df: DataFrame, rules: dict[str, tuple[Column, Column]],
                        order: str = "row_no", by: Sequence[str] = ("file",),
-                       rows_per_bucket: int = 1_000_000) -> DataFrame:
+                       skew: SkewConfig = SkewConfig()) -> DataFrame:
     """Carry group-header values down to the rows that follow (RS3).
 
     ``rules`` maps an output column to (is-header predicate, value).  A value
     persists until the next header of the same kind (it is not reset by other
-    headers).  Large files are split into row-number buckets so one huge file
-    is not one task.
+    headers).  A huge file is split into row-number buckets so it is not
+    one task.
     """
     values = {name: F.when(pred, val) for name, (pred, val) in rules.items()}
-    bucket = F.floor(F.col(order) / F.lit(rows_per_bucket))
-    return forward_fill(df, list(by), [order], values, bucket=bucket)
+    return forward_fill(df, list(by), [order], values, skew=skew)
 
 
 def normalise_layouts(df: DataFrame, probes: Sequence[tuple[str, dict[str, str]]],

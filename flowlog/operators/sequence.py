@@ -1,20 +1,22 @@
 """Order-dependent operators that stay balanced when one key is huge.
 
 A plain ``Window.partitionBy(case)`` sends every row of a case to one task;
-if one case (or report file, or user) holds a third of all rows, that task
-does a third of the job.  Here every ordered key is split into *buckets* - a
-monotone function of the sort key, such as the hour of the timestamp - and:
-
-1. the window runs per (key, bucket), which spreads a hot key over many tasks;
-2. each bucket contributes only its first/last few rows (bounded) to a small
-   bucket table, ordered per key by bucket, which supplies what crosses a
-   bucket border (neighbours, running offsets, carried values);
-3. the bucket table is joined back on (key, bucket); the event side keeps its
-   partitioning, AQE may broadcast the bucket table when it is small and
-   splits skewed join partitions otherwise.
-
-The bucket table has one row per non-empty (key, bucket) pair, so its per-key
-size is bounded by the key's time span over the bucket grain, not its row count.
+if one case (or user, or report file) holds a third of all rows, that task
+does a third of the job.  Here:
+
+1. A sample estimates rows per key; keys above a threshold ("hot") get an
+   origin and a bucket width along the first sort column (the time axis).
+   The hot-key table is capped at ``max_hot_keys`` rows and broadcast.
+2. Every row gets a bucket: ``floor((axis - origin) / width)`` for hot keys,
+   0 otherwise.  The window runs per (key, bucket), so a hot key is spread
+   over many tasks while ordinary keys see one plain window.
+3. Only hot keys need values that cross a bucket border (neighbours,
+   running offsets, carried values).  Their buckets contribute their first
+   and last few rows (bounded) to a small bucket table, ordered per key by
+   bucket, which is joined back; ordinary rows find no match and keep their
+   in-bucket values, which are already final.
+
+Results do not depend on the bucketing - only the work distribution does.
 """
 
 from __future__ import annotations
@@ -22,6 +24,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
+
+from flowlog.config import SkewConfig
 
 
 def sort_keys(order_by: Sequence) -> list[Column]:
@@ -34,38 +39,86 @@ def _empty_like(arr: Column) -> Column:
     return F.filter(arr, lambda x: F.lit(False))
 
 
-def _join_buckets(events: DataFrame, buckets: DataFrame, keys: Sequence[str],
-                  bucket: str) -> DataFrame:
-    """Null-safe equi-join of the bucket table onto the events."""
-    renamed = buckets
+def _axis(df: DataFrame, name: str) -> Column:
+    """A numeric position along column ``name`` (micros, days or the value)."""
+    dtype = df.schema[name].dataType
+    c = F.col(name)
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c) \
+            .cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(dtype, T.NumericType):
+        return c.cast("double")
+    raise TypeError(f"cannot bucket along a {dtype} column")
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
+                    broadcast: bool = False) -> DataFrame:
+    renamed = right
     cond = []
-    for i, k in enumerate([*keys, bucket]):
-        alias = f"_jk{i}"
-        renamed = renamed.withColumnRenamed(k, alias)
-        cond.append(events[k].eqNullSafe(renamed[alias]))
-    joined = events.join(renamed, cond, "inner")
-    return joined.drop(*[f"_jk{i}" for i in range(len(keys) + 1)])
-
-
-def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequence,
-                   carry: Sequence[str], lags: Sequence[int] = (1,),
-                   leads: Sequence[int] = (), bucket: Column | None = None,
+    for i, k in enumerate(keys):
+        renamed = renamed.withColumnRenamed(k, f"_jk{i}")
+        cond.append(left[k].eqNullSafe(renamed[f"_jk{i}"]))
+    if broadcast:
+        renamed = F.broadcast(renamed)
+    return left.join(renamed, cond, how).drop(*[f"_jk{i}" for i in range(len(keys))])
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], axis_col: str, skew: SkewConfig) -> DataFrame | None:
+    """(keys, _h0 origin, _hw bucket width) for keys estimated to be hot."""
+    if skew.mode == "off":
+        return None
+    axis = _axis(df, axis_col)
+    frac = 1.0 if skew.mode == "all" else skew.sample_fraction
+    src = df.select(*keys, axis.alias("_ax")).filter(F.col("_ax").isNotNull())
+    if frac < 1.0:
+        src = src.sample(fraction=frac, seed=17)
+    g = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hc"), F.min("_ax").alias("_h0"),
+                               F.max("_ax").alias("_h1"))
+    est = F.col("_hc") / F.lit(frac)
+    if skew.mode == "all":
+        rows = max(1, skew.bucket_rows)
+        g = g.filter(F.col("_hc") >= 1)
+    else:
+        rows = skew.bucket_rows
+        g = g.filter(est >= F.lit(skew.hot_rows)).orderBy(est.desc()).limit(skew.max_hot_keys)
+    width = F.greatest(F.lit(1.0), (F.col("_h1") - F.col("_h0")) * F.lit(float(rows)) / est)
+    return g.select(*keys, "_h0", width.alias("_hw"))
+
+
+def assign_buckets(df: DataFrame, keys: Sequence[str], axis_col: str, skew: SkewConfig,
                    bucket_col: str = "_b") -> DataFrame:
+    """Add ``bucket_col`` (0 for ordinary keys) and ``_hot`` (key is split)."""
+    hot = hot_keys(df, keys, axis_col, skew)
+    if hot is None:
+        return df.withColumns({bucket_col: F.lit(0).cast("long"), "_hot": F.lit(False)})
+    d = _null_safe_join(df, hot, keys, "left", broadcast=(skew.mode != "all"))
+    bucket = F.when(F.col("_hw").isNotNull(),
+                    F.floor((_axis(d, axis_col) - F.col("_h0")) / F.col("_hw")).cast("long")) \
+        .otherwise(F.lit(0).cast("long"))
+    return d.withColumns({bucket_col: bucket, "_hot": F.col("_hw").isNotNull()}).drop("_h0", "_hw")
+
+
+def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
+                   carry: Sequence[str], lags: Sequence[int] = (1,), leads: Sequence[int] = (),
+                   skew: SkewConfig = SkewConfig(), bucket_col: str = "_b") -> DataFrame:
     """Add ``_pos`` (1-based rank in the key), ``_cnt`` (rows of the key) and
     ``_lag{k}`` / ``_lead{k}`` structs of the ``carry`` columns.
 
-    ``order_by`` must be total within a key for deterministic results, and
-    ``bucket`` must be non-decreasing along it (e.g. ``date_trunc`` of the
-    first sort column).  ``bucket=None`` uses one bucket per key.
+    ``order_by`` (column names, ascending, nulls last) must be total within a
+    key for deterministic results; its first column is the bucketing axis.
+    The output keeps ``bucket_col`` and ``_hot`` for follow-up passes.
     """
     keys = list(partition_by)
     kl = max(lags, default=0)
     kd = max(leads, default=0)
-    b = bucket if bucket is not None else F.lit(0)
+    d = assign_buckets(df, keys, order_by[0], skew, bucket_col)
     w_in = Window.partitionBy(*keys, bucket_col).orderBy(*sort_keys(order_by))
     w_all = Window.partitionBy(*keys, bucket_col)
-
-    d = df.withColumn(bucket_col, b).withColumn("_pl", F.struct(*[F.col(c) for c in carry]))
+    d = d.withColumn("_pl", F.struct(*[F.col(c) for c in carry]))
     cols = {"_rn": F.row_number().over(w_in), "_n": F.count(F.lit(1)).over(w_all)}
     for k in lags:
         cols[f"_lag{k}_in"] = F.lag("_pl", k).over(w_in)
@@ -73,7 +126,8 @@ def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequenc
         cols[f"_lead{k}_in"] = F.lead("_pl", k).over(w_in)
     d = d.withColumns(cols)
 
-    edge = (F.col("_rn") <= max(kd, 1)) | (F.col("_rn") > F.col("_n") - kl)
+    # bucket table: hot keys only, first/last rows of each bucket
+    edge = F.col("_hot") & ((F.col("_rn") <= max(kd, 1)) | (F.col("_rn") > F.col("_n") - kl))
     per_bucket = (
         d.filter(edge)
         .groupBy(*keys, bucket_col)
@@ -85,11 +139,10 @@ def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequenc
     bcols = {
         "_off": F.coalesce(F.sum("_bn").over(w_b.rowsBetween(Window.unboundedPreceding, -1)),
                            F.lit(0).cast("long")),
-        "_cnt": F.sum("_bn").over(Window.partitionBy(*keys)),
+        "_kcnt": F.sum("_bn").over(Window.partitionBy(*keys)),
     }
     if kl:
-        tail = F.transform(F.filter("_edge", lambda x: x["rn"] > F.col("_bn") - kl),
-                           lambda x: x["pl"])
+        tail = F.transform(F.filter("_edge", lambda x: x["rn"] > F.col("_bn") - kl), lambda x: x["pl"])
         per_bucket = per_bucket.withColumn("_tail", tail)
         bcols["_ptail"] = F.concat(*[
             F.coalesce(F.lag("_tail", j).over(w_b), _empty_like(F.col("_tail")))
@@ -102,8 +155,9 @@ def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequenc
             for j in range(1, kd + 1)])
     per_bucket = per_bucket.withColumns(bcols).select(*keys, bucket_col, *bcols.keys())
 
-    out = _join_buckets(d, per_bucket, keys, bucket_col)
-    final = {"_pos": F.col("_off") + F.col("_rn")}
+    out = _null_safe_join(d, per_bucket, [*keys, bucket_col], "left")
+    final = {"_pos": F.coalesce(F.col("_off"), F.lit(0).cast("long")) + F.col("_rn"),
+             "_cnt": F.coalesce(F.col("_kcnt"), F.col("_n"))}
     for k in lags:
         final[f"_lag{k}"] = F.when(F.col("_rn") > k, F.col(f"_lag{k}_in")).otherwise(
             F.try_element_at(F.col("_ptail"), (F.col("_rn") - k - 1).cast("int")))
@@ -111,68 +165,63 @@ def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequenc
         final[f"_lead{k}"] = F.when(F.col("_rn") + k <= F.col("_n"), F.col(f"_lead{k}_in")).otherwise(
             F.try_element_at(F.col("_nhead"), (F.col("_rn") + k - F.col("_n")).cast("int")))
     out = out.withColumns(final)
-    drop = ["_pl", "_rn", "_n", "_off", "_ptail", "_nhead"]
+    drop = ["_pl", "_rn", "_n", "_off", "_kcnt", "_ptail", "_nhead"]
     drop += [f"_lag{k}_in" for k in lags] + [f"_lead{k}_in" for k in leads]
     return out.drop(*[c for c in drop if c in out.columns])
 
 
 def with_prefix_xor(df: DataFrame, partition_by: Sequence[str], order_by: Sequence,
-                    value: Column, out_col: str, bucket_col: str = "_b",
+                    values: dict[str, Column], bucket_col: str = "_b",
                     inclusive: bool = False) -> DataFrame:
-    """Running ``bit_xor`` of ``value`` along the order (exclusive by default).
+    """Running ``bit_xor`` of each value along the order (exclusive by default).
 
-    Needs the bucket column left by :func:`with_neighbors`.  XOR is
+    Needs ``bucket_col`` and ``_hot`` left by :func:`with_neighbors`.  XOR is
     associative and commutative, so bucket totals combine exactly.
     """
     keys = list(partition_by)
     w_in = Window.partitionBy(*keys, bucket_col).orderBy(*sort_keys(order_by))
     frame = w_in.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    d = df.withColumn("_xv", value).withColumn(
-        "_xin", F.coalesce(F.bit_xor("_xv").over(frame), F.lit(0).cast("long")))
-    per_bucket = d.groupBy(*keys, bucket_col).agg(F.bit_xor("_xv").alias("_bx"))
-    w_b = Window.partitionBy(*keys).orderBy(bucket_col)
-    per_bucket = per_bucket.select(
-        *keys, bucket_col,
-        F.coalesce(F.bit_xor("_bx").over(w_b.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0).cast("long")).alias("_xoff"))
-    out = _join_buckets(d, per_bucket, keys, bucket_col)
-    return out.withColumn(out_col, F.col("_xin").bitwiseXOR(F.col("_xoff"))).drop("_xv", "_xin", "_xoff")
+    d = df.withColumns({f"_xv_{n}": v for n, v in values.items()})
+    d = d.withColumns({f"_xin_{n}": F.coalesce(F.bit_xor(f"_xv_{n}").over(frame), F.lit(0).cast("long"))
+                       for n in values})
+    per_bucket = d.filter(F.col("_hot")).groupBy(*keys, bucket_col).agg(
+        *[F.bit_xor(f"_xv_{n}").alias(f"_bx_{n}") for n in values])
+    w_b = Window.partitionBy(*keys).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = per_bucket.select(*keys, bucket_col, *[
+        F.bit_xor(f"_bx_{n}").over(w_b).alias(f"_xoff_{n}") for n in values])
+    out = _null_safe_join(d, per_bucket, [*keys, bucket_col], "left")
+    out = out.withColumns({n: F.col(f"_xin_{n}").bitwiseXOR(F.coalesce(F.col(f"_xoff_{n}"), F.lit(0).cast("long")))
+                           for n in values})
+    return out.drop(*[f"{p}{n}" for n in values for p in ("_xv_", "_xin_", "_xoff_")])
 
 
-def forward_fill(df: DataFrame, partition_by: Sequence[str], order_by: Sequence,
-                 values: dict[str, Column], bucket: Column | None = None,
+def forward_fill(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
+                 values: dict[str, Column], skew: SkewConfig = SkewConfig(),
                  bucket_col: str = "_b") -> DataFrame:
     """Carry the last non-null of each ``values`` expression forward (RS3).
 
-    Inside a bucket ``last(ignorenulls)`` over a running frame; across buckets
-    the last non-null value of earlier buckets, from the bucket table.
+    Inside a bucket ``last(ignorenulls)`` over a running frame; across the
+    buckets of a hot key, the last non-null value of earlier buckets.
     """
     keys = list(partition_by)
-    b = bucket if bucket is not None else F.lit(0)
+    d = assign_buckets(df, keys, order_by[0], skew, bucket_col)
     w_in = Window.partitionBy(*keys, bucket_col).orderBy(*sort_keys(order_by)) \
         .rowsBetween(Window.unboundedPreceding, 0)
-    raw = {f"_ff_{name}": expr for name, expr in values.items()}
-    d = df.withColumn(bucket_col, b).withColumns(raw)
+    d = d.withColumns({f"_ff_{name}": expr for name, expr in values.items()})
     d = d.withColumns({f"_in_{name}": F.last(f"_ff_{name}", ignorenulls=True).over(w_in)
                        for name in values})
-    # the last non-null value in each bucket, taken at its own row order
-    per_bucket = d.groupBy(*keys, bucket_col).agg(*[
-        F.max_by(F.col(f"_ff_{name}"),
-                 F.when(F.col(f"_ff_{name}").isNotNull(), F.struct(*sort_keys_values(order_by))))
+    order_struct = F.struct(*[F.col(c) for c in order_by])
+    per_bucket = d.filter(F.col("_hot")).groupBy(*keys, bucket_col).agg(*[
+        F.max_by(F.col(f"_ff_{name}"), F.when(F.col(f"_ff_{name}").isNotNull(), order_struct))
         .alias(f"_bl_{name}") for name in values])
     w_b = Window.partitionBy(*keys).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = per_bucket.select(*keys, bucket_col, *[
         F.last(f"_bl_{name}", ignorenulls=True).over(w_b).alias(f"_carry_{name}") for name in values])
-    out = _join_buckets(d, per_bucket, keys, bucket_col)
+    out = _null_safe_join(d, per_bucket, [*keys, bucket_col], "left")
     out = out.withColumns({name: F.coalesce(F.col(f"_in_{name}"), F.col(f"_carry_{name}"))
                            for name in values})
     drop = [p + name for name in values for p in ("_ff_", "_in_", "_carry_")]
-    return out.drop(*drop, bucket_col)
-
-
-def sort_keys_values(order_by: Sequence) -> list[Column]:
-    """Sort columns as plain values (ascending), for ``max_by`` ordering structs."""
-    return [F.col(c) if isinstance(c, str) else c for c in order_by]
+    return out.drop(*drop, bucket_col, "_hot")
 
 
 def global_rank(df: DataFrame, order_by: Sequence, out_col: str = "rank") -> DataFrame:

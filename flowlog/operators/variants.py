@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window, functions as F
 
 from flowlog.config import MiningConfig
-from flowlog.operators.eventlog import bucket_of, event_order, mining_view, variant_fingerprints
+from flowlog.operators.eventlog import event_order, mining_view, variant_fingerprints
 from flowlog.operators.sequence import global_rank, with_neighbors
 
 ARROW = " → "
@@ -17,7 +17,7 @@ def _sequences(view: DataFrame, cases: DataFrame, cfg: MiningConfig) -> DataFram
     """Activity string of the given cases, built from per-bucket pieces."""
     picked = view.join(cases, "case_id", "left_semi")
     steps = with_neighbors(picked, ["case_id"], event_order(picked), ["activity"], lags=(),
-                           bucket=bucket_of(cfg))
+                           skew=cfg.skew)
     pieces = steps.groupBy("case_id", "_b").agg(
         F.min("_pos").alias("_p0"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "activity"))),

@@ -13,7 +13,7 @@ from flowlog.operators import cleanse, privacy, quality as dq, reports as rs
 from flowlog.operators.sequence import forward_fill
 from flowlog.plans import sample_logs as logs
 from flowlog.plans.oracle_sql import with_logs
-from flowlog.plans.registry import AS_OF, SALT, register
+from flowlog.plans.registry import AS_OF, CFG, SALT, register
 
 LINE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -277,7 +277,7 @@ def rs_forward_fill(spark, d):
     ev = spark.read.parquet(f"{d}/events.parquet").select("event_id", "user_id", "ts", "event_type", "value")
     filled = forward_fill(ev, ["user_id"], ["ts", "event_id"],
                           {"last_signup_value": F.when(F.col("event_type") == "signup", F.col("value"))},
-                          bucket=F.date_trunc("day", "ts"))
+                          skew=CFG.skew)
     return filled.drop("value")
 
 

@@ -10,13 +10,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowlog.config import MiningConfig
+import os
+
+from flowlog.config import MiningConfig, SkewConfig
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
 ORACLE: dict[str, str] = {}
 
-CFG = MiningConfig()
+# FLOWLOG_SKEW_MODE / FLOWLOG_BUCKET_ROWS let tests force the hot-key split path.
+CFG = MiningConfig(skew=SkewConfig(
+    mode=os.environ.get("FLOWLOG_SKEW_MODE", "detect"),
+    bucket_rows=int(os.environ.get("FLOWLOG_BUCKET_ROWS", str(SkewConfig().bucket_rows)))))
 AS_OF = "2026-03-31"
 NOISE = 0.2
 SALT = "flowlog-demo-salt"
