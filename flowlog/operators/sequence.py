@@ -55,16 +55,12 @@ def _axis(df: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot bucket along a {dtype} column")
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
-                    broadcast: bool = False) -> DataFrame:
-    renamed = right
-    cond = []
-    for i, k in enumerate(keys):
-        renamed = renamed.withColumnRenamed(k, f"_jk{i}")
-        cond.append(left[k].eqNullSafe(renamed[f"_jk{i}"]))
-    if broadcast:
-        renamed = F.broadcast(renamed)
-    return left.join(renamed, cond, how).drop(*[f"_jk{i}" for i in range(len(keys))])
+def _left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
+               broadcast: bool = False) -> DataFrame:
+    """Plain equi left join on column names, so the join keys line up with the
+    window's hash partitioning and the large side is not shuffled again.
+    Null keys never match; they are never hot either (see :func:`hot_keys`)."""
+    return left.join(F.broadcast(right) if broadcast else right, list(keys), "left")
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], axis_col: str, skew: SkewConfig) -> DataFrame | None:
@@ -74,6 +70,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], axis_col: str, skew: SkewConfig
     axis = _axis(df, axis_col)
     frac = 1.0 if skew.mode == "all" else skew.sample_fraction
     src = df.select(*keys, axis.alias("_ax")).filter(F.col("_ax").isNotNull())
+    for k in keys:
+        src = src.filter(F.col(k).isNotNull())
     if frac < 1.0:
         src = src.sample(fraction=frac, seed=17)
     g = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hc"), F.min("_ax").alias("_h0"),
@@ -95,7 +93,7 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], axis_col: str, skew: Skew
     hot = hot_keys(df, keys, axis_col, skew)
     if hot is None:
         return df.withColumns({bucket_col: F.lit(0).cast("long"), "_hot": F.lit(False)})
-    d = _null_safe_join(df, hot, keys, "left", broadcast=(skew.mode != "all"))
+    d = _left_join(df, hot, keys, broadcast=(skew.mode != "all"))
     bucket = F.when(F.col("_hw").isNotNull(),
                     F.floor((_axis(d, axis_col) - F.col("_h0")) / F.col("_hw")).cast("long")) \
         .otherwise(F.lit(0).cast("long"))
@@ -116,8 +114,8 @@ def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequenc
     kl = max(lags, default=0)
     kd = max(leads, default=0)
     d = assign_buckets(df, keys, order_by[0], skew, bucket_col)
-    w_in = Window.partitionBy(*keys, bucket_col).orderBy(*sort_keys(order_by))
-    w_all = Window.partitionBy(*keys, bucket_col)
+    w_in = Window.partitionBy(*keys, bucket_col, "_hot").orderBy(*sort_keys(order_by))
+    w_all = Window.partitionBy(*keys, bucket_col, "_hot")
     d = d.withColumn("_pl", F.struct(*[F.col(c) for c in carry]))
     cols = {"_rn": F.row_number().over(w_in), "_n": F.count(F.lit(1)).over(w_all)}
     for k in lags:
@@ -130,7 +128,7 @@ def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequenc
     edge = F.col("_hot") & ((F.col("_rn") <= max(kd, 1)) | (F.col("_rn") > F.col("_n") - kl))
     per_bucket = (
         d.filter(edge)
-        .groupBy(*keys, bucket_col)
+        .groupBy(*keys, bucket_col, "_hot")
         .agg(F.max("_n").alias("_bn"),
              F.array_sort(F.collect_list(F.struct(F.col("_rn").alias("rn"),
                                                   F.col("_pl").alias("pl")))).alias("_edge"))
@@ -153,9 +151,9 @@ def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequenc
         bcols["_nhead"] = F.concat(*[
             F.coalesce(F.lead("_head", j).over(w_b), _empty_like(F.col("_head")))
             for j in range(1, kd + 1)])
-    per_bucket = per_bucket.withColumns(bcols).select(*keys, bucket_col, *bcols.keys())
+    per_bucket = per_bucket.withColumns(bcols).select(*keys, bucket_col, "_hot", *bcols.keys())
 
-    out = _null_safe_join(d, per_bucket, [*keys, bucket_col], "left")
+    out = _left_join(d, per_bucket, [*keys, bucket_col, "_hot"])
     final = {"_pos": F.coalesce(F.col("_off"), F.lit(0).cast("long")) + F.col("_rn"),
              "_cnt": F.coalesce(F.col("_kcnt"), F.col("_n"))}
     for k in lags:
@@ -179,17 +177,17 @@ def with_prefix_xor(df: DataFrame, partition_by: Sequence[str], order_by: Sequen
     associative and commutative, so bucket totals combine exactly.
     """
     keys = list(partition_by)
-    w_in = Window.partitionBy(*keys, bucket_col).orderBy(*sort_keys(order_by))
+    w_in = Window.partitionBy(*keys, bucket_col, "_hot").orderBy(*sort_keys(order_by))
     frame = w_in.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     d = df.withColumns({f"_xv_{n}": v for n, v in values.items()})
     d = d.withColumns({f"_xin_{n}": F.coalesce(F.bit_xor(f"_xv_{n}").over(frame), F.lit(0).cast("long"))
                        for n in values})
-    per_bucket = d.filter(F.col("_hot")).groupBy(*keys, bucket_col).agg(
+    per_bucket = d.filter(F.col("_hot")).groupBy(*keys, bucket_col, "_hot").agg(
         *[F.bit_xor(f"_xv_{n}").alias(f"_bx_{n}") for n in values])
     w_b = Window.partitionBy(*keys).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.select(*keys, bucket_col, *[
+    per_bucket = per_bucket.select(*keys, bucket_col, "_hot", *[
         F.bit_xor(f"_bx_{n}").over(w_b).alias(f"_xoff_{n}") for n in values])
-    out = _null_safe_join(d, per_bucket, [*keys, bucket_col], "left")
+    out = _left_join(d, per_bucket, [*keys, bucket_col, "_hot"])
     out = out.withColumns({n: F.col(f"_xin_{n}").bitwiseXOR(F.coalesce(F.col(f"_xoff_{n}"), F.lit(0).cast("long")))
                            for n in values})
     return out.drop(*[f"{p}{n}" for n in values for p in ("_xv_", "_xin_", "_xoff_")])
@@ -205,19 +203,19 @@ def forward_fill(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     """
     keys = list(partition_by)
     d = assign_buckets(df, keys, order_by[0], skew, bucket_col)
-    w_in = Window.partitionBy(*keys, bucket_col).orderBy(*sort_keys(order_by)) \
+    w_in = Window.partitionBy(*keys, bucket_col, "_hot").orderBy(*sort_keys(order_by)) \
         .rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumns({f"_ff_{name}": expr for name, expr in values.items()})
     d = d.withColumns({f"_in_{name}": F.last(f"_ff_{name}", ignorenulls=True).over(w_in)
                        for name in values})
     order_struct = F.struct(*[F.col(c) for c in order_by])
-    per_bucket = d.filter(F.col("_hot")).groupBy(*keys, bucket_col).agg(*[
+    per_bucket = d.filter(F.col("_hot")).groupBy(*keys, bucket_col, "_hot").agg(*[
         F.max_by(F.col(f"_ff_{name}"), F.when(F.col(f"_ff_{name}").isNotNull(), order_struct))
         .alias(f"_bl_{name}") for name in values])
     w_b = Window.partitionBy(*keys).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.select(*keys, bucket_col, *[
+    per_bucket = per_bucket.select(*keys, bucket_col, "_hot", *[
         F.last(f"_bl_{name}", ignorenulls=True).over(w_b).alias(f"_carry_{name}") for name in values])
-    out = _null_safe_join(d, per_bucket, [*keys, bucket_col], "left")
+    out = _left_join(d, per_bucket, [*keys, bucket_col, "_hot"])
     out = out.withColumns({name: F.coalesce(F.col(f"_in_{name}"), F.col(f"_carry_{name}"))
                            for name in values})
     drop = [p + name for name in values for p in ("_ff_", "_in_", "_carry_")]
