@@ -51,37 +51,58 @@ class SilverSpec:
 
 
 def build_silver(bronze: DataFrame, spec: SilverSpec) -> DataFrame:
-    """Apply a :class:`SilverSpec`; ``drop`` rules remove rows, ``warn`` rules only report."""
+    """Apply a :class:`SilverSpec`; ``drop`` rules remove rows, ``warn`` rules only report.
+
+    Columns the spec names but the export lacks are skipped (a flag over a
+    missing column sees null), so one spec serves exports of varying width.
+    """
     df = bronze
     for c, v in spec.filters:
         df = df.filter(F.col(c) == v)
     if spec.renames:
         df = df.withColumnsRenamed(dict(spec.renames))
+    present = set(df.columns)
+
+    def col(c):
+        return F.col(f"`{c}`")
+
     cols: dict = {}
     for c, pattern, repl in spec.repairs:
-        cols[c] = F.regexp_replace(cols.get(c, F.col(f"`{c}`")), pattern, repl)
+        if c in present:
+            cols[c] = F.regexp_replace(cols.get(c, col(c)), pattern, repl)
     for c in spec.sentinels:
-        cols[c] = nullify(cols.get(c, F.col(f"`{c}`")))
+        if c in present:
+            cols[c] = nullify(cols.get(c, col(c)))
     if cols:
         df = df.withColumns(cols)
     typed: dict = {}
     for out, d, t, fmt in spec.combine:
-        typed[out] = combine_date_time(d, t, fmt)
+        if d in present:
+            typed[out] = combine_date_time(col(d), col(t) if t in present else F.lit(None), fmt)
     for out, src, fmt in spec.derive:
-        typed[out] = parse_timestamp(F.col(f"`{src}`"), fmt)
+        if src in present:
+            typed[out] = parse_timestamp(col(src), fmt)
     for fmt, names in spec.timestamps:
         for c in names:
-            src = respace_datetime(F.col(f"`{c}`")) if c in spec.respace else F.col(f"`{c}`")
-            typed[c] = parse_timestamp(src, fmt)
+            if c in present:
+                src = respace_datetime(col(c)) if c in spec.respace else col(c)
+                typed[c] = parse_timestamp(src, fmt)
     for fmt, names in spec.dates:
         for c in names:
-            typed[c] = parse_date(F.col(f"`{c}`"), fmt)
+            if c in present:
+                typed[c] = parse_date(col(c), fmt)
     for c in spec.ints:
-        typed[c] = parse_int(F.col(f"`{c}`"))
+        if c in present:
+            typed[c] = parse_int(col(c))
     if typed:
         df = df.withColumns(typed)
-    flags = {n: violation_flag(a, b) for n, a, b in spec.violation_flags}
-    flags.update({n: ok_flag(a, b) for n, a, b in spec.ok_flags})
+    have = set(df.columns)
+
+    def ts(c):
+        return col(c) if c in have else F.lit(None).cast("timestamp")
+
+    flags = {n: violation_flag(ts(a), ts(b)) for n, a, b in spec.violation_flags}
+    flags.update({n: ok_flag(ts(a), ts(b)) for n, a, b in spec.ok_flags})
     if flags:
         df = df.withColumns(flags)
     df = dq.apply_expectations(df, [r for r in spec.rules if r.action == "drop"])
@@ -91,8 +112,20 @@ def build_silver(bronze: DataFrame, spec: SilverSpec) -> DataFrame:
 
 
 def silver_metrics(silver: DataFrame, spec: SilverSpec) -> DataFrame:
-    """Expectation results of one Silver table (computed on its output, after dedup)."""
-    return dq.expectation_metrics(silver, spec.name, spec.rules)
+    """Expectation results of one Silver table (computed on its output, after dedup).
+
+    Rules over columns the table lacks are skipped.
+    """
+    cols = set(silver.columns)
+    rules = [r for r in spec.rules
+             if all(tok in cols for tok in _identifiers(r.predicate))]
+    return dq.expectation_metrics(silver, spec.name, rules)
+
+
+def _identifiers(predicate: str) -> list[str]:
+    import re
+    words = re.findall(r"[A-Za-z_][A-Za-z0-9_]*", predicate)
+    return [w for w in words if w.upper() not in {"IS", "NOT", "NULL", "OR", "AND", "TRUE", "FALSE"}]
 
 
 def _flag_rule(flag: str, a: str, b: str, polarity: str) -> Rule:

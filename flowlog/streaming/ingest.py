@@ -74,5 +74,13 @@ def ingest_all(spark: SparkSession, sources: Sequence[IngestSource], bronze_root
 
 
 def read_bronze(spark: SparkSession, bronze_root: str, table: str) -> DataFrame:
-    """Scan a bronze table; ``mergeSchema`` unifies files written under evolving headers (IO5)."""
+    """Scan a bronze table; ``mergeSchema`` unifies files written under evolving headers (IO5).
+
+    Schema evolution: when an export gains columns, restart the table's
+    stream (same checkpoint) with the wider ``IngestSource.columns``; files
+    already ingested are not re-read, new files land with the new columns,
+    and rows of a file that does not fit the declared header are kept in
+    ``_rescued_data``.  One stream and one checkpoint per table: two streams
+    writing to one sink path would collide on the sink's batch log.
+    """
     return spark.read.option("mergeSchema", "true").parquet(os.path.join(bronze_root, table))
