@@ -335,3 +335,59 @@ def rs_day_month_swap(spark, d):
     raw = o.select("o_orderkey", typed.alias("typed"), text.alias("text"))
     return raw.select("o_orderkey",
                       rs.repair_timestamp(F.col("typed"), F.col("text")).cast("timestamp_ntz").alias("repaired"))
+
+
+# ---------------------------------------------------------------- RS2 and the Silver builder
+@register("rs_projection", """
+SELECT CAST(c_custkey AS VARCHAR) AS ATEND, c_name AS NM_PACIENTE, CAST(c_nationkey AS VARCHAR) AS CD_EXAME
+FROM customer WHERE NOT (c_acctbal < 0)""")
+def rs_projection(spark, d):
+    kept = rs.numeric_key_rows(_customer_report(spark, d), "c0")
+    return rs.positional_projection(kept.withColumn("c0", F.trim("c0")), ["c0", "c1", "c2"],
+                                    ["ATEND", "NM_PACIENTE", "CD_EXAME"])
+
+
+def _lineitem_text(spark, d):
+    li = spark.read.parquet(f"{d}/lineitem.parquet")
+    orders = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_orderdate")
+    j = li.join(orders, li.l_orderkey == orders.o_orderkey, "left").drop("o_orderkey")
+    return j.select(*[F.col(c).cast("string").alias(c.upper()) for c in j.columns],
+                    F.lit(None).cast("string").alias("_rescued_data"),
+                    F.lit("lineitem.csv").alias("_source_file"))
+
+
+def _line_spec():
+    from flowlog.plans.hospital import ISO_SECONDS, SilverSpec
+    return SilverSpec(
+        name="silver_lineitem", bronze="lineitem",
+        filters=(("L_LINESTATUS", "F"),),
+        repairs=(("L_RETURNFLAG", "N", "none"),),
+        timestamps=((ISO_SECONDS, ("L_SHIPDATE", "O_ORDERDATE")),),
+        ints=("L_LINENUMBER",),
+        violation_flags=(("flag_ship_before_order", "O_ORDERDATE", "L_SHIPDATE"),),
+        rules=(Rule("line_present", "L_LINENUMBER IS NOT NULL", "drop"),),
+        dedup_keys=("L_ORDERKEY", "L_LINENUMBER"), dedup_order="L_SHIPDATE", dedup_ascending=False,
+        drops=("L_TAX", "_rescued_data", "_source_file"))
+
+
+@register("dd_silver_builder", """
+SELECT CAST(l_orderkey AS VARCHAR) AS L_ORDERKEY, l_linenumber AS L_LINENUMBER,
+       CAST(l_partkey AS VARCHAR) AS L_PARTKEY, rf AS L_RETURNFLAG, l_shipdate AS L_SHIPDATE,
+       o_orderdate AS O_ORDERDATE, coalesce(o_orderdate > l_shipdate, false) AS flag_ship_before_order
+FROM (SELECT *, replace(l_returnflag, 'N', 'none') AS rf,
+             row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                ORDER BY l_shipdate DESC NULLS LAST, CAST(l_partkey AS VARCHAR),
+                                         CAST(l_suppkey AS VARCHAR), CAST(l_quantity AS VARCHAR),
+                                         CAST(l_extendedprice AS VARCHAR), CAST(l_discount AS VARCHAR),
+                                         CAST(l_tax AS VARCHAR), replace(l_returnflag, 'N', 'none'),
+                                         l_linestatus, o_orderdate) AS rn
+      FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+      WHERE l_linestatus = 'F') WHERE rn = 1""")
+def dd_silver_builder(spark, d):
+    """The generic Silver builder (filter, repair, parse, flag, drop rule, dedup, drop) on lineitem text."""
+    from flowlog.plans.hospital import build_silver
+    s = build_silver(_lineitem_text(spark, d), _line_spec())
+    return s.select("L_ORDERKEY", "L_LINENUMBER", "L_PARTKEY", "L_RETURNFLAG",
+                    F.col("L_SHIPDATE").cast("timestamp_ntz").alias("L_SHIPDATE"),
+                    F.col("O_ORDERDATE").cast("timestamp_ntz").alias("O_ORDERDATE"),
+                    "flag_ship_before_order")
