@@ -36,7 +36,7 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-MODULES = ("q_eventlog", "q_mining", "q_model", "q_quality", "q_io")
+MODULES = ("q_eventlog", "q_mining", "q_model", "q_quality", "q_io", "q_hospital")
 
 
 def _load() -> None:
