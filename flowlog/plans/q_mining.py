@@ -32,7 +32,8 @@ def mn_bottleneck(spark, d):
 
 
 @register("mn_bottleneck_report",
-          _BOTTLENECK + "\nSELECT * FROM b WHERE n >= 30 AND from_activity <> to_activity")
+          _BOTTLENECK + "\nSELECT *, from_activity || ' → ' || to_activity AS transition FROM b "
+          "WHERE n >= 30 AND from_activity <> to_activity")
 def mn_bottleneck_report(spark, d):
     return tr.bottleneck_report(tr.bottlenecks(logs.session_log(spark, d), CFG), min_support=30)
 
