@@ -8,22 +8,26 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from flowlog.config import MiningConfig
 from flowlog.operators.eventlog import event_order, mining_view, variant_fingerprints
-from flowlog.operators.sequence import global_rank, with_neighbors
+from flowlog.operators.sequence import assign_buckets, global_rank
 
 ARROW = " → "
 
 
 def _sequences(view: DataFrame, cases: DataFrame, cfg: MiningConfig) -> DataFrame:
-    """Activity string of the given cases, built from per-bucket pieces."""
+    """Activity string of the given cases, built from per-bucket pieces.
+
+    Each (case, bucket) piece is a sorted ``collect_list`` (bounded by the
+    hot-key threshold or the bucket size); pieces are joined in bucket order.
+    """
     picked = view.join(cases, "case_id", "left_semi")
-    steps = with_neighbors(picked, ["case_id"], event_order(picked), ["activity"], lags=(),
-                           skew=cfg.skew)
-    pieces = steps.groupBy("case_id", "_b").agg(
-        F.min("_pos").alias("_p0"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "activity"))),
-                                 lambda x: x["activity"]), ARROW).alias("_piece"))
+    order = event_order(picked)
+    pieces = (assign_buckets(picked, ["case_id"], "timestamp", cfg.skew)
+              .groupBy("case_id", "_b")
+              .agg(F.array_join(F.transform(
+                  F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order], F.col("activity").alias("_a")))),
+                  lambda x: x["_a"]), ARROW).alias("_piece")))
     return pieces.groupBy("case_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_p0", "_piece"))),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_b", "_piece"))),
                                  lambda x: x["_piece"]), ARROW).alias("sequence"))
 
 
