@@ -75,6 +75,7 @@ def run(spark: SparkSession, bronze: Context, as_of: _dt.date | str, out_root: s
             if name in partition:
                 writer = writer.partitionBy(*partition[name])
             writer.parquet(path)
-            df = spark.read.parquet(path)
+            # the schema is given so an empty result (no files) still reads back
+            df = spark.read.schema(df.schema).parquet(path).select(*df.columns)
         ctx[name] = df
     return ctx

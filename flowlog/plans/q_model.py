@@ -131,3 +131,33 @@ SELECT fit.segment AS source, fitness, precision, total_traces, fit.month
 FROM fit JOIN prec USING (segment, month)""")
 def cf_conformance_b(spark, d):
     return cf.conformance(logs.order_log(spark, d), CFG, noise_threshold=NOISE, scope="case")
+
+
+def _edges_sql_source(log: str) -> str:
+    """Steps per (case, source) - only the source's own events - with segment = source."""
+    return with_logs(log) + f""",
+ev AS (SELECT case_id, source AS segment, activity,
+              row_number() OVER w AS pos, count(*) OVER (PARTITION BY case_id, source) AS cnt,
+              lag(activity) OVER w AS prev
+       FROM {mining(log)} l WINDOW w AS (PARTITION BY case_id, source ORDER BY {EVENT_ORDER})),
+edges AS (SELECT segment, case_id, coalesce(prev, '[start]') AS prev_activity, activity FROM ev
+          UNION ALL SELECT segment, case_id, activity, '[end]' FROM ev WHERE pos = cnt),
+dfg AS (SELECT segment, prev_activity, activity, count(*) AS n_events, count(DISTINCT case_id) AS n_cases
+        FROM edges GROUP BY ALL),
+model AS (SELECT segment, prev_activity, activity FROM (
+            SELECT *, max(n_events) OVER (PARTITION BY segment, prev_activity) AS mx FROM dfg)
+          WHERE n_events >= {NOISE} * mx)"""
+
+
+@register("cf_dfg_source", _edges_sql_source("log_b") + "\nSELECT * FROM dfg")
+def cf_dfg_source(spark, d):
+    return md.dfg(md.edge_steps(logs.order_log(spark, d), CFG, scope="source"))
+
+
+@register("cf_fitness_source", _edges_sql_source("log_b") + """
+SELECT segment, round(1.0 - count(*) FILTER (WHERE m.activity IS NULL) / count(*), 4) AS fitness,
+       count(*) AS steps, count(*) FILTER (WHERE m.activity IS NULL) AS disallowed
+FROM edges e LEFT JOIN model m USING (segment, prev_activity, activity) GROUP BY segment""")
+def cf_fitness_source(spark, d):
+    edges = md.edge_steps(logs.order_log(spark, d), CFG, scope="source")
+    return cf.fitness(edges, md.filtered_model(md.dfg(edges), NOISE))

@@ -81,3 +81,20 @@ def test_gold_sources_have_38_literal_activities(spark):
     specs = h.gold_sources()
     literal = sum(len(s.events) for s in specs.values())
     assert literal == 38
+
+
+def test_pipeline_writes_and_rereads_every_stage(spark, tmp_path):
+    out = str(tmp_path / "tables")
+    ctx = pipeline.run(spark, {"bronze_atendimento_emergencia_raw": _emergency(spark),
+                               "bronze_movimentacoes_raw": _moves(spark),
+                               "bronze_internacoes_raw": _inpatient(spark)},
+                       as_of="2026-03-31", out_root=out)
+    import os
+    written = set(os.listdir(out))
+    assert {"silver_atendimento_emergencia", "gold_event_log", "gold_data_quality", "gold_variant_analysis",
+            "gold_bottleneck", "gold_performance_spectrum", "gold_conformance", "gold_sna_handover",
+            "gold_sna_subcontracting"} <= written
+    assert "gold_case_attributes" not in written  # its epidemiology input is absent
+    assert ctx["gold_event_log"].count() == 20
+    assert ctx["gold_conformance"].filter("fitness = 1.0").count() == ctx["gold_conformance"].count()
+    assert pipeline.silver_expectations(ctx).count() > 0
