@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from flowlog.config import MiningConfig
 from flowlog.functions import month_key
 from flowlog.operators.eventlog import mining_view
-from flowlog.operators.model import dfg, edge_steps, filtered_model
+from flowlog.operators.model import _segments, edge_steps, edge_weights, filtered_model, step_counts
 
 
 def _allowed(edges: DataFrame, model: DataFrame) -> DataFrame:
@@ -29,12 +29,15 @@ def _case_month(log: DataFrame) -> DataFrame:
 
 def fitness(edges: DataFrame, model: DataFrame, by: tuple[str, ...] = ("segment",),
             digits: int = 4) -> DataFrame:
-    """``1 - disallowed steps / all steps`` per ``by`` (CF6)."""
+    """``1 - disallowed steps / all steps`` per ``by`` (CF6); steps may be pre-counted (``n``)."""
     marked = _allowed(edges, model)
+    w = F.col("n") if "n" in edges.columns else F.lit(1)
+    bad = F.sum(F.when(~F.col("allowed"), w).otherwise(F.lit(0)))
+    total = F.sum(w)
     return marked.groupBy(*by).agg(
-        F.round(1.0 - F.count_if(~F.col("allowed")) / F.count(F.lit(1)), digits).alias("fitness"),
-        F.count(F.lit(1)).alias("steps"),
-        F.count_if(~F.col("allowed")).alias("disallowed"))
+        F.round(1.0 - bad / total, digits).alias("fitness"),
+        total.cast("long").alias("steps"),
+        bad.cast("long").alias("disallowed"))
 
 
 def case_fitness(edges: DataFrame, model: DataFrame, digits: int = 4) -> DataFrame:
@@ -49,8 +52,9 @@ def precision(edges: DataFrame, model: DataFrame, by: tuple[str, ...] = ("segmen
     Prefix groups are keyed by (length, two 64-bit fingerprints); their
     successor sets are bounded by the activity vocabulary.
     """
+    w = F.col("n") if "n" in edges.columns else F.lit(1)
     prefixes = edges.groupBy(*by, "plen", "px1", "px2", "prev_activity").agg(
-        F.count(F.lit(1)).alias("_n"), F.collect_set("activity").alias("_taken"))
+        F.sum(w).alias("_n"), F.collect_set("activity").alias("_taken"))
     enabled = model.groupBy("segment", "prev_activity").agg(F.collect_set("activity").alias("_en"))
     j = prefixes.join(enabled, ["segment", "prev_activity"], "left")
     e = F.coalesce(F.size("_en"), F.lit(0))
@@ -66,13 +70,24 @@ def conformance(log: DataFrame, cfg: MiningConfig = MiningConfig(), noise_thresh
     """Per (segment, month of the case's first event): fitness, precision, traces (CF8).
 
     One model per segment (all months); the month only splits the scoring.
+    The ordered step pass runs once: its steps are counted per (segment,
+    month, prefix, edge) into one aggregate that the model, fitness and
+    precision all read (Spark reuses its exchange), and trace counts come
+    from the log without the ordered pass.
     """
-    edges = edge_steps(log, cfg, scope=scope, with_prefix=True)
-    model = filtered_model(dfg(edges), noise_threshold)
-    edges_m = edges.join(_case_month(log), "case_id")
+    months = _case_month(log)
+    edges = edge_steps(log, cfg, scope=scope, with_prefix=True).join(months, "case_id")
     by = ("segment", "month")
-    fit = fitness(edges_m, model, by=by, digits=digits).drop("steps", "disallowed")
-    prec = precision(edges_m, model, by=by, digits=digits)
-    traces = edges_m.groupBy(*by).agg(F.count_distinct("case_id").alias("total_traces"))
+    counts = step_counts(edges, by, prefix=True)
+    model = filtered_model(edge_weights(counts), noise_threshold)
+    fit = fitness(counts, model, by=by, digits=digits).drop("steps", "disallowed")
+    prec = precision(counts, model, by=by, digits=digits)
+    view = mining_view(log)
+    if scope == "log":
+        segs = view.select("case_id", F.lit("all").alias("segment")).distinct()
+    else:
+        segs = _segments(view, "case") if scope == "case" else \
+            view.select("case_id", F.col("source").alias("segment")).distinct()
+    traces = segs.join(months, "case_id").groupBy(*by).agg(F.count(F.lit(1)).alias("total_traces"))
     return fit.join(prec, list(by)).join(traces, list(by)).select(
         F.col("segment").alias("source"), "fitness", "precision", "total_traces", "month")

@@ -68,13 +68,29 @@ def edge_steps(log: DataFrame, cfg: MiningConfig = MiningConfig(), scope: str =
 
 
 def dfg(edges: DataFrame) -> DataFrame:
-    """Directly-follows graph per segment: step and case counts per edge (CF1)."""
+    """Directly-follows graph per segment: step and case counts per edge (CF1).
+
+    Accepts raw steps or pre-counted steps (a weight column ``n``).
+    """
+    weight = F.col("n") if "n" in edges.columns else F.lit(1)
     per_case = edges.groupBy("segment", "prev_activity", "activity", "case_id").agg(
-        F.count(F.lit(1)).alias("_n"))
+        F.sum(weight).alias("_n"))
     return per_case.groupBy("segment", "prev_activity", "activity").agg(
         F.sum("_n").alias("n_events"), F.count(F.lit(1)).alias("n_cases"))
 
 
+def step_counts(edges: DataFrame, by: tuple[str, ...] = ("segment",), prefix: bool = False) -> DataFrame:
+    """Steps counted per (``by``, [prefix], prev, activity): one shared aggregate that
+    model discovery, fitness and precision all read (weight column ``n``)."""
+    keys = [*by, *(["plen", "px1", "px2"] if prefix else []), "prev_activity", "activity"]
+    return edges.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def edge_weights(counts: DataFrame) -> DataFrame:
+    """Edge weights per segment from :func:`step_counts` (no case counts)."""
+    return counts.groupBy("segment", "prev_activity", "activity").agg(F.sum("n").alias("n_events"))
+
+
 def start_end(graph: DataFrame) -> DataFrame:
     """Start and end activities with their counts (CF2)."""
     starts = graph.filter(F.col("prev_activity") == START).select(
