@@ -97,12 +97,14 @@ class MiningConfig:
     """Knobs shared by the mining operators.
 
     ``skew`` controls how a case holding a large share of all rows is spread
-    over many tasks; ``approx`` switches exact percentiles to
-    ``percentile_approx``.
+    over many tasks; exact percentiles use the ``percentile`` aggregate for
+    groups up to ``quantile_rows`` values and a distributed sort above it;
+    ``approx`` switches to ``percentile_approx``.
     """
 
     skew: SkewConfig = SkewConfig()
     approx: bool = False
     accuracy: int = 10000
+    quantile_rows: int = 5_000_000
     seeds: tuple[str, str] = ("flowlog-a", "flowlog-b")
     extra: dict = field(default_factory=dict)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from flowlog.config import MiningConfig
 from flowlog.functions import minutes_between, month_key
 from flowlog.operators.eventlog import event_order, mining_view
+from flowlog.operators.quantiles import grouped_quantiles, join_on_keys
 from flowlog.operators.sequence import with_neighbors
 
 
@@ -20,13 +21,17 @@ def journey_kpis(log: DataFrame, cfg: MiningConfig = MiningConfig(), digits: int
         F.min("timestamp").alias("_start"), F.max("timestamp").alias("_end"),
         F.count(F.lit(1)).alias("_events"),
         F.min_by("specialty", "_pos").alias("specialty"))
-    per_case = per_case.withColumn("_dur", minutes_between("_start", "_end"))
-    g = per_case.groupBy(month_key("_start").alias("month"), "specialty").agg(
+    per_case = per_case.withColumns({"_dur": minutes_between("_start", "_end"),
+                                     "month": month_key("_start")})
+    keys = ["month", "specialty"]
+    g = per_case.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("cases"),
         F.round(F.avg("_dur"), digits).alias("mean_duration_min"),
-        F.round(F.percentile(F.col("_dur"), F.lit(0.5)), digits).alias("median_duration_min"),
         F.round(F.avg("_events"), digits).alias("mean_events"))
-    return g
+    med = grouped_quantiles(per_case, keys, "_dur", {"_med": 0.5}, cfg.quantile_rows)
+    out = join_on_keys(g, med, keys, "left")
+    return out.select(*keys, "cases", "mean_duration_min",
+                      F.round(F.col("_med"), digits).alias("median_duration_min"), "mean_events")
 
 
 def patient_journeys(log: DataFrame, case_patient: DataFrame, digits: int = 4) -> DataFrame:

@@ -7,16 +7,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 from flowlog.config import MiningConfig
 from flowlog.functions import minutes_between, month_key, weekday_label
 from flowlog.operators.eventlog import case_steps
+from flowlog.operators.quantiles import grouped_quantiles, join_on_keys
 
 
 def _round(c: Column, digits: int | None) -> Column:
     return c if digits is None else F.round(c, digits)
 
 
-def _quantile(c: str, q: float, cfg: MiningConfig) -> Column:
+def _with_quantiles(t: DataFrame, keys: list[str], value: str, quantiles: dict[str, float],
+                    aggs: list[Column], cfg: MiningConfig) -> DataFrame:
+    """Plain aggregates plus quantiles per group; exact quantiles stay bounded per task."""
     if cfg.approx:
-        return F.percentile_approx(c, q, cfg.accuracy).cast("double")
-    return F.percentile(F.col(c), F.lit(q))
+        return t.groupBy(*keys).agg(*aggs, *[
+            F.percentile_approx(value, q, cfg.accuracy).cast("double").alias(n) for n, q in quantiles.items()])
+    base = t.groupBy(*keys).agg(*aggs)
+    qs = grouped_quantiles(t, keys, value, quantiles, cfg.quantile_rows)
+    return join_on_keys(base, qs, keys, "left")
 
 
 def bottlenecks(log: DataFrame, cfg: MiningConfig = MiningConfig(), digits: int | None = 4) -> DataFrame:
@@ -34,12 +40,10 @@ def bottlenecks(log: DataFrame, cfg: MiningConfig = MiningConfig(), digits: int
         F.col("activity").alias("to_activity"),
         minutes_between(F.col("_lag1.timestamp"), F.col("timestamp")).alias("minutes"),
     )
-    agg = t.groupBy("source", "month", "from_activity", "to_activity").agg(
-        F.avg("minutes").alias("_mean"),
-        _quantile("minutes", 0.5, cfg).alias("_median"),
-        F.stddev_samp("minutes").alias("_std"),
-        F.count(F.lit(1)).alias("n"),
-    )
+    agg = _with_quantiles(
+        t, ["source", "month", "from_activity", "to_activity"], "minutes", {"_median": 0.5},
+        [F.avg("minutes").alias("_mean"), F.stddev_samp("minutes").alias("_std"),
+         F.count(F.lit(1)).alias("n")], cfg)
     return agg.select(
         "source", "month", "from_activity", "to_activity",
         _round(F.col("_mean"), digits).alias("mean_min"),
@@ -88,12 +92,9 @@ def performance_spectrum(log: DataFrame, cfg: MiningConfig = MiningConfig(),
         weekday_label("timestamp").alias("weekday"),
         minutes_between(F.col("timestamp"), F.col("_lead1.timestamp")).alias("minutes"),
     ).filter(F.col("minutes") >= 0)
-    agg = t.groupBy("activity", "next_activity", "month", "weekday").agg(
-        F.count(F.lit(1)).alias("n"),
-        _quantile("minutes", 0.5, cfg).alias("_median"),
-        _quantile("minutes", 0.25, cfg).alias("_p25"),
-        _quantile("minutes", 0.75, cfg).alias("_p75"),
-    )
+    agg = _with_quantiles(
+        t, ["activity", "next_activity", "month", "weekday"], "minutes",
+        {"_median": 0.5, "_p25": 0.25, "_p75": 0.75}, [F.count(F.lit(1)).alias("n")], cfg)
     return agg.select("activity", "next_activity", "month", "weekday", "n",
                       _round(F.col("_median"), digits).alias("median_min"),
                       _round(F.col("_p25"), digits).alias("p25_min"),

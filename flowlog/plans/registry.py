@@ -18,10 +18,12 @@ Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
 ORACLE: dict[str, str] = {}
 
-# FLOWLOG_SKEW_MODE / FLOWLOG_BUCKET_ROWS let tests force the hot-key split path.
-CFG = MiningConfig(skew=SkewConfig(
-    mode=os.environ.get("FLOWLOG_SKEW_MODE", "detect"),
-    bucket_rows=int(os.environ.get("FLOWLOG_BUCKET_ROWS", str(SkewConfig().bucket_rows)))))
+# FLOWLOG_SKEW_MODE / FLOWLOG_BUCKET_ROWS / FLOWLOG_QUANTILE_ROWS let tests force the
+# hot-key split path and the sort-based quantile path.
+CFG = MiningConfig(
+    skew=SkewConfig(mode=os.environ.get("FLOWLOG_SKEW_MODE", "detect"),
+                    bucket_rows=int(os.environ.get("FLOWLOG_BUCKET_ROWS", str(SkewConfig().bucket_rows)))),
+    quantile_rows=int(os.environ.get("FLOWLOG_QUANTILE_ROWS", str(MiningConfig().quantile_rows))))
 AS_OF = "2026-03-31"
 NOISE = 0.2
 SALT = "flowlog-demo-salt"
