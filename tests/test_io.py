@@ -1,7 +1,6 @@
 import os
 import uuid
 
-import pyspark.sql.functions as F
 
 from flowlog.operators.eventlog import mining_view
 from flowlog.plans import sample_logs
@@ -78,4 +77,3 @@ def test_xes_round_trip_is_lossless(spark):
     assert back.exceptAll(orig).count() == 0 and orig.exceptAll(back).count() == 0
     months = [d for d in os.listdir(path) if d.startswith("month=")]
     assert months == ["month=2024-01"]
-    assert F is not None
