@@ -107,4 +107,5 @@ class MiningConfig:
     accuracy: int = 10000
     quantile_rows: int = 5_000_000
     seeds: tuple[str, str] = ("flowlog-a", "flowlog-b")
+    hot_cases: object = None   # precomputed hot-key table, see eventlog.with_hot_cases
     extra: dict = field(default_factory=dict)

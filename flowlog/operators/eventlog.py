@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from flowlog.config import CANONICAL_COLUMNS, TIE_BREAK, MiningConfig, SourceSpec
 from flowlog.functions import span_minutes
-from flowlog.operators.sequence import assign_buckets, with_neighbors
+from flowlog.operators.sequence import assign_buckets, hot_keys, with_neighbors
 
 
 def _col(v, default_type: str = "string") -> Column:
@@ -118,7 +118,17 @@ def case_steps(log: DataFrame, cfg: MiningConfig = MiningConfig(), by: Sequence[
     """The shared "steps" base: neighbours and position of each event inside ``by``."""
     view = mining_view(log)
     return with_neighbors(view, list(by), event_order(view), list(carry), lags=lags,
-                          leads=leads, skew=cfg.skew)
+                          leads=leads, skew=cfg.skew, hot=cfg.hot_cases)
+
+
+def with_hot_cases(log: DataFrame, cfg: MiningConfig = MiningConfig()) -> MiningConfig:
+    """A config carrying the log's hot-case table, sampled once and shared by
+    every ordered operator run on this log (instead of one sample per call)."""
+    from dataclasses import replace
+
+    if cfg.skew.mode == "off":
+        return cfg
+    return replace(cfg, hot_cases=hot_keys(mining_view(log), ["case_id"], "timestamp", cfg.skew))
 
 
 def traces(log: DataFrame, cfg: MiningConfig = MiningConfig(),
@@ -132,7 +142,7 @@ def traces(log: DataFrame, cfg: MiningConfig = MiningConfig(),
     """
     view = mining_view(log)
     order = event_order(view)
-    pieces = (assign_buckets(view, ["case_id"], "timestamp", cfg.skew)
+    pieces = (assign_buckets(view, ["case_id"], "timestamp", cfg.skew, hot=cfg.hot_cases)
               .groupBy("case_id", "_b")
               .agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order],
                                                         *[F.col(f).alias(f"_f_{f}") for f in fields])))

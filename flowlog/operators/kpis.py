@@ -16,7 +16,7 @@ def journey_kpis(log: DataFrame, cfg: MiningConfig = MiningConfig(), digits: int
     mean / median case duration in minutes and mean events per case."""
     view = mining_view(log)
     steps = with_neighbors(view, ["case_id"], event_order(view), ["activity"], lags=(),
-                           skew=cfg.skew)
+                           skew=cfg.skew, hot=cfg.hot_cases)
     per_case = steps.groupBy("case_id").agg(
         F.min("timestamp").alias("_start"), F.max("timestamp").alias("_end"),
         F.count(F.lit(1)).alias("_events"),

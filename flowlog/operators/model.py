@@ -41,7 +41,8 @@ def edge_steps(log: DataFrame, cfg: MiningConfig = MiningConfig(), scope: str =
     view = mining_view(log)
     by = ["case_id", "source"] if scope == "source" else ["case_id"]
     order = event_order(view)
-    steps = with_neighbors(view, by, order, ["activity"], lags=(1,), leads=(1,), skew=cfg.skew)
+    steps = with_neighbors(view, by, order, ["activity"], lags=(1,), leads=(1,), skew=cfg.skew,
+                           hot=cfg.hot_cases)
     if with_prefix:
         s1, s2 = cfg.seeds
         steps = steps.withColumns({
@@ -127,7 +128,8 @@ def eventually_follows(log: DataFrame, cfg: MiningConfig = MiningConfig(),
     """
     view = mining_view(log)
     by = ["case_id", "source"] if scope == "source" else ["case_id"]
-    steps = with_neighbors(view, by, event_order(view), ["activity"], lags=(), skew=cfg.skew)
+    steps = with_neighbors(view, by, event_order(view), ["activity"], lags=(), skew=cfg.skew,
+                           hot=cfg.hot_cases)
     seg = F.col("source") if scope == "source" else F.lit("all" if scope == "log" else None)
     pos = steps.groupBy("case_id", seg.cast("string").alias("segment"), "activity").agg(
         F.min("_pos").alias("first_pos"), F.max("_pos").alias("last_pos"))

@@ -88,12 +88,23 @@ def hot_keys(df: DataFrame, keys: Sequence[str], axis_col: str, skew: SkewConfig
 
 
 def assign_buckets(df: DataFrame, keys: Sequence[str], axis_col: str, skew: SkewConfig,
-                   bucket_col: str = "_b") -> DataFrame:
-    """Add ``bucket_col`` (0 for ordinary keys) and ``_hot`` (key is split)."""
-    hot = hot_keys(df, keys, axis_col, skew)
+                   bucket_col: str = "_b", hot: DataFrame | None = None) -> DataFrame:
+    """Add ``bucket_col`` (0 for ordinary keys) and ``_hot`` (key is split).
+
+    ``hot`` is an optional precomputed table from :func:`hot_keys`, keyed by a
+    subset of ``keys`` (e.g. hot cases reused for (case, source) keys: any
+    monotone bucketing is correct, so a case-level origin and width serve).
+    """
+    if hot is None:
+        hot = hot_keys(df, keys, axis_col, skew)
+        on = list(keys)
+    else:
+        on = [k for k in hot.columns if k not in ("_h0", "_hw")]
+        if not set(on) <= set(keys):
+            raise ValueError(f"hot-key table keyed by {on}, not a subset of {list(keys)}")
     if hot is None:
         return df.withColumns({bucket_col: F.lit(0).cast("long"), "_hot": F.lit(False)})
-    d = _left_join(df, hot, keys, broadcast=(skew.mode != "all"))
+    d = _left_join(df, hot, on, broadcast=(skew.mode != "all"))
     bucket = F.when(F.col("_hw").isNotNull(),
                     F.floor((_axis(d, axis_col) - F.col("_h0")) / F.col("_hw")).cast("long")) \
         .otherwise(F.lit(0).cast("long"))
@@ -102,7 +113,8 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], axis_col: str, skew: Skew
 
 def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
                    carry: Sequence[str], lags: Sequence[int] = (1,), leads: Sequence[int] = (),
-                   skew: SkewConfig = SkewConfig(), bucket_col: str = "_b") -> DataFrame:
+                   skew: SkewConfig = SkewConfig(), bucket_col: str = "_b",
+                   hot: DataFrame | None = None) -> DataFrame:
     """Add ``_pos`` (1-based rank in the key), ``_cnt`` (rows of the key) and
     ``_lag{k}`` / ``_lead{k}`` structs of the ``carry`` columns.
 
@@ -113,7 +125,7 @@ def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequenc
     keys = list(partition_by)
     kl = max(lags, default=0)
     kd = max(leads, default=0)
-    d = assign_buckets(df, keys, order_by[0], skew, bucket_col)
+    d = assign_buckets(df, keys, order_by[0], skew, bucket_col, hot)
     w_in = Window.partitionBy(*keys, bucket_col, "_hot").orderBy(*sort_keys(order_by))
     w_all = Window.partitionBy(*keys, bucket_col, "_hot")
     d = d.withColumn("_pl", F.struct(*[F.col(c) for c in carry]))

@@ -15,7 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from flowlog.config import MiningConfig
-from flowlog.operators import conformance as cf, network as sn, transitions as tr, variants as mv
+from flowlog.operators import conformance as cf, eventlog as el, network as sn, transitions as tr, \
+    variants as mv
 from flowlog.plans import hospital as h
 
 Context = dict[str, DataFrame]
@@ -62,11 +63,16 @@ def run(spark: SparkSession, bronze: Context, as_of: _dt.date | str, out_root: s
     partition = {"gold_bottleneck": ["month"], "gold_performance_spectrum": ["month"],
                  "gold_conformance": ["month"], "gold_sna_handover": ["month"],
                  "gold_sna_subcontracting": ["month"]}
-    for name, build in datasets(cfg, as_of, noise_threshold).items():
+    live = datasets(cfg, as_of, noise_threshold)
+    for name in list(live):
         if only is not None and name not in only:
             continue
+        if name == "gold_data_quality" and "gold_event_log" in ctx:
+            # one hot-case sample for every mining dataset of this log
+            cfg_log = el.with_hot_cases(ctx["gold_event_log"], cfg)
+            live.update(datasets(cfg_log, as_of, noise_threshold))
         try:
-            df = build(ctx)
+            df = live[name](ctx)
         except KeyError:
             continue  # an input of this dataset is absent
         if out_root:

@@ -107,7 +107,8 @@ def test_csv_files_to_gold_end_to_end(spark, tmp_path):
     from flowlog.session import checkpoint_dir
     from flowlog.streaming.ingest import IngestSource, ingest_all, read_bronze
 
-    root = os.path.join(checkpoint_dir(spark), "e2e", tmp_path.name)
+    import uuid
+    root = os.path.join(checkpoint_dir(spark), "e2e", uuid.uuid4().hex)
     land_in = os.path.join(root, "landing", "internacoes")
     land_mv = os.path.join(root, "landing", "movimentacoes")
     os.makedirs(land_in)

@@ -70,3 +70,18 @@ def test_global_rank_dense_and_total(spark):
     exp = [r.id for r in df.orderBy(F.col("g").desc(), F.col("id")).collect()]
     assert got == exp
     assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, 501))
+
+
+def test_shared_hot_case_table_gives_same_results(spark):
+    from flowlog.config import MiningConfig
+    from flowlog.operators import eventlog as el, transitions as tr, variants as mv
+    from flowlog.plans import sample_logs
+    from tests.conftest import SF001
+
+    log = sample_logs.session_log(spark, SF001)
+    forced = MiningConfig(skew=SkewConfig(mode="detect", hot_rows=5, sample_fraction=1.0, bucket_rows=2))
+    shared = el.with_hot_cases(log, forced)
+    assert shared.hot_cases.count() > 0
+    for build in (lambda c: tr.bottlenecks(log, c), lambda c: mv.variants(log, c, as_of="2026-03-31")):
+        a, b = build(MiningConfig()), build(shared)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
