@@ -42,14 +42,17 @@ def edge_steps(log: DataFrame, cfg: MiningConfig = MiningConfig(), scope: str =
     by = ["case_id", "source"] if scope == "source" else ["case_id"]
     order = event_order(view)
     steps = with_neighbors(view, by, order, ["activity"], lags=(1,), leads=(1,), skew=cfg.skew,
-                           hot=cfg.hot_cases)
+                           hot=cfg.hot_cases, key_sets=["source"] if scope == "case" else [])
     if with_prefix:
         s1, s2 = cfg.seeds
         steps = steps.withColumns({
             "_h1": F.xxhash64(F.lit(s1), "activity", "_pos"),
             "_h2": F.xxhash64(F.lit(s2), "activity", "_pos")})
         steps = with_prefix_xor(steps, by, order, {"_x1": F.col("_h1"), "_x2": F.col("_h2")})
-    seg: Column = F.col("source") if scope == "source" else F.lit("all" if scope == "log" else None)
+    # scope 'case': every source the case touches, from the same pass (no join)
+    seg: Column = {"source": F.col("source"), "log": F.lit("all")}.get(scope, F.col("_seg"))
+    if scope == "case":
+        steps = steps.withColumn("_seg", F.explode("_set_source"))
     first = {"prev_activity": F.coalesce(F.col("_lag1.activity"), F.lit(START)),
              "activity": F.col("activity"), "step": F.col("_pos")}
     last = {"prev_activity": F.col("activity"), "activity": F.lit(END), "step": F.col("_pos") + 1}
@@ -61,11 +64,7 @@ def edge_steps(log: DataFrame, cfg: MiningConfig = MiningConfig(), scope: str =
     mk = lambda d: F.struct(*[v.alias(k) for k, v in d.items()])
     items = F.when(F.col("_lead1").isNull(), F.array(mk(first), mk(last))).otherwise(F.array(mk(first)))
     out = steps.select("case_id", seg.cast("string").alias("segment"), F.explode(items).alias("_s"))
-    out = out.select("segment", "case_id", "_s.*")
-    segs = _segments(view, scope)
-    if segs is not None:
-        out = out.drop("segment").join(segs, "case_id")
-    return out
+    return out.select("segment", "case_id", "_s.*")
 
 
 def dfg(edges: DataFrame) -> DataFrame:
@@ -129,13 +128,12 @@ def eventually_follows(log: DataFrame, cfg: MiningConfig = MiningConfig(),
     view = mining_view(log)
     by = ["case_id", "source"] if scope == "source" else ["case_id"]
     steps = with_neighbors(view, by, event_order(view), ["activity"], lags=(), skew=cfg.skew,
-                           hot=cfg.hot_cases)
-    seg = F.col("source") if scope == "source" else F.lit("all" if scope == "log" else None)
+                           hot=cfg.hot_cases, key_sets=["source"] if scope == "case" else [])
+    if scope == "case":
+        steps = steps.withColumn("_seg", F.explode("_set_source"))
+    seg = {"source": F.col("source"), "log": F.lit("all")}.get(scope, F.col("_seg"))
     pos = steps.groupBy("case_id", seg.cast("string").alias("segment"), "activity").agg(
         F.min("_pos").alias("first_pos"), F.max("_pos").alias("last_pos"))
-    segs = _segments(view, scope)
-    if segs is not None:
-        pos = pos.drop("segment").join(segs, "case_id")
     a = pos.select("segment", "case_id", F.col("activity").alias("a"), "first_pos")
     b = pos.select("segment", "case_id", F.col("activity").alias("b"), "last_pos")
     pairs = a.join(b, ["segment", "case_id"]).filter(F.col("first_pos") < F.col("last_pos"))
