@@ -35,11 +35,22 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
 
 
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float],
-                      max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+                      max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
+                      bound: DataFrame | None = None) -> DataFrame:
     """(keys..., one column per ``quantiles`` entry); nulls are ignored; groups
-    without values are absent."""
+    without values are absent.
+
+    ``bound``: an optional cheap table with a column ``_ub`` whose largest
+    value bounds every group's size (e.g. event counts per activity and month,
+    computed from the log without the ordered pass).  When no ``_ub`` exceeds
+    ``max_group_rows`` - checked with one light ``isEmpty`` job - every group
+    is small and the plain aggregate is used, lazily and exactly.
+    """
     keys = list(keys)
     vals = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    if bound is not None and bound.filter(F.col("_ub") > max_group_rows).isEmpty():
+        return vals.groupBy(*keys).agg(
+            *[F.percentile(F.col("_v"), F.lit(q)).alias(name) for name, q in quantiles.items()])
     counts = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     big = counts.filter(F.col("_n") > max_group_rows)
     tagged = join_on_keys(vals, big, keys, "left")
