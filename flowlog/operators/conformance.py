@@ -70,24 +70,41 @@ def conformance(log: DataFrame, cfg: MiningConfig = MiningConfig(), noise_thresh
     """Per (segment, month of the case's first event): fitness, precision, traces (CF8).
 
     One model per segment (all months); the month only splits the scoring.
-    The ordered step pass runs once: its steps are counted per (segment,
-    month, prefix, edge) into one aggregate that the model, fitness and
-    precision all read (Spark reuses its exchange), and trace counts come
-    from the log without the ordered pass.
+    The ordered pass runs once and yields the case month itself; steps are
+    counted per (segment, month, prefix, edge), the model is read off those
+    counts, and one prefix-level table - each prefix with its successors and
+    their counts, bounded by the activity vocabulary - joined once with the
+    model's enabled sets gives both fitness and precision.
     """
-    months = _case_month(log)
-    edges = edge_steps(log, cfg, scope=scope, with_prefix=True).join(months, "case_id")
-    by = ("segment", "month")
-    counts = step_counts(edges, by, prefix=True)
+    if scope == "source":   # partitions are (case, source): the case month needs the whole case
+        edges = edge_steps(log, cfg, scope=scope, with_prefix=True).join(_case_month(log), "case_id")
+    else:
+        edges = edge_steps(log, cfg, scope=scope, with_prefix=True, with_month=True)
+    by = ["segment", "month"]
+    counts = step_counts(edges, tuple(by), prefix=True)
     model = filtered_model(edge_weights(counts), noise_threshold)
-    fit = fitness(counts, model, by=by, digits=digits).drop("steps", "disallowed")
-    prec = precision(counts, model, by=by, digits=digits)
+    enabled = model.groupBy("segment", "prev_activity").agg(F.collect_set("activity").alias("_en"))
+    prefixes = counts.groupBy(*by, "plen", "px1", "px2", "prev_activity").agg(
+        F.sum("n").alias("_n"), F.collect_list(F.struct("activity", "n")).alias("_succ"))
+    j = prefixes.join(enabled, ["segment", "prev_activity"], "left") \
+        .withColumn("_en", F.coalesce(F.col("_en"), F.array().cast("array<string>")))
+    e = F.size("_en")
+    t = F.size(F.array_intersect(F.transform("_succ", lambda x: x["activity"]), F.col("_en")))
+    ok = F.aggregate(F.filter("_succ", lambda x: F.array_contains(F.col("_en"), x["activity"])),
+                     F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+    scored = j.groupBy(*by).agg(
+        F.sum("_n").alias("_steps"), F.sum(ok).alias("_ok"),
+        F.sum(F.col("_n") * (e - t)).alias("_esc"), F.sum(F.col("_n") * e).alias("_den"))
+    fit = F.round(1.0 - (F.col("_steps") - F.col("_ok")) / F.col("_steps"), digits)
+    prec = F.round(F.when(F.col("_den") > 0, 1.0 - F.col("_esc") / F.col("_den")).otherwise(F.lit(1.0)),
+                   digits)
     view = mining_view(log)
     if scope == "log":
         segs = view.select("case_id", F.lit("all").alias("segment")).distinct()
     else:
         segs = _segments(view, "case") if scope == "case" else \
             view.select("case_id", F.col("source").alias("segment")).distinct()
-    traces = segs.join(months, "case_id").groupBy(*by).agg(F.count(F.lit(1)).alias("total_traces"))
-    return fit.join(prec, list(by)).join(traces, list(by)).select(
-        F.col("segment").alias("source"), "fitness", "precision", "total_traces", "month")
+    traces = segs.join(_case_month(log), "case_id").groupBy(*by).agg(F.count(F.lit(1)).alias("total_traces"))
+    return scored.join(traces, by).select(
+        F.col("segment").alias("source"), fit.alias("fitness"), prec.alias("precision"),
+        "total_traces", "month")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowlog.config import MiningConfig
+from flowlog.functions import month_key
 from flowlog.operators.eventlog import event_order, mining_view
 from flowlog.operators.sequence import with_neighbors, with_prefix_xor
 
@@ -26,7 +27,7 @@ def _segments(view: DataFrame, scope: str) -> DataFrame | None:
 
 
 def edge_steps(log: DataFrame, cfg: MiningConfig = MiningConfig(), scope: str = "case",
-               with_prefix: bool = False) -> DataFrame:
+               with_prefix: bool = False, with_month: bool = False) -> DataFrame:
     """One row per directly-follows step, START and END included.
 
     Columns: segment, case_id, prev_activity, activity, step (1..len+1) and,
@@ -36,13 +37,15 @@ def edge_steps(log: DataFrame, cfg: MiningConfig = MiningConfig(), scope: str =
 
     ``scope``: ``'case'`` - per source, the whole cases that touch it (the
     reference's behaviour); ``'source'`` - only that source's events;
-    ``'log'`` - one segment for the whole log.
+    ``'log'`` - one segment for the whole log.  ``with_month`` adds ``month``,
+    the month of the case's first event, from the same ordered pass.
     """
     view = mining_view(log)
     by = ["case_id", "source"] if scope == "source" else ["case_id"]
     order = event_order(view)
     steps = with_neighbors(view, by, order, ["activity"], lags=(1,), leads=(1,), skew=cfg.skew,
-                           hot=cfg.hot_cases, key_sets=["source"] if scope == "case" else [])
+                           hot=cfg.hot_cases, key_sets=["source"] if scope == "case" else [],
+                           key_mins=["timestamp"] if with_month and scope != "source" else [])
     if with_prefix:
         s1, s2 = cfg.seeds
         steps = steps.withColumns({
@@ -63,8 +66,9 @@ def edge_steps(log: DataFrame, cfg: MiningConfig = MiningConfig(), scope: str =
                      "px2": F.col("_x2").bitwiseXOR(F.col("_h2"))})
     mk = lambda d: F.struct(*[v.alias(k) for k, v in d.items()])
     items = F.when(F.col("_lead1").isNull(), F.array(mk(first), mk(last))).otherwise(F.array(mk(first)))
-    out = steps.select("case_id", seg.cast("string").alias("segment"), F.explode(items).alias("_s"))
-    return out.select("segment", "case_id", "_s.*")
+    extra = [month_key("_min_timestamp").alias("month")] if with_month and scope != "source" else []
+    out = steps.select("case_id", seg.cast("string").alias("segment"), *extra, F.explode(items).alias("_s"))
+    return out.select("segment", "case_id", *(["month"] if extra else []), "_s.*")
 
 
 def dfg(edges: DataFrame) -> DataFrame:

@@ -114,11 +114,14 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], axis_col: str, skew: Skew
 def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
                    carry: Sequence[str], lags: Sequence[int] = (1,), leads: Sequence[int] = (),
                    skew: SkewConfig = SkewConfig(), bucket_col: str = "_b",
-                   hot: DataFrame | None = None, key_sets: Sequence[str] = ()) -> DataFrame:
+                   hot: DataFrame | None = None, key_sets: Sequence[str] = (),
+                   key_mins: Sequence[str] = ()) -> DataFrame:
     """Add ``_pos`` (1-based rank in the key), ``_cnt`` (rows of the key) and
     ``_lag{k}`` / ``_lead{k}`` structs of the ``carry`` columns; for each
     column in ``key_sets`` (low-cardinality, e.g. the source) ``_set_{col}``,
-    the distinct values of the whole key, computed in the same pass.
+    the distinct values of the whole key, and for each column in
+    ``key_mins`` ``_min_{col}``, its minimum over the whole key - both
+    computed in the same pass (no join back to a per-key aggregate).
 
     ``order_by`` (column names, ascending, nulls last) must be total within a
     key for deterministic results; its first column is the bucketing axis.
@@ -134,6 +137,8 @@ def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequenc
     cols = {"_rn": F.row_number().over(w_in), "_n": F.count(F.lit(1)).over(w_all)}
     for c in key_sets:
         cols[f"_sin_{c}"] = F.collect_set(c).over(w_all)
+    for c in key_mins:
+        cols[f"_mnin_{c}"] = F.min(c).over(w_all)
     for k in lags:
         cols[f"_lag{k}_in"] = F.lag("_pl", k).over(w_in)
     for k in leads:
@@ -148,7 +153,8 @@ def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequenc
         .agg(F.max("_n").alias("_bn"),
              F.array_sort(F.collect_list(F.struct(F.col("_rn").alias("rn"),
                                                   F.col("_pl").alias("pl")))).alias("_edge"),
-             *[F.first(f"_sin_{c}").alias(f"_bset_{c}") for c in key_sets])
+             *[F.first(f"_sin_{c}").alias(f"_bset_{c}") for c in key_sets],
+             *[F.min(f"_mnin_{c}").alias(f"_bmin_{c}") for c in key_mins])
     )
     w_b = Window.partitionBy(*keys).orderBy(bucket_col)
     bcols = {
@@ -159,6 +165,8 @@ def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequenc
     for c in key_sets:
         bcols[f"_kset_{c}"] = F.array_distinct(F.flatten(
             F.collect_list(f"_bset_{c}").over(Window.partitionBy(*keys))))
+    for c in key_mins:
+        bcols[f"_kmin_{c}"] = F.min(f"_bmin_{c}").over(Window.partitionBy(*keys))
     if kl:
         tail = F.transform(F.filter("_edge", lambda x: x["rn"] > F.col("_bn") - kl), lambda x: x["pl"])
         per_bucket = per_bucket.withColumn("_tail", tail)
@@ -178,6 +186,8 @@ def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequenc
              "_cnt": F.coalesce(F.col("_kcnt"), F.col("_n"))}
     for c in key_sets:
         final[f"_set_{c}"] = F.coalesce(F.col(f"_kset_{c}"), F.col(f"_sin_{c}"))
+    for c in key_mins:
+        final[f"_min_{c}"] = F.coalesce(F.col(f"_kmin_{c}"), F.col(f"_mnin_{c}"))
     for k in lags:
         final[f"_lag{k}"] = F.when(F.col("_rn") > k, F.col(f"_lag{k}_in")).otherwise(
             F.try_element_at(F.col("_ptail"), (F.col("_rn") - k - 1).cast("int")))
@@ -187,6 +197,7 @@ def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequenc
     out = out.withColumns(final)
     drop = ["_pl", "_rn", "_n", "_off", "_kcnt", "_ptail", "_nhead"]
     drop += [p + c for c in key_sets for p in ("_sin_", "_kset_")]
+    drop += [p + c for c in key_mins for p in ("_mnin_", "_kmin_")]
     drop += [f"_lag{k}_in" for k in lags] + [f"_lead{k}_in" for k in leads]
     return out.drop(*[c for c in drop if c in out.columns])
 
