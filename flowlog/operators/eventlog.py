@@ -188,8 +188,7 @@ def log_stats(log: DataFrame, cfg: MiningConfig = MiningConfig()) -> DataFrame:
     """Events, cases and distinct variants of the mining view (EL11)."""
     view = mining_view(log)
     fps = variant_fingerprints(view, cfg)
-    events = view.agg(F.count(F.lit(1)).alias("n_events"), F.lit(1).alias("_k"))
-    per_case = fps.agg(F.count(F.lit(1)).alias("n_cases"),
-                       F.count_distinct("trace_len", "fp1", "fp2").alias("n_variants"),
-                       F.lit(1).alias("_k"))
-    return events.join(per_case, "_k").drop("_k")
+    n_events = view.agg(F.count(F.lit(1))).scalar()   # scalar subquery, evaluated once
+    return fps.agg(F.count(F.lit(1)).alias("n_cases"),
+                   F.count_distinct("trace_len", "fp1", "fp2").alias("n_variants")) \
+        .select(n_events.alias("n_events"), "n_cases", "n_variants")

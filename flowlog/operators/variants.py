@@ -49,8 +49,7 @@ def variants(log: DataFrame, cfg: MiningConfig = MiningConfig(),
     seqs = _sequences(view, groups.select("case_id"), cfg)
     table = groups.join(seqs, "case_id").select(
         "sequence", F.col("trace_len").cast("int").alias("n_events"), "n_cases")
-    total = fps.agg(F.count(F.lit(1)).alias("_total"), F.lit(1).alias("_k"))
-    table = table.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k").drop("_k")
+    table = table.withColumn("_total", fps.agg(F.count(F.lit(1))).scalar())  # scalar subquery
     ranked = global_rank(table, [F.col("n_cases").desc(), F.col("sequence").asc()])
     stamp = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     return ranked.select(
@@ -78,9 +77,8 @@ def variant_pareto(table: DataFrame) -> DataFrame:
         "n_cases",
         F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_cgt"),
         F.coalesce(F.sum(F.col("_c") * F.col("n_cases")).over(w), F.lit(0)).alias("_sgt"))
-    total = table.agg(F.sum("n_cases").alias("_total"), F.lit(1).alias("_k"))
-    out = (table.join(F.broadcast(per_n), "n_cases")
-           .withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k"))
+    out = table.join(F.broadcast(per_n), "n_cases") \
+        .withColumn("_total", table.agg(F.sum("n_cases")).scalar())  # scalar subquery
     cum = F.col("_sgt") + F.col("n_cases") * (F.col("rank") - F.col("_cgt"))
     return out.select(
         "rank", "sequence", "n_cases",
