@@ -46,6 +46,11 @@ CTES = {"log_a": [LOG_A], "log_b": [LOG_B], "log_m": [MS_WIDE, LOG_M],
         "log_x": [LOG_B, MS_WIDE, LOG_M, LOG_X], "ms_wide": [MS_WIDE]}
 
 
+def register_log(name: str, ctes: list[str]) -> None:
+    """Make another log CTE (with its dependencies) usable by :func:`with_logs`."""
+    CTES[name] = ctes
+
+
 def with_logs(*names: str) -> str:
     """A WITH prefix defining the named logs (dependencies included once)."""
     parts: list[str] = []

@@ -44,8 +44,7 @@ def bronze_moves(spark, d):
         F.lit(None).cast("string").alias("_rescued_data"), F.lit("lineitem.csv").alias("_source_file"))
 
 
-_SQL = """WITH
-alta AS (SELECT l_orderkey, max(l_shipdate) AS a FROM lineitem GROUP BY l_orderkey),
+_HOSPITAL_CTES = """alta AS (SELECT l_orderkey, max(l_shipdate) AS a FROM lineitem GROUP BY l_orderkey),
 inp AS (SELECT CAST(o_orderkey AS VARCHAR) AS case_id, o_orderdate AS adm, a AS dis, o_orderstatus AS unidade,
                o_orderpriority AS prest FROM orders LEFT JOIN alta ON o_orderkey = l_orderkey),
 mv0 AS (SELECT CAST(l_orderkey AS VARCHAR) AS case_id,
@@ -53,7 +52,7 @@ mv0 AS (SELECT CAST(l_orderkey AS VARCHAR) AS case_id,
                CASE l_returnflag WHEN 'R' THEN 'TRANSFER. DE' WHEN 'A' THEN 'TRANSFER. PARA' ELSE 'ALTA' END AS tipo,
                '1º ' || l_linestatus AS unidade FROM lineitem),
 mv AS (SELECT case_id, ts, tipo, min(unidade) AS unidade FROM mv0 GROUP BY ALL),
-ev AS (
+log_h AS (
   SELECT case_id, tipo AS activity, ts AS timestamp, 'complete' AS lifecycle, 'movimentacao' AS event_type,
          'internacao' AS case_type, CAST(NULL AS VARCHAR) AS outcome, CAST(NULL AS VARCHAR) AS resource,
          CAST(NULL AS VARCHAR) AS specialty, unidade AS location, 'silver_movimentacoes' AS source, 0 AS event_seq
@@ -63,18 +62,60 @@ ev AS (
          'silver_internacoes', 0 FROM inp
   UNION ALL
   SELECT case_id, 'Alta da Internacao', dis, 'complete', 'internacao', 'internacao', NULL, prest, prest, unidade,
-         'silver_internacoes', 1 FROM inp),
+         'silver_internacoes', 1 FROM inp)"""
+
+_SQL = "WITH " + _HOSPITAL_CTES + """,
 dur AS (SELECT case_id,
                CAST(floor((floor(epoch_ms(max(timestamp)) / 1000.0) - floor(epoch_ms(min(timestamp)) / 1000.0)) / 60)
-                    AS INTEGER) AS duration_minutes FROM ev GROUP BY case_id)
-SELECT ev.*, dur.duration_minutes FROM ev LEFT JOIN dur USING (case_id)"""
+                    AS INTEGER) AS duration_minutes FROM log_h GROUP BY case_id)
+SELECT log_h.*, dur.duration_minutes FROM log_h LEFT JOIN dur USING (case_id)"""
 
 
-@register("hospital_event_log", _SQL)
-def hospital_event_log(spark, d):
+def hospital_log(spark, d):
+    """Silver specs -> Gold event log on the derived bronze tables."""
     silver = {
         "silver_internacoes": h.build_silver(bronze_inpatient(spark, d), h.SILVER["silver_internacoes"]),
         "silver_movimentacoes": h.build_silver(bronze_moves(spark, d), h.SILVER["silver_movimentacoes"]),
     }
     log = h.gold_event_log(silver)
     return log.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+@register("hospital_event_log", _SQL)
+def hospital_event_log(spark, d):
+    return hospital_log(spark, d)
+
+
+# ---------------------------------------------------------------- analyses of the hospital log
+def _on_hospital(key: str, src_log: str) -> str:
+    """The oracle SQL of a registered query, re-pointed from ``src_log`` to the hospital log."""
+    from flowlog.plans.oracle_sql import with_logs
+    from flowlog.plans.registry import ORACLE
+
+    sql = ORACLE[key]
+    prefix = with_logs(src_log)
+    assert sql.startswith(prefix), key
+    return ("WITH " + _HOSPITAL_CTES + sql[len(prefix):]).replace(src_log, "log_h")
+
+
+def _register_analyses() -> None:
+    from flowlog.operators import conformance as cf, network as sn, transitions as tr, variants as mv
+    from flowlog.plans.registry import AS_OF, CFG, NOISE
+
+    analyses = {
+        "hospital_bottleneck": ("mn_bottleneck", "log_a", lambda log: tr.bottlenecks(log, CFG)),
+        "hospital_spectrum": ("mn_spectrum", "log_a", lambda log: tr.performance_spectrum(log, CFG)),
+        "hospital_variants": ("mn_variants", "log_a", lambda log: mv.variants(log, CFG, as_of=AS_OF)),
+        "hospital_handover_source": ("sn_handover_source", "log_b",
+                                     lambda log: sn.handover_between_sources(log, CFG)),
+        "hospital_subcontract_source": ("sn_subcontract_source", "log_b",
+                                        lambda log: sn.subcontracting(log, CFG, actor="source", segment=None)),
+        "hospital_conformance": ("cf_conformance_b", "log_b",
+                                 lambda log: cf.conformance(log, CFG, noise_threshold=NOISE, scope="case")),
+    }
+    for name, (template, src, build) in analyses.items():
+        register(name, _on_hospital(template, src))(
+            (lambda b: lambda spark, d: b(hospital_log(spark, d)))(build))
+
+
+_register_analyses()
