@@ -86,9 +86,9 @@ class SkewConfig:
     """
 
     mode: str = "detect"
-    hot_rows: int = 2_000_000
+    hot_rows: int = 1_000_000
     sample_fraction: float = 0.01
-    bucket_rows: int = 250_000
+    bucket_rows: int = 100_000
     max_hot_keys: int = 100_000
 
 
