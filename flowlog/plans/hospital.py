@@ -380,3 +380,45 @@ def gold_case_attributes(epidemio: DataFrame, emergency: DataFrame) -> DataFrame
 def gold_data_quality(log: DataFrame, as_of: _dt.date | str | None = None) -> DataFrame:
     """Timestamp coverage per (source, activity) and per case (DQ5-DQ7)."""
     return dq.coverage_table(log, as_of)
+
+
+# Landing folder of each export and the bronze table it feeds.
+BRONZE_TABLES = {
+    "altas": "bronze_altas_raw",
+    "atendimento_emergencia": "bronze_atendimento_emergencia_raw",
+    "cirurgias": "bronze_cirurgias_raw",
+    "epidemio": "bronze_epidemio_raw",
+    "exames_imagem": "bronze_exames_imagem_raw",
+    "exames_laboratoriais": "bronze_exames_laboratoriais_raw",
+    "movimentacoes": "bronze_movimentacoes_raw",
+    "internacoes": "bronze_internacoes_raw",
+}
+
+
+def bronze_sources(landing_root: str, columns: dict[str, tuple[str, ...]] | None = None):
+    """One :class:`~flowlog.streaming.IngestSource` per landing folder (IO2).
+
+    ``columns`` optionally declares the header of a folder (for schema
+    evolution); otherwise each stream takes the header of the folder's files.
+    """
+    import os
+
+    from flowlog.streaming.ingest import IngestSource
+
+    columns = columns or {}
+    return [IngestSource(folder=os.path.join(landing_root, folder), table=table,
+                         columns=tuple(columns.get(folder, ())))
+            for folder, table in BRONZE_TABLES.items()]
+
+
+def ingest_hospital(spark, landing_root: str, bronze_root: str, checkpoint_root: str,
+                    columns: dict[str, tuple[str, ...]] | None = None) -> dict[str, DataFrame]:
+    """Stream every present landing folder into its bronze table, wait for all,
+    and return the bronze tables by name (EP-A)."""
+    import os
+
+    from flowlog.streaming.ingest import ingest_all, read_bronze
+
+    present = [s for s in bronze_sources(landing_root, columns) if os.path.isdir(s.folder)]
+    ingest_all(spark, present, bronze_root, checkpoint_root)
+    return {s.table: read_bronze(spark, bronze_root, s.table) for s in present}

@@ -105,7 +105,6 @@ def test_csv_files_to_gold_end_to_end(spark, tmp_path):
     import os
 
     from flowlog.session import checkpoint_dir
-    from flowlog.streaming.ingest import IngestSource, ingest_all, read_bronze
 
     import uuid
     root = os.path.join(checkpoint_dir(spark), "e2e", uuid.uuid4().hex)
@@ -119,9 +118,9 @@ def test_csv_files_to_gold_end_to_end(spark, tmp_path):
     with open(os.path.join(land_mv, "2026-03.csv"), "w", encoding="utf-8") as fh:
         fh.write("ATEND;HORA;TIPO;UNIDADE;DATA\ni9;07:00:00;INTERNACAO;2Âº Andar;2026-03-01\n"
                  "i9;07:00:00;INTERNACAO;2Âº Andar;2026-03-01\nbroken line\n")
-    sources = [IngestSource(land_in, "bronze_internacoes_raw"), IngestSource(land_mv, "bronze_movimentacoes_raw")]
-    ingest_all(spark, sources, os.path.join(root, "bronze"), os.path.join(root, "_ck"))
-    bronze = {s.table: read_bronze(spark, os.path.join(root, "bronze"), s.table) for s in sources}
+    bronze = h.ingest_hospital(spark, os.path.join(root, "landing"), os.path.join(root, "bronze"),
+                               os.path.join(root, "_ck"))
+    assert set(bronze) == {"bronze_internacoes_raw", "bronze_movimentacoes_raw"}
     ctx = pipeline.run(spark, bronze, as_of="2026-03-31",
                        only={"silver_internacoes", "silver_movimentacoes", "gold_event_log"})
     log = ctx["gold_event_log"]
