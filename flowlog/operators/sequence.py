@@ -83,13 +83,22 @@ def hot_keys(df: DataFrame, keys: Sequence[str], axis_col: str, skew: SkewConfig
     else:
         rows = skew.bucket_rows
         g = g.filter(est >= F.lit(skew.hot_rows)).orderBy(est.desc()).limit(skew.max_hot_keys)
-    width = F.greatest(F.lit(1.0), (F.col("_h1") - F.col("_h0")) * F.lit(float(rows)) / est)
-    return g.select(*keys, "_h0", width.alias("_hw"))
+    raw = (F.col("_h1") - F.col("_h0")) * F.lit(float(rows)) / est
+    # a width under one axis unit cannot split the key by time: its buckets then
+    # also follow the next sort columns (see assign_buckets)
+    return g.select(*keys, "_h0", F.greatest(F.lit(1.0), raw).alias("_hw"), (raw < 1.0).alias("_tie"))
 
 
 def assign_buckets(df: DataFrame, keys: Sequence[str], axis_col: str, skew: SkewConfig,
-                   bucket_col: str = "_b", hot: DataFrame | None = None) -> DataFrame:
-    """Add ``bucket_col`` (0 for ordinary keys) and ``_hot`` (key is split).
+                   bucket_col: str = "_b", hot: DataFrame | None = None,
+                   ties: Sequence[str] = ()) -> DataFrame:
+    """Add ``bucket_col`` and ``_hot`` (key is split).
+
+    The bucket is a struct: the time bucket, then - only for hot keys whose
+    bucket width is a single axis unit, i.e. one bucket per timestamp - the
+    ``ties`` columns (the next sort columns) as (is-null, value) pairs, which
+    keeps buckets monotone along an ascending, nulls-last order and splits a
+    hot key whose rows share one timestamp.  Ordinary keys get bucket 0.
 
     ``hot`` is an optional precomputed table from :func:`hot_keys`, keyed by a
     subset of ``keys`` (e.g. hot cases reused for (case, source) keys: any
@@ -99,16 +108,27 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], axis_col: str, skew: Skew
         hot = hot_keys(df, keys, axis_col, skew)
         on = list(keys)
     else:
-        on = [k for k in hot.columns if k not in ("_h0", "_hw")]
+        on = [k for k in hot.columns if k not in ("_h0", "_hw", "_tie")]
         if not set(on) <= set(keys):
             raise ValueError(f"hot-key table keyed by {on}, not a subset of {list(keys)}")
+    def struct_of(tb, split):
+        parts = [tb.alias("t")]
+        for i, c in enumerate(ties):
+            dt = df.schema[c].dataType
+            parts.append(F.when(split, F.col(c).isNull()).otherwise(F.lit(None).cast("boolean")).alias(f"n{i}"))
+            parts.append(F.when(split, F.col(c)).otherwise(F.lit(None).cast(dt)).alias(f"v{i}"))
+        return F.struct(*parts)
+
     if hot is None:
-        return df.withColumns({bucket_col: F.lit(0).cast("long"), "_hot": F.lit(False)})
+        return df.withColumns({bucket_col: struct_of(F.lit(0).cast("long"), F.lit(False)),
+                               "_hot": F.lit(False)})
     d = _left_join(df, hot, on, broadcast=(skew.mode != "all"))
-    bucket = F.when(F.col("_hw").isNotNull(),
-                    F.floor((_axis(d, axis_col) - F.col("_h0")) / F.col("_hw")).cast("long")) \
+    tb = F.when(F.col("_hw").isNotNull(),
+                F.floor((_axis(d, axis_col) - F.col("_h0")) / F.col("_hw")).cast("long")) \
         .otherwise(F.lit(0).cast("long"))
-    return d.withColumns({bucket_col: bucket, "_hot": F.col("_hw").isNotNull()}).drop("_h0", "_hw")
+    split = F.coalesce(F.col("_tie"), F.lit(False))
+    return d.withColumns({bucket_col: struct_of(tb, split), "_hot": F.col("_hw").isNotNull()}) \
+        .drop("_h0", "_hw", "_tie")
 
 
 def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
@@ -130,7 +150,7 @@ def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequenc
     keys = list(partition_by)
     kl = max(lags, default=0)
     kd = max(leads, default=0)
-    d = assign_buckets(df, keys, order_by[0], skew, bucket_col, hot)
+    d = assign_buckets(df, keys, order_by[0], skew, bucket_col, hot, ties=list(order_by[1:4]))
     w_in = Window.partitionBy(*keys, bucket_col, "_hot").orderBy(*sort_keys(order_by))
     w_all = Window.partitionBy(*keys, bucket_col, "_hot")
     d = d.withColumn("_pl", F.struct(*[F.col(c) for c in carry]))
@@ -236,7 +256,7 @@ def forward_fill(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     buckets of a hot key, the last non-null value of earlier buckets.
     """
     keys = list(partition_by)
-    d = assign_buckets(df, keys, order_by[0], skew, bucket_col)
+    d = assign_buckets(df, keys, order_by[0], skew, bucket_col, ties=list(order_by[1:4]))
     w_in = Window.partitionBy(*keys, bucket_col, "_hot").orderBy(*sort_keys(order_by)) \
         .rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumns({f"_ff_{name}": expr for name, expr in values.items()})

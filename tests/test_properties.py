@@ -32,3 +32,30 @@ def test_neighbors_property(spark, rows, bucket_rows, mode):
 
     exp = {r.i: (r.pos, r.cnt, val(r.l1), val(r.l2), val(r.d1)) for r in pdf.itertuples()}
     assert got == exp
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.sampled_from([None, "S", "T"]),
+                               st.sampled_from("XYZ")), min_size=1, max_size=40),
+       bucket_rows=st.integers(1, 4))
+def test_neighbors_split_a_key_with_one_timestamp(spark, rows, bucket_rows):
+    # every row of a key at the same instant: buckets follow the tie columns
+    data = [(k, ts("2024-01-01 00:00:00"), s, a, i) for i, (k, s, a) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k string, t timestamp_ntz, s string, a string, i long")
+    skew = SkewConfig(mode="all", bucket_rows=bucket_rows)
+    out = with_neighbors(df, ["k"], ["t", "s", "a", "i"], ["i"], lags=(1, 2), leads=(1,), skew=skew)
+    got = {r.i: (r._pos, r._lag1 and r._lag1.i, r._lag2 and r._lag2.i, r._lead1 and r._lead1.i)
+           for r in out.collect()}
+    pdf = pd.DataFrame(data, columns=["k", "t", "s", "a", "i"])
+    pdf["s_null"] = pdf["s"].isna()
+    pdf = pdf.sort_values(["k", "t", "s_null", "s", "a", "i"])
+    g = pdf.groupby("k")
+    pdf["pos"] = g.cumcount() + 1
+    pdf["l1"], pdf["l2"], pdf["d1"] = g["i"].shift(1), g["i"].shift(2), g["i"].shift(-1)
+
+    def val(x):
+        return None if pd.isna(x) else int(x)
+
+    assert got == {r.i: (r.pos, val(r.l1), val(r.l2), val(r.d1)) for r in pdf.itertuples()}
+    # the tie columns include the unique row id here, so the key is split into one bucket per row
+    assert out.select("k", "_b").distinct().count() == len(data)
