@@ -142,7 +142,7 @@ def traces(log: DataFrame, cfg: MiningConfig = MiningConfig(),
     """
     view = mining_view(log)
     order = event_order(view)
-    pieces = (assign_buckets(view, ["case_id"], "timestamp", cfg.skew, hot=cfg.hot_cases)
+    pieces = (assign_buckets(view, ["case_id"], "timestamp", cfg.skew, hot=cfg.hot_cases, ties=order[1:4])
               .groupBy("case_id", "_b")
               .agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order],
                                                         *[F.col(f).alias(f"_f_{f}") for f in fields])))

@@ -21,7 +21,8 @@ def _sequences(view: DataFrame, cases: DataFrame, cfg: MiningConfig) -> DataFram
     """
     picked = view.join(cases, "case_id", "left_semi")
     order = event_order(picked)
-    pieces = (assign_buckets(picked, ["case_id"], "timestamp", cfg.skew, hot=cfg.hot_cases)
+    pieces = (assign_buckets(picked, ["case_id"], "timestamp", cfg.skew, hot=cfg.hot_cases,
+                             ties=order[1:4])
               .groupBy("case_id", "_b")
               .agg(F.array_join(F.transform(
                   F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order], F.col("activity").alias("_a")))),
