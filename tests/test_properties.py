@@ -59,3 +59,20 @@ def test_neighbors_split_a_key_with_one_timestamp(spark, rows, bucket_rows):
     assert got == {r.i: (r.pos, val(r.l1), val(r.l2), val(r.d1)) for r in pdf.itertuples()}
     # the tie columns include the unique row id here, so the key is split into one bucket per row
     assert out.select("k", "_b").distinct().count() == len(data)
+
+
+def test_log_level_properties_on_driver_data(spark):
+    from flowlog.operators import eventlog as el, model as md, variants as mv
+    from flowlog.plans import sample_logs
+    from tests.conftest import SF001
+
+    for log in (sample_logs.session_log(spark, SF001), sample_logs.order_log(spark, SF001)):
+        view = el.mining_view(log)
+        events, cases = view.count(), view.select("case_id").distinct().count()
+        v = mv.variants(log, as_of="2026-03-31")
+        assert v.agg({"n_cases": "sum"}).first()[0] == cases
+        assert sorted(r["rank"] for r in v.select("rank").collect()) == list(range(1, v.count() + 1))
+        g = md.dfg(md.edge_steps(log, scope="log"))
+        assert g.agg({"n_events": "sum"}).first()[0] == events + cases
+        stats = el.log_stats(log).first()
+        assert (stats.n_events, stats.n_cases, stats.n_variants) == (events, cases, v.count())
