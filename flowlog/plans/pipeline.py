@@ -28,6 +28,7 @@ def datasets(cfg: MiningConfig, as_of: _dt.date | str, noise_threshold: float =
     out: dict[str, Dataset] = {}
     for name, spec in h.SILVER.items():
         out[name] = (lambda s: lambda ctx: h.build_silver(ctx[s.bronze], s))(spec)
+    out["silver_expectations"] = silver_expectations
     out["gold_event_log"] = lambda ctx: h.gold_event_log({k: ctx[k] for k in h.SILVER if k in ctx})
     out["gold_case_attributes"] = lambda ctx: h.gold_case_attributes(
         ctx["silver_epidemio"], ctx["silver_atendimento_emergencia"])
@@ -49,6 +50,8 @@ def silver_expectations(ctx: Context) -> DataFrame:
     """Expectation results of every Silver table in ``ctx``, one table."""
     parts = [h.silver_metrics(ctx[name], spec) for name, spec in h.SILVER.items()
              if name in ctx and spec.rules]
+    if not parts:
+        raise KeyError("no Silver table with expectations")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -119,3 +119,19 @@ def _register_analyses() -> None:
 
 
 _register_analyses()
+
+
+def _register_quality() -> None:
+    from flowlog.plans.q_quality import _COV_ACT, _COV_CASE
+    from flowlog.plans.registry import AS_OF
+
+    sql = ("WITH " + _HOSPITAL_CTES + "\n" + _COV_ACT.format(as_of=AS_OF, log="log_h")
+           + "\nUNION ALL\n" + _COV_CASE.format(as_of=AS_OF, log="log_h"))
+
+    @register("hospital_data_quality", sql)
+    def hospital_data_quality(spark, d):
+        """The Gold data-quality table (coverage per source/activity and per case)."""
+        return h.gold_data_quality(hospital_log(spark, d), AS_OF)
+
+
+_register_quality()
