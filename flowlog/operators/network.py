@@ -79,9 +79,14 @@ def subcontracting(log: DataFrame, cfg: MiningConfig = MiningConfig(), actor: st
     """
     steps = _actor_steps(log, cfg, actor, segment, (1, 2))
     triples = steps.filter(F.col("_lag2").isNotNull())
-    totals = triples.groupBy("segment").agg(F.count(F.lit(1)).alias("_triples"))
     pairs = triples.filter(F.col(f"_lag2.{actor}") == F.col(actor)).groupBy(
         "segment", F.col(actor).alias("a"), F.col(f"_lag1.{actor}").alias("b")).agg(
         F.count(F.lit(1)).alias("n"))
-    return pairs.join(totals, "segment").select(
+    if segment is None:
+        # one segment: the total is a scalar subquery (a join on a literal would be a cross join)
+        pairs = pairs.withColumn("_triples", triples.agg(F.count(F.lit(1))).scalar())
+    else:
+        totals = triples.groupBy("segment").agg(F.count(F.lit(1)).alias("_triples"))
+        pairs = pairs.join(totals, "segment")
+    return pairs.select(
         "segment", "a", "b", "n", F.round(F.col("n") / F.col("_triples"), digits).alias("weight"))
