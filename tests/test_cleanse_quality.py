@@ -58,3 +58,24 @@ def test_column_profile(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a int, `b c` string")
     got = {r.column: r.share for r in dq.column_profile(df, "t").collect()}
     assert got == {"a": 1.0, "b c": 0.5}
+
+
+def test_cast_columns_skips_absent_and_never_throws(spark):
+    df = spark.createDataFrame([("2026-03-01 10:00:00", "05/03/2026", "12", "x"),
+                                ("//", "", "12.0", "y")], "t string, d string, i string, other string")
+    out = cleanse.cast_columns(df, timestamps=["t", "missing"], dates=["d"], ints=["i"],
+                               date_format="dd/MM/yyyy").collect()
+    assert out[0].i == 12 and out[1].i is None and out[1].t is None and out[1].d is None
+    assert str(out[0].d) == "2026-03-05"
+
+
+def test_cut_lineage_writes_to_the_checkpoint_folder(spark):
+    import uuid
+
+    from flowlog.session import checkpoint_dir, cut_lineage
+    df = spark.range(5).withColumn("x", F.col("id") * 2)
+    name = f"t_{uuid.uuid4().hex}"
+    back = cut_lineage(df, name)
+    assert sorted(r.x for r in back.collect()) == [0, 2, 4, 6, 8]
+    assert checkpoint_dir(spark) in back.inputFiles()[0].replace("file:", "")
+    assert cut_lineage(df).count() == 5
