@@ -126,9 +126,15 @@ def with_hot_cases(log: DataFrame, cfg: MiningConfig = MiningConfig()) -> Mining
     every ordered operator run on this log (instead of one sample per call)."""
     from dataclasses import replace
 
+    from flowlog.session import checkpoint_dir
+
     if cfg.skew.mode == "off":
         return cfg
-    return replace(cfg, hot_cases=hot_keys(mining_view(log), ["case_id"], "timestamp", cfg.skew))
+    checkpoint_dir(log.sparkSession)
+    hot = hot_keys(mining_view(log), ["case_id"], "timestamp", cfg.skew)
+    # bounded (at most max_hot_keys rows): materialised once in the shared
+    # checkpoint folder so every analysis reuses it instead of re-sampling
+    return replace(cfg, hot_cases=hot.checkpoint(eager=True))
 
 
 def traces(log: DataFrame, cfg: MiningConfig = MiningConfig(),
