@@ -135,3 +135,24 @@ def _register_quality() -> None:
 
 
 _register_quality()
+
+
+def _register_chart() -> None:
+    from flowlog.operators import transitions as tr
+    from flowlog.plans.registry import CFG, ORACLE
+
+    base = ORACLE["hospital_bottleneck"]
+    assert base.rstrip().endswith("SELECT * FROM b")
+    sql = base.rstrip()[:-len("SELECT * FROM b")] + (
+        "SELECT *, from_activity || ' → ' || to_activity AS transition FROM b "
+        "WHERE n >= 30 AND from_activity <> to_activity AND source = 'silver_movimentacoes'")
+
+    @register("hospital_bottleneck_chart", sql)
+    def hospital_bottleneck_chart(spark, d):
+        """Chart data of one source: frequent non-self transitions ordered by median (MN4)."""
+        table = tr.bottlenecks(hospital_log(spark, d), CFG)
+        return tr.bottleneck_report(table, min_support=30, source="silver_movimentacoes",
+                                    order_by="median_min")
+
+
+_register_chart()
