@@ -99,7 +99,8 @@ def _on_hospital(key: str, src_log: str) -> str:
 
 
 def _register_analyses() -> None:
-    from flowlog.operators import conformance as cf, network as sn, transitions as tr, variants as mv
+    from flowlog.operators import conformance as cf, kpis as kp, network as sn, transitions as tr, \
+        variants as mv
     from flowlog.plans.registry import AS_OF, CFG, NOISE
 
     analyses = {
@@ -112,6 +113,7 @@ def _register_analyses() -> None:
                                         lambda log: sn.subcontracting(log, CFG, actor="source", segment=None)),
         "hospital_conformance": ("cf_conformance_b", "log_b",
                                  lambda log: cf.conformance(log, CFG, noise_threshold=NOISE, scope="case")),
+        "hospital_journey_kpis": ("el_journey_kpis", "log_b", lambda log: kp.journey_kpis(log, CFG)),
     }
     for name, (template, src, build) in analyses.items():
         register(name, _on_hospital(template, src))(
