@@ -3,10 +3,10 @@
 A rank file (base64 token, rank) becomes a BPE model: bytes are mapped to
 printable characters, and every way to cut a token into two known tokens is a
 merge, in rank order, which makes the library merge the pair of lowest rank
-first. Texts are cut at spaces that start a run of white space after a
-non-space; such a place is always a boundary of the split pattern, so the
-stretches can be encoded one by one, and a stretch seen before in the worker is
-taken from a bounded memo. Decoding maps ids back to bytes by the reversed byte
+first. Texts are cut before single spaces between other characters; such a place
+is always a boundary of the split pattern, so the stretches can be encoded apart,
+and one seen before in the worker is taken from a bounded memo. New ones are
+encoded many in a text, and the tokens' byte offsets say where each ends. Decoding maps ids back to bytes by the reversed byte
 table; the bytes of a character that is split over tokens meet again when the
 tokens' bytes are joined, so only the joined bytes are decoded as UTF-8.
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import functools
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +28,13 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from flowlog.llm.common import as_bytes, ship_package
 
-MEMO = 1 << 18          # stretches remembered by one worker
+MEMO = 1 << 18          # stretches in one of the two generations that a worker remembers
+TOGETHER = 128          # new stretches encoded in one call
 BATCH_BYTES = 1 << 20   # text encoded between two emitted batches
 
+# one space between two characters that are not white space: always a boundary of the split pattern
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+
 
 def byte_characters() -> list[str]:
     """The character that stands for each byte: printable Latin-1 as itself, the rest from U+0100 on."""
@@ -71,34 +76,43 @@ class ByteBpe:
         self.bytes_of: list[bytes | None] = [None] * size
         for piece, i in self.model.get_vocab().items():
             self.bytes_of[i] = bytes([back[c] for c in piece])
-        self.memo: dict[str, bytes] = {}
-
-    @staticmethod
-    def stretches(text: str) -> list[str]:
-        out, pending = [], None
-        for i, part in enumerate(text.split(" ")):
-            piece = part if i == 0 else " " + part
-            if pending is not None:
-                piece, pending = pending + piece, None
-            if not part or part[-1].isspace():
-                pending = piece          # a run of white space goes on: no boundary here
-            else:
-                out.append(piece)
-        if pending:
-            out.append(pending)
-        return out
+        self.sizes = np.array([len(x or b"") for x in self.bytes_of], dtype=np.int64)
+        self.memo: dict[str, bytes] = {}        # ids of " " + stretch
+        self.older: dict[str, bytes] = {}       # the generation before
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, stretches: list[str]) -> None:
+        """Encode new stretches, many in one text, and cut the ids where the stretches' bytes end."""
+        groups = [stretches[i:i + TOGETHER] for i in range(0, len(stretches), TOGETHER)]
+        for group, ids in zip(groups, self._ids([" " + " ".join(g) for g in groups])):
+            flat = np.frombuffer(ids, "<u4")
+            ends = np.cumsum(self.sizes[flat])
+            last = np.cumsum([1 + len(x.encode("utf-8", "surrogatepass")) for x in group])
+            cuts = np.searchsorted(ends, last) + 1
+            at = 0
+            for x, cut in zip(group, cuts.tolist()):
+                self.memo[x] = flat[at:cut].tobytes()
+                at = cut
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        if len(self.memo) > MEMO:
+            self.older, self.memo = self.memo, {}
         memo = self.memo
-        cut = [self.stretches(t) for t in texts]
-        new = list({s for parts in cut for s in parts if s not in memo})
-        if len(memo) + len(new) > MEMO:
-            memo.clear()
-            new = list({s for parts in cut for s in parts})
-        for s, e in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False)):
-            memo[s] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join([memo[s] for s in parts]) for parts in cut]
+        cut = [_CUT.split(t) for t in texts]
+        new = []
+        for x in {x for parts in cut for x in parts[1:]}:
+            if x not in memo:
+                ids = self.older.get(x)
+                if ids is None:
+                    new.append(x)
+                else:
+                    memo[x] = ids
+        self._learn(new)
+        firsts = self._ids([parts[0] for parts in cut])
+        return [first + b"".join([memo[x] for x in parts[1:]]) for first, parts in zip(firsts, cut)]
 
     def decode(self, ids: bytes) -> bytes:
         table = self.bytes_of
