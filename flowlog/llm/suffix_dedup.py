@@ -55,6 +55,10 @@ def refine(level: np.ndarray, step: int) -> np.ndarray:
     return mix(level[:-step], level[step:]) if len(level) > step else level[:0]
 
 
+def _spread(values: np.ndarray) -> np.ndarray:
+    return mix(values, np.full(len(values), 0x2545F491, np.uint64))
+
+
 def smallest_ahead(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of ``width`` values from each position on, by doubling."""
     low, have = values, 1
@@ -99,8 +103,11 @@ class BlockStrings:
         ends = np.repeat(self.at + sizes, sizes)[:len(self.bucket)]
         self.inside = np.flatnonzero(np.arange(len(self.bucket)) + self.length <= ends)    # starts of whole strings
 
-    def buckets(self) -> np.ndarray:
-        return np.unique(self.bucket[self.inside])
+    def buckets(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct buckets and the order in which they are asked: minima crowd at small values, so by a
+        fingerprint of theirs, which spreads them evenly over the owners."""
+        own = np.unique(self.bucket[self.inside])
+        return own, np.argsort(_spread(own), kind="stable")
 
     def open_strings(self, buckets: np.ndarray, flags: np.ndarray) -> np.ndarray:
         """Starts of the strings whose bucket has another member: elsewhere, or later in this block."""
@@ -193,7 +200,8 @@ class _Plan:
         s = self._open(table)
         block = table.column("block")[0].as_py()
         s.strings(s.copy_here)
-        return _asked(_rows(block, COPY, np.unique(s.whole), self.bits) + _rows(block, BUCKET, s.buckets(), self.bits))
+        own, order = s.buckets()
+        return _asked(_rows(block, COPY, np.unique(s.whole), self.bits) + _rows(block, BUCKET, _spread(own)[order], self.bits))
 
     def _refined(self, table, flags):
         """Strings still open after the first answers. Documents copied from an earlier block stay in the
@@ -202,8 +210,10 @@ class _Plan:
         whole = np.unique(s.whole)
         copies = s.copy_here | ((flags[COPY][np.searchsorted(whole, s.whole)] & EARLIER) > 0)
         s.strings(s.copy_here)
-        buckets = s.buckets()
-        starts = s.open_strings(buckets, flags[BUCKET]) if len(buckets) else np.zeros(0, np.int64)
+        buckets, order = s.buckets()
+        known = np.zeros(len(buckets), np.uint8)
+        known[order] = flags[BUCKET]
+        starts = s.open_strings(buckets, known) if len(buckets) else np.zeros(0, np.int64)
         copied = copies[s.used]
         if copied.any() and len(starts):
             doc = np.searchsorted(s.at, starts, side="right") - 1
