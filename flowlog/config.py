@@ -78,10 +78,9 @@ class SkewConfig:
     """How ordered operators find and split hot keys (cases, users, files).
 
     ``mode='detect'``: a ``sample_fraction`` sample estimates rows per key;
-    keys estimated at ``hot_rows`` or more (at most ``max_hot_keys`` of them,
-    the largest) are split into buckets of about ``bucket_rows`` rows along
-    the first sort column.  The hot-key table is bounded by ``max_hot_keys``
-    rows and is broadcast.  ``mode='off'``: no splitting.  ``mode='all'``:
+    keys estimated at ``hot_rows`` or more are split into buckets of about ``bucket_rows`` rows along
+    the first sort column.  The hot-key table holds at most rows /
+    ``hot_rows`` keys (a million for 10^12 rows) and is broadcast.  ``mode='off'``: no splitting.  ``mode='all'``:
     every key is split (tests exercise the split path with it).
     """
 
@@ -89,7 +88,6 @@ class SkewConfig:
     hot_rows: int = 1_000_000
     sample_fraction: float = 0.01
     bucket_rows: int = 100_000
-    max_hot_keys: int = 100_000
 
 
 @dataclass(frozen=True)

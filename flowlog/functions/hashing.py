@@ -10,13 +10,17 @@ from flowlog.functions._util import as_col
 def id_text(c) -> Column:
     """Normalise an identifier to text before hashing.
 
-    Integral numbers print without a fraction, so ``123`` and ``123.0`` (or a
-    float-typed column) hash alike; other text is kept as is; null stays null.
+    Only a zero fraction is cut, by string operations: ``123.0`` and ``123``
+    hash alike, and so does a float-typed column (printed ``1.0E7`` when large).
+    All other text stays as it is, leading zeros included (``0012`` and ``12``
+    are two ids, as are ``12d`` or ``1e3``); null stays null.
     """
-    c = as_col(c)
-    as_num = c.cast("string").try_cast("double")
-    integral = as_num.isNotNull() & (as_num == F.floor(as_num)) & (F.abs(as_num) < F.lit(9.0e18))
-    return F.when(integral, as_num.cast("long").cast("string")).otherwise(c.cast("string"))
+    text = as_col(c).cast("string")
+    exact = text.try_cast("decimal(38,6)")
+    printed_float = text.rlike(r"^-?\d\.\d+E\d{1,2}$") & exact.isNotNull() & (exact == F.floor(exact))
+    return (F.when(text.rlike(r"^-?\d+\.0+$"), F.regexp_replace(text, r"\.0+$", ""))
+            .when(printed_float, exact.cast("decimal(38,0)").cast("string"))
+            .otherwise(text))
 
 
 def salted_sha256(c, salt: str, normalise: bool = True) -> Column:

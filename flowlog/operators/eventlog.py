@@ -132,7 +132,7 @@ def with_hot_cases(log: DataFrame, cfg: MiningConfig = MiningConfig()) -> Mining
         return cfg
     checkpoint_dir(log.sparkSession)
     hot = hot_keys(mining_view(log), ["case_id"], "timestamp", cfg.skew)
-    # bounded (at most max_hot_keys rows): materialised once in the shared
+    # bounded (at most rows / hot_rows keys): materialised once in the shared
     # checkpoint folder so every analysis reuses it instead of re-sampling
     return replace(cfg, hot_cases=hot.checkpoint(eager=True))
 

@@ -14,13 +14,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from flowlog.config import SkewConfig
 from flowlog.operators.sequence import forward_fill
 
+# A number as written in a report cell; not 12d, 12f or NaN.
+NUMBER_PATTERN = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 # Fixed value: a time of day written HH:mm:ss.
 TIME_PATTERN = r"^\d{2}:\d{2}:\d{2}$"
 
 
 def numeric_key_rows(df: DataFrame, key: str) -> DataFrame:
     """Keep rows whose key column parses as a number; drops headers and footers (RS1)."""
-    return df.filter(F.trim(F.col(key)).try_cast("double").isNotNull())
+    return df.filter(F.col(key).cast("string").rlike(NUMBER_PATTERN))
 
 
 def positional_projection(df: DataFrame, keep: Sequence[str], names: Sequence[str],

@@ -6,7 +6,7 @@ does a third of the job.  Here:
 
 1. A sample estimates rows per key; keys above a threshold ("hot") get an
    origin and a bucket width along the first sort column (the time axis).
-   The hot-key table is capped at ``max_hot_keys`` rows and broadcast.
+   The hot-key table holds at most rows / ``hot_rows`` keys and is broadcast.
 2. Every row gets a bucket: ``floor((axis - origin) / width)`` for hot keys,
    0 otherwise.  The window runs per (key, bucket), so a hot key is spread
    over many tasks while ordinary keys see one plain window.
@@ -82,7 +82,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], axis_col: str, skew: SkewConfig
         g = g.filter(F.col("_hc") >= 1)
     else:
         rows = skew.bucket_rows
-        g = g.filter(est >= F.lit(skew.hot_rows)).orderBy(est.desc()).limit(skew.max_hot_keys)
+        g = g.filter(est >= F.lit(skew.hot_rows))
     raw = (F.col("_h1") - F.col("_h0")) * F.lit(float(rows)) / est
     # a width under one axis unit cannot split the key by time: its buckets then
     # also follow the next sort columns (see assign_buckets)
@@ -126,6 +126,8 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], axis_col: str, skew: Skew
     tb = F.when(F.col("_hw").isNotNull(),
                 F.floor((_axis(d, axis_col) - F.col("_h0")) / F.col("_hw")).cast("long")) \
         .otherwise(F.lit(0).cast("long"))
+    # rows without a position sort last, so their bucket is the last one
+    tb = F.when(F.col("_hw").isNotNull() & _axis(d, axis_col).isNull(), F.lit(1 << 62)).otherwise(tb)
     split = F.coalesce(F.col("_tie"), F.lit(False))
     return d.withColumns({bucket_col: struct_of(tb, split), "_hot": F.col("_hw").isNotNull()}) \
         .drop("_h0", "_hw", "_tie")
@@ -262,7 +264,8 @@ def forward_fill(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     d = d.withColumns({f"_ff_{name}": expr for name, expr in values.items()})
     d = d.withColumns({f"_in_{name}": F.last(f"_ff_{name}", ignorenulls=True).over(w_in)
                        for name in values})
-    order_struct = F.struct(*[F.col(c) for c in order_by])
+    order_struct = F.struct(*[x for n, c in enumerate(order_by)
+                              for x in (F.col(c).isNull().alias(f"n{n}"), F.col(c).alias(f"v{n}"))])
     per_bucket = d.filter(F.col("_hot")).groupBy(*keys, bucket_col, "_hot").agg(*[
         F.max_by(F.col(f"_ff_{name}"), F.when(F.col(f"_ff_{name}").isNotNull(), order_struct))
         .alias(f"_bl_{name}") for name in values])

@@ -412,13 +412,16 @@ def bronze_sources(landing_root: str, columns: dict[str, tuple[str, ...]] | None
 
 
 def ingest_hospital(spark, landing_root: str, bronze_root: str, checkpoint_root: str,
-                    columns: dict[str, tuple[str, ...]] | None = None) -> dict[str, DataFrame]:
-    """Stream every present landing folder into its bronze table, wait for all,
-    and return the bronze tables by name (EP-A)."""
-    import os
-
-    from flowlog.streaming.ingest import ingest_all, read_bronze
-
-    present = [s for s in bronze_sources(landing_root, columns) if os.path.isdir(s.folder)]
+                    columns: dict[str, tuple[str, ...]] | None = None,
+                    skip_absent: bool = False) -> dict[str, DataFrame]:
+    """Stream every landing folder into its bronze table, wait for all, and
+    return the bronze tables by name (EP-A). An absent folder is an error
+    unless ``skip_absent``; folders may be in any store that Spark reads."""
+    from flowlog.streaming.ingest import folder_exists, ingest_all, read_bronze
+
+    wanted = bronze_sources(landing_root, columns)
+    present = [s for s in wanted if folder_exists(spark, s.folder)]
+    if len(present) < len(wanted) and not skip_absent:
+        raise FileNotFoundError(f"no landing folder {', '.join(s.folder for s in wanted if s not in present)}")
     ingest_all(spark, present, bronze_root, checkpoint_root)
     return {s.table: read_bronze(spark, bronze_root, s.table) for s in present}

@@ -20,6 +20,17 @@ from flowlog.operators import conformance as cf, eventlog as el, network as sn,
 from flowlog.plans import hospital as h
 
 Context = dict[str, DataFrame]
+
+
+class AbsentInput(LookupError):
+    """A dataset needs an input that is not there."""
+
+
+class _Inputs(dict):
+    def __missing__(self, name):
+        raise AbsentInput(name)
+
+
 Dataset = Callable[[Context], DataFrame]
 
 
@@ -29,7 +40,7 @@ def datasets(cfg: MiningConfig, as_of: _dt.date | str, noise_threshold: float =
     for name, spec in h.SILVER.items():
         out[name] = (lambda s: lambda ctx: h.build_silver(ctx[s.bronze], s))(spec)
     out["silver_expectations"] = silver_expectations
-    out["gold_event_log"] = lambda ctx: h.gold_event_log({k: ctx[k] for k in h.SILVER if k in ctx})
+    out["gold_event_log"] = event_log
     out["gold_case_attributes"] = lambda ctx: h.gold_case_attributes(
         ctx["silver_epidemio"], ctx["silver_atendimento_emergencia"])
     out["gold_data_quality"] = lambda ctx: h.gold_data_quality(ctx["gold_event_log"], as_of)
@@ -46,12 +57,20 @@ def datasets(cfg: MiningConfig, as_of: _dt.date | str, noise_threshold: float =
     return out
 
 
+def event_log(ctx: Context) -> DataFrame:
+    """The Gold log of the Silver tables in ``ctx`` (all of them, unless absent ones are skipped)."""
+    silver = {k: ctx[k] for k in h.SILVER if k in ctx}
+    if not silver:
+        raise AbsentInput("no Silver table")
+    return h.gold_event_log(silver)
+
+
 def silver_expectations(ctx: Context) -> DataFrame:
     """Expectation results of every Silver table in ``ctx``, one table."""
     parts = [h.silver_metrics(ctx[name], spec) for name, spec in h.SILVER.items()
              if name in ctx and spec.rules]
     if not parts:
-        raise KeyError("no Silver table with expectations")
+        raise AbsentInput("no Silver table with expectations")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -60,9 +79,13 @@ def silver_expectations(ctx: Context) -> DataFrame:
 
 def run(spark: SparkSession, bronze: Context, as_of: _dt.date | str, out_root: str | None = None,
         cfg: MiningConfig = MiningConfig(), noise_threshold: float = 0.0,
-        only: set[str] | None = None) -> Context:
-    """Build every dataset whose inputs exist; write and re-read each when ``out_root`` is set."""
-    ctx: Context = dict(bronze)
+        only: set[str] | None = None, skip_absent: bool = False) -> Context:
+    """Build every dataset; write and re-read each when ``out_root`` is set.
+
+    A dataset whose input is absent raises :class:`AbsentInput`; with
+    ``skip_absent`` it is left out instead. Other errors always surface.
+    """
+    ctx: Context = _Inputs(bronze)
     partition = {"gold_bottleneck": ["month"], "gold_performance_spectrum": ["month"],
                  "gold_conformance": ["month"], "gold_sna_handover": ["month"],
                  "gold_sna_subcontracting": ["month"]}
@@ -76,8 +99,10 @@ def run(spark: SparkSession, bronze: Context, as_of: _dt.date | str, out_root: s
             live.update(datasets(cfg_log, as_of, noise_threshold))
         try:
             df = live[name](ctx)
-        except KeyError:
-            continue  # an input of this dataset is absent
+        except AbsentInput:
+            if not skip_absent:
+                raise
+            continue
         if out_root:
             path = os.path.join(out_root, name)
             writer = df.write.mode("overwrite")

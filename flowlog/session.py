@@ -42,13 +42,15 @@ def build_session(master: str | None = None, app_name: str = "flowlog",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) a scratch folder
-    is created and registered.
+    A cluster must name it: on other than a local master an unset folder is an
+    error. Local runs (tests) get a scratch folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir is unset; name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="flowlog-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

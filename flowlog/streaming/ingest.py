@@ -31,6 +31,12 @@ class IngestSource:
     encoding: str = "UTF-8"
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder exists in whatever file system its path names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def header_schema(spark: SparkSession, folder: str, sep: str = ";", encoding: str = "UTF-8",
                   columns: Sequence[str] = ()) -> T.StructType:
     """All-text schema from the given names or the header of the folder's files."""
@@ -47,6 +53,7 @@ def ingest_to_bronze(spark: SparkSession, src: IngestSource, bronze_root: str,
     schema = header_schema(spark, src.folder, src.sep, src.encoding, src.columns)
     stream = (spark.readStream.format("csv")
               .option("header", True).option("sep", src.sep).option("encoding", src.encoding)
+              .option("enforceSchema", False)     # a header in another order fails instead of swapping columns
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RESCUE_COL)
               .schema(schema).load(src.folder))
     stream = stream.select("*", F.col("_metadata.file_path").alias("_source_file"),

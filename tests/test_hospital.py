@@ -59,7 +59,7 @@ def test_gold_log_from_silver(spark):
     ctx = pipeline.run(spark, {"bronze_atendimento_emergencia_raw": _emergency(spark),
                                "bronze_movimentacoes_raw": _moves(spark),
                                "bronze_internacoes_raw": _inpatient(spark)},
-                       as_of="2026-03-31",
+                       as_of="2026-03-31", skip_absent=True,
                        only={"silver_atendimento_emergencia", "silver_movimentacoes", "silver_internacoes",
                              "gold_event_log", "gold_data_quality", "gold_variant_analysis", "gold_bottleneck",
                              "gold_sna_handover"})
@@ -88,7 +88,7 @@ def test_pipeline_writes_and_rereads_every_stage(spark, tmp_path):
     ctx = pipeline.run(spark, {"bronze_atendimento_emergencia_raw": _emergency(spark),
                                "bronze_movimentacoes_raw": _moves(spark),
                                "bronze_internacoes_raw": _inpatient(spark)},
-                       as_of="2026-03-31", out_root=out)
+                       as_of="2026-03-31", skip_absent=True, out_root=out)
     import os
     written = set(os.listdir(out))
     assert {"silver_atendimento_emergencia", "gold_event_log", "gold_data_quality", "gold_variant_analysis",
@@ -119,9 +119,9 @@ def test_csv_files_to_gold_end_to_end(spark, tmp_path):
         fh.write("ATEND;HORA;TIPO;UNIDADE;DATA\ni9;07:00:00;INTERNACAO;2Âº Andar;2026-03-01\n"
                  "i9;07:00:00;INTERNACAO;2Âº Andar;2026-03-01\nbroken line\n")
     bronze = h.ingest_hospital(spark, os.path.join(root, "landing"), os.path.join(root, "bronze"),
-                               os.path.join(root, "_ck"))
+                               os.path.join(root, "_ck"), skip_absent=True)
     assert set(bronze) == {"bronze_internacoes_raw", "bronze_movimentacoes_raw"}
-    ctx = pipeline.run(spark, bronze, as_of="2026-03-31",
+    ctx = pipeline.run(spark, bronze, as_of="2026-03-31", skip_absent=True,
                        only={"silver_internacoes", "silver_movimentacoes", "gold_event_log"})
     log = ctx["gold_event_log"]
     acts = sorted((r.activity, r.location) for r in log.filter("case_id = 'i9'").collect())
