@@ -42,7 +42,7 @@ from flowlog.llm.common import U64, as_bytes, hash_words, lower_words, materiali
 SKETCH = 32
 LIST_MAX = 32
 BROADCAST_IDS = 1_000_000       # candidate ids that may be broadcast (16 MB); more are joined by shuffling
-_SLICE = 2 << 20
+_SLICE = 1 << 20
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:

@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from flowlog.llm.common import as_bytes, lower_words, ship_package, spark_of
+from flowlog.llm.common import as_bytes, lower_words, materialise, ship_package, spark_of
 
 PLACES = 1 << 18
 FACTORS = 4
 MAX_ROWS = 12_000       # labelled rows that the fit sees at most
 MIN_ROWS = 5
-MEMO = 1 << 18          # words that a worker remembers
+MEMO = 1 << 17          # words that a worker remembers
 MIN_Z = 3.5             # a term must stand out this many standard deviations from the share of positives
 PREFIXES = (4, 5, 6, 7)   # bytes
 CUT = b".,;:!?\"'()[]{}<>|*#%&$-_/\\"
@@ -133,15 +133,32 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col:
     """Fit on the texts of at most ``max_rows`` labelled ids."""
     ship_package(docs.sparkSession)
     picked = pick_labels(labels, label_col, id_col, max_rows)      # bounded by max_rows, hence the broadcast
-    rows = docs.select(F.col(id_col).alias("lid"), F.col(text_col).alias("t")).join(F.broadcast(picked), "lid").select("h", "y", "t")
+    rows = (docs.select(F.col(id_col).alias("lid"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).join(F.broadcast(picked), "lid")
+            .groupBy("h").agg(F.max("y").alias("y"), F.max("t").alias("t")))      # one row an id
 
     def run(batches):
         for batch in batches:
-            places = [term_places(t).tobytes() for t in as_bytes(batch.column("t"))]
-            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("y"), pa.array(places, pa.binary())], names=["h", "y", "p"])
+            places = [term_places(t) for t in as_bytes(batch.column("t"))]
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("y"), pa.array(places, pa.list_(pa.int32()))], names=["h", "y", "p"])
+
+    placed = materialise(rows.mapInArrow(run, "h long, y int, p array<int>"), "toxicity-terms")
+    total, positive = placed.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    if not 0 < positive < total:
+        return fit([], np.full(total, float(positive > 0)))
+    share = positive / total
+    # only terms that can take part travel to the driver: 2^18 rows at most, and these terms of max_rows rows
+    seen, hits = F.count("*"), F.sum("y")
+    terms = (placed.select("y", F.explode("p").alias("place")).groupBy("place").agg(seen.alias("seen"), hits.alias("hits"))
+             .where((F.col("seen") >= MIN_ROWS)
+                    & (F.abs(F.col("hits") - F.col("seen") * share) >= MIN_Z * 0.999 * F.sqrt(F.col("seen") * share * (1 - share)))))
+    used = np.array(sorted(r["place"] for r in terms.select("place").collect()), dtype=np.int32)
+
+    def keep(batches):
+        for batch in batches:
+            kept = [np.intersect1d(np.array(p, np.int32), used).tobytes() for p in batch.column("p").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("y"), pa.array(kept, pa.binary())], names=["h", "y", "p"])
 
-    found = rows.mapInArrow(run, "h long, y int, p binary").groupBy("h", "p").agg(F.max("y").alias("y")).collect()
-    found = sorted(found, key=lambda r: (r["h"], bytes(r["p"])))[:max_rows]
+    found = sorted(placed.mapInArrow(keep, "h long, y int, p binary").collect(), key=lambda r: r["h"])
     return fit([np.frombuffer(r["p"], np.int32) for r in found], np.array([r["y"] for r in found], dtype=np.float64))
 
 
