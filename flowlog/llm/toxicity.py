@@ -30,7 +30,7 @@ PLACES = 1 << 18
 FACTORS = 4
 MAX_ROWS = 12_000       # labelled rows that the fit sees at most
 MIN_ROWS = 5
-MEMO = 1 << 17          # words that a worker remembers
+MEMO = 1 << 18          # words that a worker remembers
 MIN_Z = 3.5             # a term must stand out this many standard deviations from the share of positives
 PREFIXES = (4, 5, 6, 7)   # bytes
 CUT = b".,;:!?\"'()[]{}<>|*#%&$-_/\\"
@@ -46,6 +46,14 @@ def term_places(text: bytes) -> np.ndarray:
     return np.unique(np.fromiter(found, dtype=np.int64, count=len(found)) % PLACES).astype(np.int32)
 
 
+def word_places(word: bytes) -> list[int]:
+    """Places of one word's terms, as in :func:`term_places`."""
+    word = word.strip(CUT)
+    if not word:
+        return []
+    return [crc32(word, 1) % PLACES, *[crc32(word[:n], n) % PLACES for n in PREFIXES if len(word) >= n]]
+
+
 class FactorizationMachine:
     def __init__(self, bias: float, linear: np.ndarray, factors: np.ndarray):
         self.bias, self.linear, self.factors = bias, linear, factors
@@ -108,7 +116,7 @@ class TermFinder:
         for word in set(lower_words(text)) - self.dull:
             places = self.known.get(word)
             if places is None:
-                places = tuple(self.used.intersection(term_places(word).tolist()))
+                places = tuple(self.used.intersection(word_places(word)))
                 if places:
                     self.known[word] = places
                 else:
