@@ -28,7 +28,8 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _read(spark, sf_dir, "pages", "page_id", "url")
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    rules = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in URL_RULES])))
     return url_filter.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
