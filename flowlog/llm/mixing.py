@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from flowlog.llm.common import WORD, text_of
+from flowlog.llm.common import WORD, materialise
 
 SLOTS = 256
 MAX_REPEAT = 3
@@ -77,6 +77,7 @@ def systematic_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                                   F.lpad(slot.cast("string"), 4, "0"), F.lit(":"), name))
     cells = (sized.groupBy(F.col(source_col).alias("source"), "mix_cell")
              .agg(F.sum("mix_size").alias("size"), F.count("*").alias("rows")))
+    cells = materialise(cells, "mix-cells")        # a few thousand rows a source, read by both tables below
     targets = source_targets(cells, weights, max_repeat)
     along = Window.partitionBy("source").orderBy("mix_cell").rowsBetween(Window.unboundedPreceding, -1)
     plan = (cells.withColumn("mix_start", F.coalesce(F.sum("rows").over(along), F.lit(0))).select("source", "mix_cell", "mix_start").alias("c")
