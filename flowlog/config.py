@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Union
 
 from pyspark.sql import Column
@@ -79,8 +79,8 @@ class SkewConfig:
 
     ``mode='detect'``: a ``sample_fraction`` sample estimates rows per key;
     keys estimated at ``hot_rows`` or more are split into buckets of about ``bucket_rows`` rows along
-    the first sort column.  The hot-key table holds at most rows /
-    ``hot_rows`` keys (a million for 10^12 rows) and is broadcast.  ``mode='off'``: no splitting.  ``mode='all'``:
+    the first sort column, at sampled quantiles.  The hot-key table holds at most rows /
+    ``bucket_rows`` bounds (80 MB for 10^12 rows) and is broadcast.  ``mode='off'``: no splitting.  ``mode='all'``:
     every key is split (tests exercise the split path with it).
     """
 
@@ -95,15 +95,12 @@ class MiningConfig:
     """Knobs shared by the mining operators.
 
     ``skew`` controls how a case holding a large share of all rows is spread
-    over many tasks; exact percentiles use the ``percentile`` aggregate for
-    groups up to ``quantile_rows`` values and a distributed sort above it;
+    over many tasks; percentiles are exact (see operators/quantiles.py);
     ``approx`` switches to ``percentile_approx``.
     """
 
     skew: SkewConfig = SkewConfig()
     approx: bool = False
     accuracy: int = 10000
-    quantile_rows: int = 5_000_000
     seeds: tuple[str, str] = ("flowlog-a", "flowlog-b")
     hot_cases: object = None   # precomputed hot-key table, see eventlog.with_hot_cases
-    extra: dict = field(default_factory=dict)

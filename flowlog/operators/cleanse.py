@@ -49,21 +49,29 @@ def keep_one(df: DataFrame, keys: Sequence[str], order_col: str, ascending: bool
     remaining columns ascending (nulls last) so the survivor never depends on
     input order (DD1).
 
-    Written as ``min_by(row, ordering)`` - an aggregate that combines map-side,
+    Written as ``min`` over the row in its order - an aggregate that combines map-side,
     so a key holding a large share of the rows is reduced in every map task
-    before the shuffle, unlike a ``row_number`` window.  Null keys form one
+    before the shuffle, unlike a ``row_number`` window - and the columns are read
+    back from the winner, so each value travels once.  Null keys form one
     group, as in a window.
     """
     cols = df.columns
     rest = [c for c in (tie_break if tie_break is not None else cols)
             if c not in keys and c != order_col]
-    dtype = df.schema[order_col].dataType
+    others = [c for c in cols if c not in keys and c != order_col and c not in rest]
     o = F.col(f"`{order_col}`")
-    primary = o if ascending else _descending(o, dtype)
-    ordering = [o.isNull(), primary]
+    ordering = [o.isNull(), o if ascending else _descending(o, df.schema[order_col].dataType)]
+    at = {}
     for c in rest:
+        at[c] = f"f{len(ordering) + 1}"
         ordering += [F.col(f"`{c}`").isNull(), F.col(f"`{c}`")]
-    row = F.struct(*[F.col(f"`{c}`").alias(c) for c in cols])
-    picked = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
-        F.min_by(row, F.struct(*ordering)).alias("_row"))
-    return picked.select(*[F.col("_row").getField(c).alias(c) for c in cols])
+    at[order_col] = f"f{len(ordering)}"
+    ordering.append(o)
+    ordering = F.struct(*[x.alias(f"f{i}") for i, x in enumerate(ordering)])
+    aggs = [F.min(ordering).alias("_row")]
+    if others:
+        aggs.append(F.min_by(F.struct(*[F.col(f"`{c}`").alias(c) for c in others]), ordering).alias("_others"))
+    picked = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*aggs)
+    return picked.select(*[
+        F.col(f"`{c}`").alias(c) if c in keys else F.col("_others").getField(c).alias(c) if c in others
+        else F.col("_row").getField(at[c]).alias(c) for c in cols])

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from flowlog.config import MiningConfig
 from flowlog.functions import month_key
 from flowlog.operators.eventlog import mining_view
-from flowlog.operators.model import _segments, edge_steps, edge_weights, filtered_model, step_counts
+from flowlog.operators.model import edge_steps, edge_weights, filtered_model, step_counts
 
 
 def _allowed(edges: DataFrame, model: DataFrame) -> DataFrame:
@@ -94,17 +94,12 @@ def conformance(log: DataFrame, cfg: MiningConfig = MiningConfig(), noise_thresh
                      F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
     scored = j.groupBy(*by).agg(
         F.sum("_n").alias("_steps"), F.sum(ok).alias("_ok"),
+        # each trace takes one step from the empty prefix
+        F.sum(F.when(F.col("plen") == 0, F.col("_n")).otherwise(0)).alias("total_traces"),
         F.sum(F.col("_n") * (e - t)).alias("_esc"), F.sum(F.col("_n") * e).alias("_den"))
     fit = F.round(1.0 - (F.col("_steps") - F.col("_ok")) / F.col("_steps"), digits)
     prec = F.round(F.when(F.col("_den") > 0, 1.0 - F.col("_esc") / F.col("_den")).otherwise(F.lit(1.0)),
                    digits)
-    view = mining_view(log)
-    if scope == "log":
-        segs = view.select("case_id", F.lit("all").alias("segment")).distinct()
-    else:
-        segs = _segments(view, "case") if scope == "case" else \
-            view.select("case_id", F.col("source").alias("segment")).distinct()
-    traces = segs.join(_case_month(log), "case_id").groupBy(*by).agg(F.count(F.lit(1)).alias("total_traces"))
-    return scored.join(traces, by).select(
+    return scored.select(
         F.col("segment").alias("source"), fit.alias("fitness"), prec.alias("precision"),
         "total_traces", "month")

@@ -28,9 +28,7 @@ def journey_kpis(log: DataFrame, cfg: MiningConfig = MiningConfig(), digits: int
         F.count(F.lit(1)).alias("cases"),
         F.round(F.avg("_dur"), digits).alias("mean_duration_min"),
         F.round(F.avg("_events"), digits).alias("mean_events"))
-    # cases starting in a month are at most the events of that month
-    bound = view.groupBy(month_key("timestamp")).agg(F.count(F.lit(1)).alias("_ub"))
-    med = grouped_quantiles(per_case, keys, "_dur", {"_med": 0.5}, cfg.quantile_rows, bound=bound)
+    med = grouped_quantiles(per_case, keys, "_dur", {"_med": 0.5})
     out = join_on_keys(g, med, keys, "left")
     return out.select(*keys, "cases", "mean_duration_min",
                       F.round(F.col("_med"), digits).alias("median_duration_min"), "mean_events")

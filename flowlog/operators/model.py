@@ -19,13 +19,6 @@ START = "[start]"
 END = "[end]"
 
 
-def _segments(view: DataFrame, scope: str) -> DataFrame | None:
-    """(case_id, segment) pairs for ``scope='case'``: every source a case touches."""
-    if scope != "case":
-        return None
-    return view.select("case_id", F.col("source").alias("segment")).distinct()
-
-
 def edge_steps(log: DataFrame, cfg: MiningConfig = MiningConfig(), scope: str = "case",
                with_prefix: bool = False, with_month: bool = False) -> DataFrame:
     """One row per directly-follows step, START and END included.

@@ -1,16 +1,14 @@
-"""Exact grouped quantiles that stay bounded per task.
+"""Exact grouped quantiles that stay bounded per task, one plan at every size.
 
-Spark's ``percentile`` keeps a map of every distinct value of a group and
-merges it in one task - fine for ordinary groups, unbounded for a group
-holding a large share of all rows.  Here groups are first counted (a
-map-side combined aggregate):
+Spark's ``percentile`` keeps a map of every distinct value of a group and merges
+it in one task, which a group holding a large share of all rows outgrows. Here
 
-* groups with at most ``max_group_rows`` values use ``percentile``;
-* larger groups - at most N / max_group_rows of them - are ranked by a
-  range-partitioned sort of (group, value), which spreads one group over many
-  partitions; per-(partition, group) counts give each row its rank in its
-  group, and only the rows at the target ranks are kept.  The numbered rows
-  are checkpointed so the count and the join see the same partitioning.
+1. equal values of a group are counted (combined map-side);
+2. values fall into bands, ``BANDS`` per doubling of the value, and the counts are
+   summed per band; running sums over a group's bands (at most a few ten
+   thousand, whatever its rows) give the first rank of each band;
+3. only the bands that hold a wanted rank are kept, two per quantile at most, and
+   the values of these bands alone are numbered, each band by itself.
 
 Interpolation is linear between the ranks floor((n-1)q) and ceil((n-1)q),
 the same rule as ``percentile`` and DuckDB's ``quantile_cont``.
@@ -20,9 +18,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-DEFAULT_MAX_GROUP_ROWS = 5_000_000
+BANDS = 1024
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -34,62 +32,39 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
     return left.join(r, cond, how).drop(*[f"_rk{i}" for i in range(len(keys))])
 
 
-def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float],
-                      max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
-                      bound: DataFrame | None = None) -> DataFrame:
-    """(keys..., one column per ``quantiles`` entry); nulls are ignored; groups
-    without values are absent.
-
-    ``bound``: an optional cheap table with a column ``_ub`` whose largest
-    value bounds every group's size (e.g. event counts per activity and month,
-    computed from the log without the ordered pass).  When no ``_ub`` exceeds
-    ``max_group_rows`` - checked with one light ``isEmpty`` job - every group
-    is small and the plain aggregate is used, lazily and exactly.
-    """
-    keys = list(keys)
-    vals = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    if bound is not None and bound.filter(F.col("_ub") > max_group_rows).isEmpty():
-        return vals.groupBy(*keys).agg(
-            *[F.percentile(F.col("_v"), F.lit(q)).alias(name) for name, q in quantiles.items()])
-    counts = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    big = counts.filter(F.col("_n") > max_group_rows)
-    tagged = join_on_keys(vals, big, keys, "left")
-    small_rows = tagged.filter(F.col("_n").isNull()).drop("_n")
-    small = small_rows.groupBy(*keys).agg(
-        *[F.percentile(F.col("_v"), F.lit(q)).alias(name) for name, q in quantiles.items()])
-    large = _sorted_quantiles(tagged.filter(F.col("_n").isNotNull()), keys, quantiles)
-    return small.unionByName(large)
+def _band(v: Column) -> Column:
+    """A whole number that never falls as ``v`` grows; NaN is above all."""
+    size = F.least(F.log2(1.0 + F.abs(v) * float(1 << 26)), F.lit(4096.0))
+    band = F.signum(v) * F.floor(size * BANDS)
+    return F.when(F.isnan(v), F.lit(1 << 30)).otherwise(band.cast("int"))
 
 
-def _sorted_quantiles(rows: DataFrame, keys: list[str], quantiles: dict[str, float]) -> DataFrame:
-    from flowlog.session import checkpoint_dir
-
-    checkpoint_dir(rows.sparkSession)
-    ordered = rows.orderBy(*keys, "_v").withColumn("_mid", F.monotonically_increasing_id())
-    ordered = ordered.withColumns({
-        "_part": F.shiftright(F.col("_mid"), 33),
-        "_local": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)),
-    }).drop("_mid").checkpoint(eager=True)
-    # one row per (partition, group): bounded by #groups + #partitions
-    per_part = ordered.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_c"),
-                                                   F.min("_local").alias("_l0"))
-    w = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    per_part = per_part.withColumn("_goff", F.coalesce(F.sum("_c").over(w), F.lit(0).cast("long")))
-    ranked = join_on_keys(ordered, per_part, ["_part", *keys]).withColumn(
-        "_r", F.col("_goff") + F.col("_local") - F.col("_l0"))
-    # target ranks per quantile (0-based): floor and ceil of (n - 1) q
-    targets = []
-    for name, q in quantiles.items():
-        pos = (F.col("_n") - 1) * F.lit(q)
-        targets.append(F.struct(F.lit(name).alias("q"), F.floor(pos).alias("lo"), F.ceil(pos).alias("hi"),
-                                pos.alias("pos")))
-    t = ranked.withColumn("_t", F.explode(F.array(*targets))) \
-        .filter((F.col("_r") == F.col("_t.lo")) | (F.col("_r") == F.col("_t.hi")))
-    picked = t.groupBy(*keys, F.col("_t.q").alias("_q")).agg(
-        F.first("_t.lo").alias("lo"), F.first("_t.hi").alias("hi"), F.first("_t.pos").alias("pos"),
-        F.max(F.when(F.col("_r") == F.col("_t.lo"), F.col("_v"))).alias("vlo"),
-        F.max(F.when(F.col("_r") == F.col("_t.hi"), F.col("_v"))).alias("vhi"))
-    interp = F.when(F.col("lo") == F.col("hi"), F.col("vlo")).otherwise(
-        (F.col("hi") - F.col("pos")) * F.col("vlo") + (F.col("pos") - F.col("lo")) * F.col("vhi"))
-    return picked.groupBy(*keys).pivot("_q", list(quantiles)).agg(F.first(interp)) \
-        .select(*keys, *[F.col(n).cast("double").alias(n) for n in quantiles])
+def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+    """(keys..., one column per ``quantiles`` entry); nulls are ignored; groups
+    without values are absent."""
+    keys = list(keys)
+    v = F.col("_v")
+    counts = (df.select(*keys, F.col(value).cast("double").alias("_v")).filter(v.isNotNull())
+              .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_band", _band(v)))
+    group = Window.partitionBy(*keys)
+    bands = (counts.groupBy(*keys, "_band").agg(F.sum("_c").alias("_bc"))
+             .withColumns({"_n": F.sum("_bc").over(group),
+                           "_before": F.coalesce(F.sum("_bc").over(
+                               group.orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))}))
+    # 0-based ranks wanted per quantile: floor and ceil of (n - 1) q
+    pos = {name: (F.col("_n") - 1) * F.lit(q) for name, q in quantiles.items()}
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in pos.values()])))
+    bands = bands.withColumn("_ranks", F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_bc")))) \
+        .filter(F.size("_ranks") > 0).drop("_bc")
+    inside = join_on_keys(counts, bands, [*keys, "_band"])
+    up_to = F.sum("_c").over(Window.partitionBy(*keys, "_band").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    inside = inside.withColumn("_end", F.col("_before") + up_to)
+    hit = (inside.withColumn("_r", F.explode("_ranks"))
+           .filter((F.col("_r") < F.col("_end")) & (F.col("_r") >= F.col("_end") - F.col("_c"))))
+    found = hit.groupBy(*keys).agg(F.max("_n").alias("_n"), F.map_from_entries(F.collect_set(F.struct("_r", "_v"))).alias("_at"))
+    out = []
+    for name, p in pos.items():
+        low, high = F.floor(p), F.ceil(p)
+        at_low, at_high = F.col("_at")[low], F.col("_at")[high]
+        out.append(F.when(low == high, at_low).otherwise((high - p) * at_low + (p - low) * at_high).alias(name))
+    return found.select(*keys, *out)

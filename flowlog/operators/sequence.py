@@ -4,12 +4,12 @@ A plain ``Window.partitionBy(case)`` sends every row of a case to one task;
 if one case (or user, or report file) holds a third of all rows, that task
 does a third of the job.  Here:
 
-1. A sample estimates rows per key; keys above a threshold ("hot") get an
-   origin and a bucket width along the first sort column (the time axis).
-   The hot-key table holds at most rows / ``hot_rows`` keys and is broadcast.
-2. Every row gets a bucket: ``floor((axis - origin) / width)`` for hot keys,
-   0 otherwise.  The window runs per (key, bucket), so a hot key is spread
-   over many tasks while ordinary keys see one plain window.
+1. A sample estimates rows per key; keys above a threshold ("hot") get
+   quantiles of the first sort column (the time axis) as bucket bounds. The
+   hot-key table holds at most rows / ``bucket_rows`` bounds and is broadcast.
+2. Every row of a hot key gets a bucket of about equal frequency.  The window
+   runs per (key, bucket), so a hot key is spread over many tasks while
+   ordinary keys see one plain window.
 3. Only hot keys need values that cross a bucket border (neighbours,
    running offsets, carried values).  Their buckets contribute their first
    and last few rows (bounded) to a small bucket table, ordered per key by
@@ -29,6 +29,9 @@ from pyspark.sql import types as T
 from flowlog.config import SkewConfig
 
 
+BOUNDS = 255        # bounds of a hot key at most; a power of two less one
+
+
 def sort_keys(order_by: Sequence) -> list[Column]:
     """Names sort ascending with nulls last (as DuckDB and the oracle do)."""
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by]
@@ -64,29 +67,51 @@ def _left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], axis_col: str, skew: SkewConfig) -> DataFrame | None:
-    """(keys, _h0 origin, _hw bucket width) for keys estimated to be hot."""
+    """(keys, ``_hb`` sampled quantiles of the axis, ``_hm`` parts per stretch) for keys estimated to be hot.
+
+    A key of about n buckets gets min(n, ``BOUNDS`` + 1) stretches of equal
+    frequency, so a burst of events is cut as finely as its rows require; beyond
+    that number each stretch is cut further into ``_hm`` parts of equal width.
+    All bounds together are at most rows / ``bucket_rows`` numbers.
+    """
     if skew.mode == "off":
         return None
-    axis = _axis(df, axis_col)
     frac = 1.0 if skew.mode == "all" else skew.sample_fraction
-    src = df.select(*keys, axis.alias("_ax")).filter(F.col("_ax").isNotNull())
+    src = df.select(*keys, _axis(df, axis_col).alias("_ax")).filter(F.col("_ax").isNotNull())
     for k in keys:
         src = src.filter(F.col(k).isNotNull())
     if frac < 1.0:
         src = src.sample(fraction=frac, seed=17)
-    g = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hc"), F.min("_ax").alias("_h0"),
-                               F.max("_ax").alias("_h1"))
-    est = F.col("_hc") / F.lit(frac)
-    if skew.mode == "all":
-        rows = max(1, skew.bucket_rows)
-        g = g.filter(F.col("_hc") >= 1)
-    else:
-        rows = skew.bucket_rows
-        g = g.filter(est >= F.lit(skew.hot_rows))
-    raw = (F.col("_h1") - F.col("_h0")) * F.lit(float(rows)) / est
-    # a width under one axis unit cannot split the key by time: its buckets then
-    # also follow the next sort columns (see assign_buckets)
-    return g.select(*keys, "_h0", F.greatest(F.lit(1.0), raw).alias("_hw"), (raw < 1.0).alias("_tie"))
+    marks = [i / (BOUNDS + 1) for i in range(1, BOUNDS + 1)]
+    least = 1 if skew.mode == "all" else skew.hot_rows
+    sizes = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hc")) \
+        .filter(F.col("_hc") / F.lit(frac) >= F.lit(least))
+    # only the sampled rows of hot keys reach the quantile sketches
+    g = _left_join(sizes, src, keys).groupBy(*keys).agg(
+        F.max("_hc").alias("_hc"), F.percentile_approx("_ax", marks, 10 * BOUNDS).alias("_q"))
+    n = F.ceil(F.col("_hc") / F.lit(frac) / F.lit(float(max(1, skew.bucket_rows))))
+    stretches = F.least(F.greatest(n, F.lit(2)), F.lit(BOUNDS + 1))
+    # every (BOUNDS + 1) / stretches-th of the marks
+    bounds = F.transform(F.sequence(F.lit(1).cast("long"), stretches.cast("long") - 1),
+                         lambda i: F.get("_q", (F.floor(i * F.lit(BOUNDS + 1) / stretches) - 1).cast("int")))
+    return g.select(*keys, bounds.alias("_hb"),
+                    F.ceil(n / F.lit(float(BOUNDS + 1))).cast("long").alias("_hm"))
+
+
+def _bucket_of(x: Column, bounds: Column, parts: Column) -> tuple[Column, Column, Column]:
+    """(stretch, part, whether rows of this value are split by the next sort columns).
+
+    The stretch is the number of bounds up to ``x``, by binary search. Part 0 of a
+    stretch holds the rows equal to its lower bound; every value that may fill a
+    stretch is such a bound, so these rows are split along the next sort columns.
+    """
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(BOUNDS.bit_length()))])
+    stretch = F.aggregate(steps, F.lit(0), lambda at, s: at + F.when(
+        F.get(bounds, at + s - 1) <= x, s).otherwise(F.lit(0)))
+    low, high = F.get(bounds, stretch - 1), F.get(bounds, stretch)
+    part = F.floor(F.coalesce((x - low) / F.nullif(high - low, F.lit(0.0)), F.lit(0.0)) * parts)
+    tied = F.coalesce(x == low, F.lit(False))
+    return stretch, F.when(tied, F.lit(0).cast("long")).otherwise(part + 1), tied
 
 
 def assign_buckets(df: DataFrame, keys: Sequence[str], axis_col: str, skew: SkewConfig,
@@ -94,25 +119,25 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], axis_col: str, skew: Skew
                    ties: Sequence[str] = ()) -> DataFrame:
     """Add ``bucket_col`` and ``_hot`` (key is split).
 
-    The bucket is a struct: the time bucket, then - only for hot keys whose
-    bucket width is a single axis unit, i.e. one bucket per timestamp - the
-    ``ties`` columns (the next sort columns) as (is-null, value) pairs, which
-    keeps buckets monotone along an ascending, nulls-last order and splits a
-    hot key whose rows share one timestamp.  Ordinary keys get bucket 0.
+    The bucket is a struct that grows along the order: the stretch and part of
+    the axis and, for rows on a bound (where values that fill whole stretches
+    lie, as a day in a date-only export), the ``ties`` columns (the next sort columns) as (is-null,
+    value) pairs. Rows without a position are last. Ordinary keys get one bucket.
 
     ``hot`` is an optional precomputed table from :func:`hot_keys`, keyed by a
     subset of ``keys`` (e.g. hot cases reused for (case, source) keys: any
-    monotone bucketing is correct, so a case-level origin and width serve).
+    monotone bucketing is correct, so case-level bounds serve).
     """
     if hot is None:
         hot = hot_keys(df, keys, axis_col, skew)
         on = list(keys)
     else:
-        on = [k for k in hot.columns if k not in ("_h0", "_hw", "_tie")]
+        on = [k for k in hot.columns if k not in ("_hb", "_hm")]
         if not set(on) <= set(keys):
             raise ValueError(f"hot-key table keyed by {on}, not a subset of {list(keys)}")
-    def struct_of(tb, split):
-        parts = [tb.alias("t")]
+
+    def struct_of(t, part, split):
+        parts = [t.alias("t"), part.alias("p")]
         for i, c in enumerate(ties):
             dt = df.schema[c].dataType
             parts.append(F.when(split, F.col(c).isNull()).otherwise(F.lit(None).cast("boolean")).alias(f"n{i}"))
@@ -120,17 +145,19 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], axis_col: str, skew: Skew
         return F.struct(*parts)
 
     if hot is None:
-        return df.withColumns({bucket_col: struct_of(F.lit(0).cast("long"), F.lit(False)),
+        return df.withColumns({bucket_col: struct_of(F.lit(0), F.lit(0).cast("long"), F.lit(False)),
                                "_hot": F.lit(False)})
+    # at most rows / bucket_rows numbers in all, hence the hint
     d = _left_join(df, hot, on, broadcast=(skew.mode != "all"))
-    tb = F.when(F.col("_hw").isNotNull(),
-                F.floor((_axis(d, axis_col) - F.col("_h0")) / F.col("_hw")).cast("long")) \
-        .otherwise(F.lit(0).cast("long"))
-    # rows without a position sort last, so their bucket is the last one
-    tb = F.when(F.col("_hw").isNotNull() & _axis(d, axis_col).isNull(), F.lit(1 << 62)).otherwise(tb)
-    split = F.coalesce(F.col("_tie"), F.lit(False))
-    return d.withColumns({bucket_col: struct_of(tb, split), "_hot": F.col("_hw").isNotNull()}) \
-        .drop("_h0", "_hw", "_tie")
+    d = d.withColumns({"_hot": F.col("_hb").isNotNull(), "_x": _axis(d, axis_col)})
+    stretch, part, tied = _bucket_of(F.col("_x"), F.col("_hb"), F.col("_hm"))
+    placed = F.col("_hot") & F.col("_x").isNotNull()
+    d = d.withColumns({
+        "_t": F.when(placed, stretch).when(F.col("_hot"), F.lit(BOUNDS + 1)).otherwise(F.lit(0)),
+        "_p": F.when(placed, part).otherwise(F.lit(0).cast("long")),
+        "_s": F.when(placed, tied).otherwise(F.lit(False))})
+    return d.withColumn(bucket_col, struct_of(F.col("_t"), F.col("_p"), F.col("_s"))) \
+        .drop("_hb", "_hm", "_x", "_t", "_p", "_s")
 
 
 def with_neighbors(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from flowlog.config import MiningConfig
 from flowlog.functions import minutes_between, month_key, weekday_label
-from flowlog.operators.eventlog import case_steps, mining_view
+from flowlog.operators.eventlog import case_steps
 from flowlog.operators.quantiles import grouped_quantiles, join_on_keys
 
 
@@ -15,26 +15,16 @@ def _round(c: Column, digits: int | None) -> Column:
 
 
 def _with_quantiles(t: DataFrame, keys: list[str], value: str, quantiles: dict[str, float],
-                    aggs: list[Column], cfg: MiningConfig, bound: DataFrame | None = None) -> DataFrame:
+                    aggs: list[Column], cfg: MiningConfig) -> DataFrame:
     """Plain aggregates plus quantiles per group; exact quantiles stay bounded per task."""
     if cfg.approx:
         return t.groupBy(*keys).agg(*aggs, *[
             F.percentile_approx(value, q, cfg.accuracy).cast("double").alias(n) for n, q in quantiles.items()])
-    if bound is not None and bound.filter(F.col("_ub") > cfg.quantile_rows).isEmpty():
-        # every group is provably small: one aggregate, quantiles included
-        return t.groupBy(*keys).agg(*aggs, *[
-            F.percentile(F.col(value), F.lit(q)).alias(n) for n, q in quantiles.items()])
     base = t.groupBy(*keys).agg(*aggs)
-    qs = grouped_quantiles(t, keys, value, quantiles, cfg.quantile_rows)
+    qs = grouped_quantiles(t, keys, value, quantiles)
     return join_on_keys(base, qs, keys, "left")
 
 
-def _event_bound(log: DataFrame, *cols: Column) -> DataFrame:
-    """Event counts per ``cols`` of the mining view: an upper bound of the size of
-    any transition group keyed by those attributes of one of its events."""
-    return mining_view(log).groupBy(*cols).agg(F.count(F.lit(1)).alias("_ub"))
-
-
 def bottlenecks(log: DataFrame, cfg: MiningConfig = MiningConfig(), digits: int | None = 4) -> DataFrame:
     """Waiting time between consecutive events of the same case *and source* (MN3).
 
@@ -53,8 +43,7 @@ def bottlenecks(log: DataFrame, cfg: MiningConfig = MiningConfig(), digits: int
     agg = _with_quantiles(
         t, ["source", "month", "from_activity", "to_activity"], "minutes", {"_median": 0.5},
         [F.avg("minutes").alias("_mean"), F.stddev_samp("minutes").alias("_std"),
-         F.count(F.lit(1)).alias("n")], cfg,
-        bound=_event_bound(log, F.col("source"), month_key("timestamp"), F.col("activity")))
+         F.count(F.lit(1)).alias("n")], cfg)
     return agg.select(
         "source", "month", "from_activity", "to_activity",
         _round(F.col("_mean"), digits).alias("mean_min"),
@@ -105,8 +94,7 @@ def performance_spectrum(log: DataFrame, cfg: MiningConfig = MiningConfig(),
     ).filter(F.col("minutes") >= 0)
     agg = _with_quantiles(
         t, ["activity", "next_activity", "month", "weekday"], "minutes",
-        {"_median": 0.5, "_p25": 0.25, "_p75": 0.75}, [F.count(F.lit(1)).alias("n")], cfg,
-        bound=_event_bound(log, F.col("activity"), month_key("timestamp"), F.weekday("timestamp")))
+        {"_median": 0.5, "_p25": 0.25, "_p75": 0.75}, [F.count(F.lit(1)).alias("n")], cfg)
     return agg.select("activity", "next_activity", "month", "weekday", "n",
                       _round(F.col("_median"), digits).alias("median_min"),
                       _round(F.col("_p25"), digits).alias("p25_min"),

@@ -4,7 +4,7 @@ import pandas as pd
 import pyspark.sql.functions as F
 
 from flowlog.config import SkewConfig
-from flowlog.operators.sequence import forward_fill, global_rank, with_neighbors, with_prefix_xor
+from flowlog.operators.sequence import assign_buckets, forward_fill, global_rank, with_neighbors, with_prefix_xor
 from tests.conftest import ts
 
 MODES = [SkewConfig(mode="off"), SkewConfig(mode="all", bucket_rows=2),
@@ -85,3 +85,36 @@ def test_shared_hot_case_table_gives_same_results(spark):
     for build in (lambda c: tr.bottlenecks(log, c), lambda c: mv.variants(log, c, as_of="2026-03-31")):
         a, b = build(MiningConfig()), build(shared)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def _largest_bucket(df, order, skew):
+    d = assign_buckets(df, ["k"], order[0], skew, ties=order[1:])
+    return d.groupBy("k", "_b").count().agg(F.max("count")).first()[0]
+
+
+def test_bursty_hot_key_has_no_bucket_above_twice_the_target(spark):
+    skew = SkewConfig(mode="detect", sample_fraction=1.0, hot_rows=1000, bucket_rows=500)
+    # 99 % of the rows fall into one second, the rest over a year
+    df = spark.range(50_000).select(F.lit("hot").alias("k"), F.col("id").alias("i"), F.timestamp_micros(
+        F.when(F.col("id") % 100 > 0, F.pmod(F.xxhash64("id"), F.lit(1_000_000)))
+        .otherwise(F.pmod(F.xxhash64("id"), F.lit(31_536_000_000_000)))).alias("t"))
+    assert _largest_bucket(df, ["t", "i"], skew) <= 1000
+
+
+def test_one_timestamp_hot_key_is_split_at_any_grain(spark):
+    skew = SkewConfig(mode="detect", sample_fraction=1.0, hot_rows=1000, bucket_rows=500)
+    days = F.date_add(F.lit("2024-01-01").cast("date"), F.when(F.col("id") % 10 > 0, 3).otherwise((F.col("id") % 70).cast("int")))
+    df = spark.range(20_000).select(F.lit("hot").alias("k"), days.alias("t"), F.floor(F.col("id") / 200).alias("i"))
+    assert _largest_bucket(df, ["t", "i"], skew) <= 1000
+
+
+def test_modes_agree_with_null_order_values_and_ties(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.choice(["h", "h", "x", None]), rnd.choice([None, 1.0, 1.0, 1.0, 2.0, 7.5, float(rnd.randint(0, 50))]), i) for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, t double, i long")
+    got = []
+    for mode in [SkewConfig(mode="off"), SkewConfig(mode="all", bucket_rows=1),
+                 SkewConfig(mode="detect", sample_fraction=1.0, hot_rows=50, bucket_rows=7)]:
+        out = with_neighbors(df, ["k"], ["t", "i"], ["i"], lags=(1,), leads=(1,), skew=mode)
+        got.append(sorted((r.i, r._pos, r._cnt, r._lag1 and r._lag1.i, r._lead1 and r._lead1.i) for r in out.collect()))
+    assert got[0] == got[1] == got[2]
