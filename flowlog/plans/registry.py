@@ -36,7 +36,7 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-MODULES = ("q_eventlog", "q_mining", "q_model", "q_quality", "q_io", "q_hospital")  # order matters: q_hospital reuses SQL
+MODULES = ("q_eventlog", "q_mining", "q_model", "q_quality", "q_io", "q_hospital", "q_exports")  # order matters: later ones reuse SQL
 
 
 def _load() -> None:
