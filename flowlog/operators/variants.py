@@ -50,8 +50,8 @@ def variants(log: DataFrame, cfg: MiningConfig = MiningConfig(),
     seqs = _sequences(view, groups.select("case_id"), cfg)
     table = groups.join(seqs, "case_id").select(
         "sequence", F.col("trace_len").cast("int").alias("n_events"), "n_cases")
-    table = table.withColumn("_total", fps.agg(F.count(F.lit(1))).scalar())  # scalar subquery
     ranked = global_rank(table, [F.col("n_cases").desc(), F.col("sequence").asc()])
+    ranked = ranked.withColumn("_total", ranked.agg(F.sum("n_cases")).scalar())  # of the ranked table, not of the log
     stamp = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     return ranked.select(
         "rank", "sequence", "n_events", "n_cases",

@@ -2,7 +2,8 @@ import os
 import uuid
 
 
-from flowlog.operators.eventlog import mining_view
+from flowlog.config import LOG_COLUMNS
+from flowlog.operators.eventlog import mining_view, with_case_duration
 from flowlog.plans import sample_logs
 from flowlog.session import checkpoint_dir
 from flowlog.sources.files import read_delimited, write_delimited
@@ -69,11 +70,12 @@ def test_latin1_round_trip(spark):
 
 
 def test_xes_round_trip_is_lossless(spark):
-    log = sample_logs.session_log(spark, SF001)
+    log = with_case_duration(sample_logs.order_log(spark, SF001))
     path = os.path.join(_root(spark), "xes")
     export_xes(log, path)
-    back = read_xes(spark, path).select("case_id", "activity", "timestamp", "source", "specialty")
-    orig = mining_view(log).select("case_id", "activity", "timestamp", "source", "specialty")
+    back = read_xes(spark, path)
+    orig = mining_view(log).select(*LOG_COLUMNS)
+    assert back.columns == LOG_COLUMNS
     assert back.exceptAll(orig).count() == 0 and orig.exceptAll(back).count() == 0
     months = [d for d in os.listdir(path) if d.startswith("month=")]
-    assert months == ["month=2024-01"]
+    assert len(months) > 12
