@@ -7,29 +7,30 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window, functions as F
 
 from flowlog.config import MiningConfig
-from flowlog.operators.eventlog import event_order, mining_view, variant_fingerprints
+from flowlog.operators.eventlog import event_order, mining_view
 from flowlog.operators.sequence import assign_buckets, global_rank
 
 ARROW = " → "
 
 
-def _sequences(view: DataFrame, cases: DataFrame, cfg: MiningConfig) -> DataFrame:
-    """Activity string of the given cases, built from per-bucket pieces.
+def case_sequences(log: DataFrame, cfg: MiningConfig = MiningConfig()) -> DataFrame:
+    """Per case: ``sequence`` (activities in order) and ``n_events``, in one pass over the log.
 
     Each (case, bucket) piece is a sorted ``collect_list`` (bounded by the
     hot-key threshold or the bucket size); pieces are joined in bucket order.
     """
-    picked = view.join(cases, "case_id", "left_semi")
-    order = event_order(picked)
-    pieces = (assign_buckets(picked, ["case_id"], "timestamp", cfg.skew, hot=cfg.hot_cases,
+    view = mining_view(log)
+    order = event_order(view)
+    pieces = (assign_buckets(view, ["case_id"], "timestamp", cfg.skew, hot=cfg.hot_cases,
                              ties=order[1:4])
               .groupBy("case_id", "_b")
-              .agg(F.array_join(F.transform(
+              .agg(F.count(F.lit(1)).alias("_n"), F.array_join(F.transform(
                   F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order], F.col("activity").alias("_a")))),
                   lambda x: x["_a"]), ARROW).alias("_piece")))
     return pieces.groupBy("case_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_b", "_piece"))),
-                                 lambda x: x["_piece"]), ARROW).alias("sequence"))
+                                 lambda x: x["_piece"]), ARROW).alias("sequence"),
+        F.sum("_n").cast("int").alias("n_events"))
 
 
 def variants(log: DataFrame, cfg: MiningConfig = MiningConfig(),
@@ -40,16 +41,10 @@ def variants(log: DataFrame, cfg: MiningConfig = MiningConfig(),
     the sequence length (repeats counted); ``coverage_pct`` = round(100 n / N, 2);
     ``as_of`` stamps the reference date (today when omitted).
 
-    Variants are found by fingerprint (a per-case aggregate), and the string
-    is built only for one representative case per variant.
+    The log is passed once: sequences are built per case and counted, and equal
+    ones combine map-side before the counting shuffle.
     """
-    view = mining_view(log)
-    fps = variant_fingerprints(view, cfg)
-    groups = fps.groupBy("trace_len", "fp1", "fp2").agg(
-        F.count(F.lit(1)).alias("n_cases"), F.min("case_id").alias("case_id"))
-    seqs = _sequences(view, groups.select("case_id"), cfg)
-    table = groups.join(seqs, "case_id").select(
-        "sequence", F.col("trace_len").cast("int").alias("n_events"), "n_cases")
+    table = case_sequences(log, cfg).groupBy("sequence", "n_events").agg(F.count(F.lit(1)).alias("n_cases"))
     ranked = global_rank(table, [F.col("n_cases").desc(), F.col("sequence").asc()])
     ranked = ranked.withColumn("_total", ranked.agg(F.sum("n_cases")).scalar())  # of the ranked table, not of the log
     stamp = F.current_date() if as_of is None else F.lit(as_of).cast("date")
