@@ -48,20 +48,36 @@ class SilverSpec:
     dedup_order: str | None = None
     dedup_ascending: bool = True
     drops: tuple[str, ...] = field(default=INGEST_COLUMNS)
+    optional: tuple[str, ...] = ()                     # columns that an export may lack
+
+    def needed(self) -> list[str]:
+        """Columns (renamed) that the export must hold: all that the spec reads, but the optional ones."""
+        read = [dict(self.renames).get(c, c) for c, _ in self.filters] + [c for _, c in self.renames]
+        read += [c for c, _, _ in self.repairs]
+        read += [*self.sentinels, *self.respace, *self.ints, *self.dedup_keys]
+        read += [c for _, d, t, _ in self.combine for c in (d, t)] + [c for _, c, _ in self.derive]
+        read += [c for _, names in (*self.timestamps, *self.dates) for c in names]
+        read += [c for _, a, b in (*self.violation_flags, *self.ok_flags) for c in (a, b)]
+        read += [self.dedup_order] if self.dedup_order else []
+        made = {out for out, *_ in (*self.combine, *self.derive)}
+        return [c for c in dict.fromkeys(read) if c not in made and c not in self.optional]
 
 
 def build_silver(bronze: DataFrame, spec: SilverSpec) -> DataFrame:
     """Apply a :class:`SilverSpec`; ``drop`` rules remove rows, ``warn`` rules only report.
 
-    Columns the spec names but the export lacks are skipped (a flag over a
-    missing column sees null), so one spec serves exports of varying width.
+    A column that the spec reads and the export lacks is an error, unless the
+    spec lists it as optional; then its steps are left out (a flag over it sees null).
     """
     df = bronze
-    for c, v in spec.filters:
-        df = df.filter(F.col(c) == v)
     if spec.renames:
         df = df.withColumnsRenamed(dict(spec.renames))
     present = set(df.columns)
+    absent = [c for c in spec.needed() if c not in present]
+    if absent:
+        raise ValueError(f"{spec.bronze} lacks {', '.join(absent)}")
+    for c, v in spec.filters:
+        df = df.filter(F.col(dict(spec.renames).get(c, c)) == v)
 
     def col(c):
         return F.col(f"`{c}`")
@@ -114,7 +130,7 @@ def build_silver(bronze: DataFrame, spec: SilverSpec) -> DataFrame:
 def silver_metrics(silver: DataFrame, spec: SilverSpec) -> DataFrame:
     """Expectation results of one Silver table (computed on its output, after dedup).
 
-    Rules over columns the table lacks are skipped.
+    Rules over optional columns that the table lacks are skipped.
     """
     cols = set(silver.columns)
     rules = [r for r in spec.rules
@@ -202,6 +218,9 @@ SILVER: dict[str, SilverSpec] = {
         drops=("CONTA", "TOTAL_CONTA", "CONTA_FECHADA", "CD_LEITO", "ENCAMINHADO_LEITO",
                "DT_HR_TRANF_LEITO", "DT_HR_SAIDA_LEITO", "DT_ATENDIMENTO_FILTRO", "IDADE", "EMPRESA",
                *INGEST_COLUMNS),
+        # read by no flag, key, event or case attribute
+        optional=("CHAMADA_CLASSIFICACAO", "CHAMADA_CAD_RECEP", "DH_ATEND_MEDICO", "DT_HR_TRANF_LEITO",
+                  "DT_HR_SAIDA_LEITO", "COD_TRIAGEM", "REGISTRO_ANS"),
     ),
     "silver_cirurgias": SilverSpec(
         name="silver_cirurgias", bronze="bronze_cirurgias_raw",

@@ -2,6 +2,7 @@
 
 import os
 import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,3 +57,15 @@ def test_reordered_header_fails(spark):
         f.write("B;A\n1;2\n")
     with pytest.raises(Exception, match="FAILED_READ_FILE"):
         ingest_to_bronze(spark, IngestSource(folder=land, table="t", columns=("A", "B")), os.path.join(root, "b"), os.path.join(root, "c"))
+
+
+def test_absent_export_column_is_an_error(spark):
+    spec = h.SILVER["silver_internacoes"]
+    names = ["ATENDIMENTO", "DT_HR_ATENDIMENTO", "DT_HR_ALTA", "IDADE"]
+    short = spark.createDataFrame([("1", "2026-03-01 07:00:00", "2026-03-01 09:00:00", "40")], names)
+    with pytest.raises(ValueError, match="CD_ORIGEM"):
+        h.build_silver(short, spec)
+    row = h.build_silver(short, replace(spec, optional=("CD_ORIGEM",))).collect()[0]
+    assert (row.CD_INTERNACAO, row.IDADE, row.flag_atendimento_alta) == ("1", 40, True)
+    with pytest.raises(ValueError, match="CD_INTERNACAO"):
+        h.build_silver(short.drop("ATENDIMENTO"), spec)
