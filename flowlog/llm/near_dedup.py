@@ -21,7 +21,13 @@ set form one class, whatever their number, and only classes go on.
 5. The classes of step 3 go through steps 1 to 3 once more with their full sets for
    sketches, so what two of them have in common beside the long lists is found.
 6. Pairs are decided on the full sets. Components of these links, by minimum labels with
-   pointer jumping, are the groups.
+   pointer jumping, are the groups so far.
+7. Classes still made of long lists are compared exactly. Two of them that have met in no
+   short list have all they share in values of long lists, and reach the threshold only if
+   they share one among the rarest of these in both (prefix filter). A part, the classes with
+   the same rarest shared value, that is long is split by the next shared value, until
+   comparing its classes costs no more than splitting it. Only classes of different groups
+   are compared, so a large group of variants costs nothing here. New links join the groups.
 
 Cases: null, empty and white-space texts have no shingle, are linked with nothing and
 kept; a text with fewer words than a shingle is one shingle of all its words; of rows
@@ -41,6 +47,8 @@ from flowlog.llm.common import U64, as_bytes, hash_words, lower_words, materiali
 
 SKETCH = 32
 LIST_MAX = 32
+SPLITS = 4              # values after the first that split a part; what is long after them is compared in chunks
+CHUNK = 4096            # classes of a part that one task compares with the others
 BROADCAST_IDS = 1_000_000       # candidate ids that may be broadcast (16 MB); more are joined by shuffling
 _SLICE = 1 << 20
 
@@ -170,9 +178,65 @@ def verified_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             .where(100 * inter >= percent * (F.size("sa") + F.size("sb") - inter)).select("a", "b"))
 
 
+def prefixes(again: DataFrame, still: DataFrame, found: DataFrame, classes: DataFrame, percent: int, list_max: int) -> DataFrame:
+    """Per class made of long lists: its values of long lists, rarest first, how many of them are its prefix, and its group so far."""
+    long = (again.where(F.col("listed") > list_max).join(still.select("cls"), "cls").groupBy("cls")
+            .agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("listed", "value"))).alias("m"))
+            .select("cls", "n", F.col("m.value").alias("long")))
+    # of n values at least percent are shared, all in long lists: the first shared one has at most n - shared long ones before it
+    first = F.size("long") - F.ceil(F.col("n") * percent / F.lit(100)).cast("int") + 1
+    named = classes.select("cls", "least_id").join(found, "cls", "left").select(
+        "cls", F.struct(F.coalesce("component", "least_id").alias("id"), F.when(F.col("component").isNull(), F.col("cls")).alias("own")).alias("part_of"))
+    # values that all share, at the end: pairs with fewer shared values than splits still meet
+    ends = F.array(*[F.lit(i).cast("long") for i in range(SPLITS)])
+    return (long.withColumn("first", first).where("first > 0").withColumn("long", F.concat("long", ends))
+            .join(named, "cls").withColumn("part_of", F.xxhash64("part_of.id", "part_of.own")))
+
+
+def part_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of different groups in the same part; the part's largest group is not compared with itself."""
+    member = members.withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int"))
+    left = (member.where(F.col("part_of") != F.col("main"))
+            .select("part", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("part_of").alias("gx"),
+                    F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")))
+    right = member.select("part", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("part_of").alias("gy"), "main",
+                          F.pmod(F.hash("cls"), F.col("chunks")).alias("chunk"))
+    return (left.join(right, ["part", "chunk"])
+            .where((F.col("gx") != F.col("gy")) & ((F.col("gy") == F.col("main")) | (F.col("x") < F.col("y")))
+                   & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")))
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+
+
+def exact_pairs(ordered: DataFrame, percent: int, list_max: int) -> list[DataFrame]:
+    """Every pair of different groups that can reach the threshold on values of long lists, by parts."""
+    base = materialise(ordered, "near-prefixes")
+    rows = base.select("cls", "n", "part_of", "first", F.posexplode(F.expr("slice(long, 1, first)")).alias("at", "part"))
+    out = []
+    for split in range(SPLITS + 1):
+        rows = materialise(rows, "near-parts")
+        # a class goes to one part for each value that may be the next shared one: up to ``first`` + split places from the start
+        onward = F.col("first") + split - F.col("at")
+        groups = rows.groupBy("part", "part_of").agg(F.count("*").alias("c"), F.sum(onward).alias("onward"))
+        parts = (groups.groupBy("part").agg(F.sum("c").alias("size"), F.max_by("part_of", F.struct("c", "part_of")).alias("main"),
+                                            ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs"),
+                                            F.sum("onward").alias("onward"))
+                 .where("pairs > 0"))
+        compare = F.lit(True) if split == SPLITS else F.col("pairs") <= F.greatest(F.lit(list_max * list_max / 2), F.col("onward"))
+        parts = materialise(parts.select("part", "size", "main", compare.alias("compare")), "near-part-sizes")
+        state = {r["compare"] for r in parts.select("compare").distinct().collect()}
+        if True in state:
+            out.append(part_pairs(rows.join(parts.where("compare"), "part"), percent))
+        if False not in state:
+            break
+        rows = (rows.join(parts.where("not compare").select("part"), "part").join(base.select("cls", "long"), "cls")
+                .select("cls", "n", "part_of", "first", "part", "at",
+                        F.posexplode(F.expr(f"slice(long, at + 2, first + {split} - at)")).alias("next", "value"))
+                .select("cls", "n", "part_of", "first", (F.col("at") + 1 + F.col("next")).alias("at"), F.xxhash64("part", "value").alias("part")))
+    return out
+
+
 def components(links: DataFrame, classes: DataFrame) -> DataFrame:
     """(cls, component): the smallest id of the classes reachable over links."""
-    links = materialise(links, "near-links")
     edges = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).select(F.col("a").alias("src"), F.col("b").alias("dst"))
     name = F.struct(F.col("least_id").isNull().alias("none"), F.col("least_id").alias("id"), F.col("cls").alias("root"))
     labels = materialise(edges.select(F.col("src").alias("cls")).distinct().join(classes, "cls").select("cls", name.alias("label")), "near-labels")
@@ -209,11 +273,21 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sets = sets_of(docs, wanted, classes, width, id_col, text_col)
     # the classes made of long lists once more, by all their values instead of a sketch
     whole = classes.join(common.select("cls"), "cls").join(sets, "cls").select("cls", "n", "copies", F.col("shingles").alias("sketch"))
-    again = shared_values(whole)
+    again = materialise(shared_values(whole), "near-lists")
     still = common_classes(again, percent, list_max, 0.0)
     more = short_list_pairs(again, percent, list_max).unionByName(leader_pairs(again, still, percent, list_max, drawn=False))
     links = verified_links(pairs.select("a", "b").unionByName(more.select("a", "b")).distinct(), sets, percent)
+    links = materialise(links, "near-links")
     found = components(links, classes)
+    # what is still made of long lists: every pair of different groups that can reach the threshold
+    rest = exact_pairs(prefixes(again, still, found, classes, percent, list_max), percent, list_max)
+    if rest:
+        met = rest[0]
+        for pairs in rest[1:]:
+            met = met.unionByName(pairs)
+        extra = materialise(verified_links(likely_pairs(met.distinct(), classes, percent, sketch), sets, percent), "near-links")
+        if not extra.isEmpty():
+            found = components(links.unionByName(extra), classes)
     named = (classes.select("cls", "least_id").join(found, "cls", "left")
              .select("cls", F.coalesce("component", "least_id").alias("component")))
     rows = per_row.select(id_col, "cls", "n_shingles").join(named, "cls", "left")

@@ -226,6 +226,37 @@ def test_near_dedup_long_lists(spark):
     assert got == want
 
 
+def form_letters(options, fields=30, letters=300, planted=60):
+    """Letters of fields filled from short lists; of each planted pair the second differs from the first in one field."""
+    rng = np.random.default_rng(11)
+    picks = [rng.integers(0, options, fields) for _ in range(letters)]
+    for p in list(picks[:planted]):
+        other = p.copy()
+        other[rng.integers(0, fields)] += 1
+        picks.append(other % options)
+    return {i: " ".join(f"f{f}o{o}w{k}" for f, o in enumerate(p) for k in range(6)) for i, p in enumerate(picks)}
+
+
+@pytest.mark.parametrize("options", [2, 3])
+def test_near_dedup_form_letters(spark, options):
+    """All values of all letters lie in long lists, and pairs have no leader in common."""
+    rows = form_letters(options)
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    want, _ = near_brute({i: t.encode() for i, t in rows.items()}, 3, 85)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(docs, width=3, percent=85, list_max=8).collect()}
+    assert sum(i != c for i, c in want.items()) >= 60 and got == want
+
+
+def test_near_dedup_short_texts_of_common_words(spark):
+    """Sets of few values, all in long lists: pairs that share fewer values than a part is split by."""
+    rng = np.random.default_rng(3)
+    rows = {i: " ".join(rng.choice([f"w{k}" for k in range(10)], size=rng.integers(1, 9), replace=False)) for i in range(80)}
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    want, _ = near_brute({i: t.encode() for i, t in rows.items()}, 1, 85)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(docs, width=1, percent=85, list_max=1).collect()}
+    assert got == want
+
+
 def test_near_dedup_awkward(awkward, empty):
     got = near_dedup.near_groups(awkward).collect()
     assert len(got) == len(AWKWARD)
