@@ -11,8 +11,8 @@ number is bounded by twice the tokens of an average page): classes whose tokens
 are once in their pages form the skeleton; other classes are valid if all their
 tokens nest in one slot of it (list items in a menu, paragraphs in an article). Template
 tokens cut the pages into slots. A slot is main text if it lies in the article (the
-``article`` or ``main`` token; else the slot subtree with most text that is not links)
-and no token around it below that names a menu, footer, advert, form, comment or the
+``article`` or ``main`` token; else, page by page, the deepest container around all text that is
+neither links nor in a side part, with its whole subtree) and no token around it below that names a menu, footer, advert, form, comment or the
 like. A page's text is that of its main slots; page-specific markup inside a
 slot belongs to the slot. A page without its host's article token is read by the same
 rule from its own tokens.
@@ -51,6 +51,7 @@ SIDE_WORDS = set("ad ads adv advert adverts advertisement advertising sponsor sp
                  "subscribe signup login search share sharing social related recommended comment comments disqus reply replies "
                  "widget toolbar skip pagination".split())
 MAIN_TAGS = ("article", "main")
+HOLDERS = set("html body article section main div center".split())     # what may hold a whole text: no list, table or paragraph
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
@@ -141,13 +142,20 @@ def main_roots(weights: dict[str, tuple[int, int]]) -> list[str]:
         found = sorted(p for p in weights if _name(p) == wanted and not any(is_side(x) for x in p.split("/")[1:]))
         if found:
             return [p for p in found if not any(p.startswith(q + "/") for q in found)]
-    total: dict[str, int] = {}
+    around = None
     for path, (chars, links) in weights.items():
-        if any(is_side(x) or x.partition(".")[0] == "header" for x in path.split("/")[1:]) or 2 * links > chars:
+        if not chars or any(is_side(x) or x.partition(".")[0] == "header" for x in path.split("/")[1:]) or 2 * links > chars:
             continue
-        holder = path.rpartition("/")[0] if _name(path) in ("p", "li", "blockquote", "pre", "h1", "h2", "h3", "h4") else path
-        total[holder] = total.get(holder, 0) + chars
-    return [max(sorted(total), key=total.get)] if total else []
+        steps = path.split("/")
+        if around is not None:
+            same = next((i for i, (x, y) in enumerate(zip(steps, around)) if x != y), min(len(steps), len(around)))
+            steps = steps[:same]
+        around = steps
+    if around is None:
+        return []
+    while len(around) > 1 and around[-1].partition(".")[0] not in HOLDERS:
+        around.pop()
+    return ["/".join(around)]
 
 
 def main_slots(tokens: set[str], roots: list[str]) -> set[str]:
@@ -239,7 +247,7 @@ def deduce(host: str, rows: list[dict]) -> tuple[set[str], set[str], list[str]]:
         for slot in {slot_of(t) for t in repeated}:       # a class that spans slots is split into one per slot
             template |= {t for t in repeated if slot_of(t) == slot}
     weights = {r["token"]: (r["chars"], r["links"]) for r in rows if r["token"] in template}
-    roots = main_roots(weights)
+    roots = [p for p in main_roots(weights) if _name(p) in MAIN_TAGS]      # without one, each page is read by its own tokens
     return template, main_slots(template, roots), roots
 
 

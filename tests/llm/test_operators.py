@@ -368,6 +368,25 @@ def test_html_main_text(spark):
     assert html_extract.extract_main_text(pages.limit(0)).count() == 0
 
 
+def main_texts(spark, pages):
+    """Main text of pages of one host; the pages differ in ``{i}``."""
+    rows = [(k, "http://c.org/%d" % k, h) for k, h in enumerate(pages)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return [r.main_text for r in html_extract.extract_main_text(frame).orderBy("page_id").collect()]
+
+
+def test_html_text_of_several_containers(spark):
+    """Without an article: heading, lead, list, table and sections beside the largest are main text."""
+    body = ("<div class=post><h1>Head {i}</h1><div class=lead><p>Lead {i}</p></div><div class=body><p>Body of many more words than "
+            "the lead has, page {i}</p><ul><li>Item {i}<li>Other {i}</ul><table><tr><td>Cell {i}<td>Next {i}</table></div>"
+            "<div class=more><p>More {i}</p></div>{own}</div>")
+    got = main_texts(spark, [PAGE.format(i=i, body=body.format(i=i, own="<section class=once><p>Only here</p></section>" * (i == 2)))
+                             for i in range(5)])
+    for i, text in enumerate(got):
+        want = (f"Head {i} Lead {i} Body of many more words than the lead has, page {i} Item {i} Other {i} Cell {i} Next {i} More {i}")
+        assert text == want + " Only here" * (i == 2)
+
+
 def test_html_articles_of_the_tables(spark):
     import html as h
     import re
