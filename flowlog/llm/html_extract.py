@@ -35,6 +35,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from flowlog.llm.common import as_bytes, materialise, ship_package
 from flowlog.llm.url_filter import url_host
 
+MIN_PAGES = 3           # pages of a host from which on it tells what is beside the main text
 SUPPORT = 0.5           # share of a host's pages that a template token is in
 
 # fixed values: HTML element names
@@ -46,11 +47,15 @@ BREAK = {"br", "hr"}
 ENDS_P = BLOCK - {"html", "head", "title", "body"}
 # fixed values: names that mark parts of a page other than its main text
 SIDE_TAGS = set("head title nav footer aside form menu dialog".split())
-SIDE_WORDS = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu "
-                 "breadcrumb breadcrumbs sidebar footer header masthead notice cookie cookies consent gdpr popup modal overlay alert newsletter "
-                 "subscribe signup login search share sharing social related recommended comment comments disqus reply replies "
-                 "widget toolbar skip pagination".split())
+SIDE_WORDS = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo nav navbar navigation menu "
+                 "breadcrumb breadcrumbs sidebar footer cookie cookies consent cookie-notice cookie-banner gdpr popup modal newsletter "
+                 "subscribe signup login share sharing social related recommended comment comments disqus reply replies "
+                 "widget toolbar pagination".split())
+SITE_WORDS = set("header masthead banner notice alert overlay search skip".split())      # only where no article holds them
+# containers that a name may mark
+NAMED = set("div section ul ol dl table center".split())
 MAIN_TAGS = ("article", "main")
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 HOLDERS = set("html body article section main div center".split())     # what may hold a whole text: no list, table or paragraph
 
 _TOKEN = re.compile(
@@ -60,13 +65,26 @@ _NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
 _LABEL = re.compile(r"\s(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _DIGITS = re.compile(r"\d+")
 _WORDS = re.compile(r"[a-z]+")
+_HEADING = re.compile(r"\s*(?:<(?!h[1-6]\b)[^>]*>\s*){0,4}<h[1-6]\b[^>]*>(.{0,200}?)</h[1-6]", re.S | re.I)
 
 
-def _label(name: str, tag: str) -> str:
+def _slug(text: str) -> str:
+    return " ".join(_WORDS.findall(html.unescape(re.sub(r"<[^>]*>", " ", text)).lower()))
+
+
+def _label(name: str, tag: str, page: str, end: int) -> str:
+    """Name and marks as .class=.., .id=.., .role=..; an id that repeats the heading it stands before is marked .own=.."""
     if "=" not in tag:
         return name
-    marks = [(k.lower(), a or b or c) for k, a, b, c in _LABEL.findall(tag)]
-    return name + "".join(f".{' '.join(_DIGITS.sub('0', v).replace('/', ' ').lower().split())}" for _, v in sorted(marks))
+    out = name
+    for kind, value in sorted((k.lower(), a or b or c) for k, a, b, c in _LABEL.findall(tag)):
+        words = _DIGITS.sub("0", value).replace("/", " ").replace(".", "_").lower().split()
+        if kind == "id" and not SIDE_WORDS.isdisjoint(words):
+            heading = _HEADING.match(page, end)
+            if heading and _slug(heading.group(1)) == _slug(value):
+                kind = "own"
+        out += f".{kind}={' '.join(words)}"
+    return out
 
 
 def page_blocks(page: str):
@@ -117,7 +135,7 @@ def page_blocks(page: str):
             stack.pop()
         if name in ("li", "dt", "dd", "tr", "td", "th") and stack and stack[-1][0] == name:
             stack.pop()
-        path = (stack[-1][1] if stack else "") + "/" + _label(name, tag)
+        path = (stack[-1][1] if stack else "") + "/" + _label(name, tag, page, m.end())
         tokens.append(path)
         stack.append((name, path))
     if at < len(page):
@@ -126,25 +144,55 @@ def page_blocks(page: str):
     return tokens, blocks
 
 
-def is_side(label: str) -> bool:
-    """Whether a tag with its classes and ids names something beside the main text."""
+def is_side(label: str, confirmed: bool = False) -> bool:
+    """Whether a tag is beside the main text by its name, or a container by a whole word of its class, role or id.
+
+    An id that repeats the container's heading counts only if ``confirmed``: in many pages of the host."""
     name, _, marks = label.partition(".")
-    return name in SIDE_TAGS or bool(marks) and not SIDE_WORDS.isdisjoint(_WORDS.findall(marks))
+    if name in SIDE_TAGS:
+        return True
+    if not marks or name not in NAMED:
+        return False
+    for mark in marks.split("."):
+        kind, _, words = mark.partition("=")
+        if (kind != "own" or confirmed) and not SIDE_WORDS.isdisjoint(words.split()):
+            return True
+    return False
+
+
+def side_part(path: str, sides: set[str] | None, start: int = 0) -> bool:
+    """Whether a step of ``path`` after its first ``start`` characters opens a side part: by names alone, or if
+    ``sides`` is known (the named containers in MIN_PAGES pages of the host or more) by these and by side tags."""
+    at = path.find("/", start)
+    while at >= 0:
+        end = path.find("/", at + 1)
+        label = path[at + 1:] if end < 0 else path[at + 1:end]
+        if (is_side(label) if sides is None else label.partition(".")[0] in SIDE_TAGS or (path if end < 0 else path[:end]) in sides):
+            return True
+        at = end
+    return False
 
 
 def _name(path: str) -> str:
     return path.rpartition("/")[2].partition(".")[0]
 
 
-def main_roots(weights: dict[str, tuple[int, int]]) -> list[str]:
+def _site_part(path: str) -> bool:
+    """Whether a container around ``path`` is named like the head of a site, and no heading."""
+    labels = [x.partition(".") for x in path.split("/")[1:]]
+    return labels[-1:] != [] and _name(path) not in HEADINGS and any(
+        name == "header" or name in NAMED and not SITE_WORDS.isdisjoint(marks.replace(".", " ").replace("=", " ").split()) for name, _, marks in labels)
+
+
+def main_roots(weights: dict[str, tuple[int, int]], sides: set[str] | None = None) -> list[str]:
     """Paths of the article; ``weights`` has (characters, of them in links) directly below each path."""
     for wanted in MAIN_TAGS:
-        found = sorted(p for p in weights if _name(p) == wanted and not any(is_side(x) for x in p.split("/")[1:]))
+        found = sorted(p for p in weights if _name(p) == wanted and not side_part(p, sides))
         if found:
             return [p for p in found if not any(p.startswith(q + "/") for q in found)]
     around = None
     for path, (chars, links) in weights.items():
-        if not chars or any(is_side(x) or x.partition(".")[0] == "header" for x in path.split("/")[1:]) or 2 * links > chars:
+        if not chars or 2 * links > chars or side_part(path, sides) or _site_part(path):
             continue
         steps = path.split("/")
         if around is not None:
@@ -158,35 +206,18 @@ def main_roots(weights: dict[str, tuple[int, int]]) -> list[str]:
     return ["/".join(around)]
 
 
-def main_slots(tokens: set[str], roots: list[str]) -> set[str]:
-    """Of the template's tokens those that open a slot of main text."""
-    kept = set()
-    for path in tokens:
-        for root in roots:
-            if path == root or path.startswith(root + "/"):
-                if not any(is_side(x) for x in path[len(root):].split("/")[1:]):
-                    kept.add(path)
-    return kept
-
-
-def extract(blocks, template: set[str], slots: set[str], roots: list[str]) -> str:
-    """Text of the blocks in main slots: the longest template token around a block decides."""
+def extract(blocks, roots: list[str], sides: set[str] | None) -> str:
+    """Text of the blocks in the article and in no side part of it."""
     if not roots or not any(b[0] == r or b[0].startswith(r + "/") for b in blocks for r in roots):
         weights: dict[str, tuple[int, int]] = {}
         for path, text, links in blocks:
             chars, linked = weights.get(path, (0, 0))
             weights[path] = (chars + len(text), linked + min(links, len(text)))
         steps = {"/".join(p.split("/")[:i]): (0, 0) for p in weights for i in range(2, p.count("/") + 2)}
-        roots = main_roots({**steps, **weights})
-        template = set(weights) | set(steps)
-        slots = main_slots(template, roots)
+        roots = main_roots({**steps, **weights}, sides)
     out = []
     for path, text, _ in blocks:
-        around, own = path, []
-        while around and around not in template:
-            around, _, last = around.rpartition("/")
-            own.append(last)
-        if around in slots and not any(is_side(x) for x in own):
+        if any((path == r or path.startswith(r + "/")) and not side_part(path, sides, len(r)) for r in roots):
             out.append(text)
     return " ".join(out)
 
@@ -219,54 +250,43 @@ def token_counts(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
             columns = list(zip(*[(*k, *v) for k, v in found.items()])) if found else [()] * 8
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()),
                                               *[pa.array(c, pa.int64()) for c in columns[2:]]],
-                                             names=["host", "token", "va", "vb", "pages", "times", "chars", "links"])
+                                             names=["host", "token", "va", "vb", "pages", "times", "chars", "links"]).append_column(
+                                                 "side", pa.array([is_side(t.rpartition("/")[2], confirmed=True) for t in columns[1]], pa.bool_()))
 
     counted = pages.select(id_col, "host", html_col).mapInArrow(
-        run, "host string, token string, va long, vb long, pages long, times long, chars long, links long")
+        run, "host string, token string, va long, vb long, pages long, times long, chars long, links long, side boolean")
     sums = [F.sum(F.col(c).cast("decimal(38,0)") if c in ("va", "vb") else F.col(c)).alias(c) for c in ("va", "vb", "pages", "times", "chars", "links")]
-    return counted.groupBy("host", "token").agg(*sums)
-
-
-def deduce(host: str, rows: list[dict]) -> tuple[set[str], set[str], list[str]]:
-    """(template tokens, main slots, article paths) of one host from its frequent tokens."""
-    classes: dict[tuple, list[dict]] = {}
-    for r in rows:
-        if r["token"]:
-            classes.setdefault((r["va"], r["vb"]), []).append(r)
-    skeleton = {r["token"] for members in classes.values() for r in members if r["times"] == r["pages"]}
+    return counted.groupBy("host", "token").agg(*sums, F.max("side").alias("side"))
 
-    def slot_of(token: str) -> str:
-        token = token.rpartition("/")[0]
-        while token and token not in skeleton:
-            token = token.rpartition("/")[0]
-        return token
 
-    template = set(skeleton)
-    for members in classes.values():
-        repeated = [r["token"] for r in members if r["token"] not in skeleton]
-        for slot in {slot_of(t) for t in repeated}:       # a class that spans slots is split into one per slot
-            template |= {t for t in repeated if slot_of(t) == slot}
-    weights = {r["token"]: (r["chars"], r["links"]) for r in rows if r["token"] in template}
-    roots = [p for p in main_roots(weights) if _name(p) in MAIN_TAGS]      # without one, each page is read by its own tokens
-    return template, main_slots(template, roots), roots
+def deduce(rows: list[dict]) -> tuple[list[str], list[str]]:
+    """(side parts, article paths) of one host of MIN_PAGES pages or more; article paths are empty if most pages have none."""
+    pages = max((r["host_pages"] for r in rows), default=0)
+    sides = {r["token"] for r in rows if r["pages"] >= MIN_PAGES and is_side(r["token"].rpartition("/")[2], confirmed=True)}
+    template = {r["token"]: (r["chars"], r["links"]) for r in rows if r["token"] and r["pages"] >= pages * SUPPORT}
+    # without an article token each page is read by its own tokens: its own markup may hold a part of its text
+    roots = [p for p in main_roots(template, sides) if _name(p) in MAIN_TAGS]
+    return sorted(sides), roots
 
 
 def templates(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
-    """One row per host: its template tokens, main slots and article paths."""
+    """One row per host: its side parts (null for a host of few pages) and article paths."""
     counts = materialise(token_counts(pages, id_col, html_col), "html-tokens")
     size = counts.where("token = ''").select(F.col("host").alias("h"), F.col("pages").alias("host_pages"))
-    frequent = (counts.join(size, F.col("host") == F.col("h")).where(F.col("pages") >= F.col("host_pages") * SUPPORT)
+    frequent = (counts.join(size, F.col("host") == F.col("h"))
+                .where((F.col("pages") >= F.col("host_pages") * SUPPORT) | (F.col("side") & (F.col("pages") >= MIN_PAGES)))
                 .select("host", "token", F.col("va").cast("string").alias("va"), F.col("vb").cast("string").alias("vb"),
-                        "pages", "times", "chars", "links"))
+                        "pages", "times", "chars", "links", "host_pages"))
 
     def run(table: pa.Table) -> pa.Table:
-        host = table.column("host")[0].as_py()
-        template, slots, roots = deduce(host, table.to_pylist())
+        rows = table.to_pylist()
+        sides, roots = deduce(rows)
+        known = rows[0]["host_pages"] >= MIN_PAGES
         kind = pa.list_(pa.string())
-        return pa.table({"host": pa.array([host], pa.string()), "template": pa.array([sorted(template)], kind),
-                         "slots": pa.array([sorted(slots)], kind), "roots": pa.array([roots], kind)})
+        return pa.table({"host": pa.array([rows[0]["host"]], pa.string()), "sides": pa.array([sides if known else None], kind),
+                         "roots": pa.array([roots if known else []], kind)})
 
-    return frequent.groupBy("host").applyInArrow(lambda t: run(t), "host string, template array<string>, slots array<string>, roots array<string>")
+    return frequent.groupBy("host").applyInArrow(run, "host string, sides array<string>, roots array<string>")
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -282,7 +302,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     schema = StructType([*rest, StructField(text_col, StringType())])
 
     def run(batches):
-        memo: dict[str, tuple[set, set, list]] = {}
+        memo: dict[str, tuple[list, set | None]] = {}
         for batch in batches:
             hosts = batch.column("host_of_page").to_pylist()
             texts = []
@@ -290,8 +310,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
                 if host not in memo:
                     if len(memo) > 1000:
                         memo.clear()
-                    row = [batch.column(c)[i].as_py() or [] for c in ("template", "slots", "roots")]
-                    memo[host] = (set(row[0]), set(row[1]), row[2])
+                    sides, roots = (batch.column(c)[i].as_py() for c in ("sides", "roots"))
+                    memo[host] = (roots or [], None if sides is None else set(sides))
                 texts.append(extract(page_blocks(raw.decode("utf-8", "replace"))[1], *memo[host]))
             yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in rest], pa.array(texts, pa.string())],
                                              names=[f.name for f in schema.fields])

@@ -387,6 +387,18 @@ def test_html_text_of_several_containers(spark):
         assert text == want + " Only here" * (i == 2)
 
 
+def test_html_names_of_headings_and_sections(spark):
+    """Names mark side parts on containers only, as whole words, and if many pages of the host have them."""
+    body = ("<article><div class='article-header'><h1 id='search'>Search {i}</h1></div><h2 id='related-work'>Related {i}</h2>{own}"
+            "<section class='social-policy'><p id='notice-period'>Notice {i}</p></section><div class='share'>Tell {i}</div></article>")
+    once = "<section id='comment'><h2>Comment</h2><p>On this</p></section><section class='share'><p>A share</p></section>"
+    got = main_texts(spark, [PAGE.format(i=i, body=body.format(i=i, own=once * (i == 2))) for i in range(5)])
+    for i, text in enumerate(got):
+        assert text == f"Search {i} Related {i} " + "Comment On this A share " * (i == 2) + f"Notice {i}"
+    alone = "<article><h2 id=share>Share {i}</h2><section id='reply'><h2>Reply</h2><p>Text</p></section><div id=comments>No</div></article>"
+    assert main_texts(spark, [PAGE.format(i=0, body=alone)]) == ["Share {i} Reply Text"]
+
+
 def test_html_articles_of_the_tables(spark):
     import html as h
     import re
