@@ -1,21 +1,25 @@
 """Main text of web pages by templates deduced from occurrence vectors.
 
 A page is read as tokens: each block-level tag with the path of block-level tags
-around it (names with their classes and ids, digits levelled). For every host the
-occurrence vector of a token (how often it is in each page) is fingerprinted by a
-sum over pages, so pages are reduced where they are read and a host of any size
-arrives as one row per token. Tokens of equal vectors form an equivalence class.
-
-Deduction, per host, over the tokens found in half of its pages or more (their
-number is bounded by twice the tokens of an average page): classes whose tokens
-are once in their pages form the skeleton; other classes are valid if all their
-tokens nest in one slot of it (list items in a menu, paragraphs in an article). Template
-tokens cut the pages into slots. A slot is main text if it lies in the article (the
-``article`` or ``main`` token; else, page by page, the deepest container around all text that is
-neither links nor in a side part, with its whole subtree) and no token around it below that names a menu, footer, advert, form, comment or the
-like. A page's text is that of its main slots; page-specific markup inside a
-slot belongs to the slot. A page without its host's article token is read by the same
-rule from its own tokens.
+around it (names with their classes and ids, digits levelled), and each block of text
+with its path. For every host the occurrence vector of a token (how often it is in each
+page) is fingerprinted by a sum over pages, so pages are reduced where they are read and a
+host of any size arrives as one row per token. Tokens of equal vectors form an equivalence class.
+
+Deduction, for hosts of MIN_PAGES pages or more, over the tokens found in half of the pages
+or more (their number is bounded by twice the tokens of an average page):
+* a container all of whose texts have a tag around them in their class is constant: it is
+  part of the template, not of the slot that varies, and goes wherever it stands, also in
+  the article. A page most of whose main text is constant is a copy and keeps it;
+* the article is the ``article`` or ``main`` token; else, page by page, the deepest
+  container around all varying text that is neither links nor in a side part. All of its
+  subtree is main text but its side parts;
+* side parts are nav, footer, aside, form, menu and dialog, and containers that a whole
+  word of class, role or id names as menu, advert, comments or the like, if they are in
+  MIN_PAGES pages of the host. Names decide here because comments and adverts vary from
+  page to page as the article does: occurrence alone cannot tell them from it.
+On hosts of fewer pages nothing is constant and names alone mark side parts. A page without
+its host's article token is read by its own tokens.
 
 Cases: null and empty html give empty text; a null url has host ''; scripts, styles and comments are
 never text, an unclosed one reaches to the end of the page; unclosed tags end with
@@ -29,6 +33,7 @@ import re
 from zlib import crc32
 
 import pyarrow as pa
+from xxhash import xxh3_64_hexdigest
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -38,6 +43,8 @@ from flowlog.llm.url_filter import url_host
 MIN_PAGES = 3           # pages of a host from which on it tells what is beside the main text
 SUPPORT = 0.5           # share of a host's pages that a template token is in
 
+VARYING = 0.5           # share of an article that varies over the host, at least, unless the page is a copy
+
 # fixed values: HTML element names
 RAW = "script|style|noscript|template|iframe|svg|textarea|select|button|object"
 BLOCK = set("html head title body article section main header footer nav aside div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd "
@@ -206,8 +213,19 @@ def main_roots(weights: dict[str, tuple[int, int]], sides: set[str] | None = Non
     return ["/".join(around)]
 
 
-def extract(blocks, roots: list[str], sides: set[str] | None) -> str:
-    """Text of the blocks in the article and in no side part of it."""
+def extract(blocks, roots: list[str], sides: set[str] | None, constant: set[str]) -> str:
+    """Text of the blocks in the article, in no side part of it and not constant over the host.
+
+    Constant texts that are most of what a page has are kept: such pages are copies, not fillings of a template."""
+    varying = [b for b in blocks if text_token(b[0], b[1]) not in constant] if constant else blocks
+    whole = _main_blocks(blocks, roots, sides)
+    main = whole if varying is blocks else _main_blocks(varying, roots, sides)
+    if sum(map(len, main)) < sum(map(len, whole)) * (VARYING if roots else VARYING / 5):     # without an article, whole has the site's parts too
+        main = whole
+    return " ".join(main)
+
+
+def _main_blocks(blocks, roots: list[str], sides: set[str] | None) -> list[str]:
     if not roots or not any(b[0] == r or b[0].startswith(r + "/") for b in blocks for r in roots):
         weights: dict[str, tuple[int, int]] = {}
         for path, text, links in blocks:
@@ -215,11 +233,12 @@ def extract(blocks, roots: list[str], sides: set[str] | None) -> str:
             weights[path] = (chars + len(text), linked + min(links, len(text)))
         steps = {"/".join(p.split("/")[:i]): (0, 0) for p in weights for i in range(2, p.count("/") + 2)}
         roots = main_roots({**steps, **weights}, sides)
-    out = []
-    for path, text, _ in blocks:
-        if any((path == r or path.startswith(r + "/")) and not side_part(path, sides, len(r)) for r in roots):
-            out.append(text)
-    return " ".join(out)
+    return [text for path, text, _ in blocks
+            if any((path == r or path.startswith(r + "/")) and not side_part(path, sides, len(r)) for r in roots)]
+
+
+def text_token(path: str, text: str) -> str:
+    return f"{path}\t{xxh3_64_hexdigest(text.encode('utf-8', 'replace'))}"
 
 
 def _page_key(page_id, raw: bytes) -> int:
@@ -238,9 +257,10 @@ def token_counts(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
                 for t in tokens:
                     own.setdefault(t, [0, 0, 0])[0] += 1
                 for path, text, links in blocks:
-                    row = own.setdefault(path, [0, 0, 0])
-                    row[1] += len(text)
-                    row[2] += min(links, len(text))
+                    for row in (own.setdefault(path, [0, 0, 0]), own.setdefault(text_token(path, text), [0, 0, 0])):
+                        row[1] += len(text)
+                        row[2] += min(links, len(text))
+                    row[0] += 1
                 a = _page_key(page_id, raw)
                 b = crc32(b"vector", a)
                 for token, (times, chars, links) in own.items():
@@ -251,26 +271,54 @@ def token_counts(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()),
                                               *[pa.array(c, pa.int64()) for c in columns[2:]]],
                                              names=["host", "token", "va", "vb", "pages", "times", "chars", "links"]).append_column(
-                                                 "side", pa.array([is_side(t.rpartition("/")[2], confirmed=True) for t in columns[1]], pa.bool_()))
+                                                 "side", pa.array(["\t" not in t and is_side(t.rpartition("/")[2], confirmed=True) for t in columns[1]], pa.bool_()))
 
     counted = pages.select(id_col, "host", html_col).mapInArrow(
         run, "host string, token string, va long, vb long, pages long, times long, chars long, links long, side boolean")
     sums = [F.sum(F.col(c).cast("decimal(38,0)") if c in ("va", "vb") else F.col(c)).alias(c) for c in ("va", "vb", "pages", "times", "chars", "links")]
-    return counted.groupBy("host", "token").agg(*sums, F.max("side").alias("side"))
+    # a text of fewer pages cannot be a template's
+    return (counted.groupBy("host", "token").agg(*sums, F.max("side").alias("side"))
+            .where(~F.col("token").contains("\t") | (F.col("pages") >= MIN_PAGES)))
+
+
+def _ends(path: str) -> list[int]:
+    return [*[m.start() for m in re.finditer("/", path)][1:], len(path)]
+
 
+def deduce(rows: list[dict]) -> tuple[list[str], list[str], list[str]]:
+    """(side parts, article paths, constant texts) of one host of MIN_PAGES pages or more.
 
-def deduce(rows: list[dict]) -> tuple[list[str], list[str]]:
-    """(side parts, article paths) of one host of MIN_PAGES pages or more; article paths are empty if most pages have none."""
+    Article paths are empty if most pages have none. A text repeats if its class holds a tag around it: it is in every page that
+    has the tag, as often as the tag. A container is constant if all its text repeats, and so are its texts; a repeated
+    paragraph or heading beside others that vary is the author's as far as its place tells."""
     pages = max((r["host_pages"] for r in rows), default=0)
-    sides = {r["token"] for r in rows if r["pages"] >= MIN_PAGES and is_side(r["token"].rpartition("/")[2], confirmed=True)}
-    template = {r["token"]: (r["chars"], r["links"]) for r in rows if r["token"] and r["pages"] >= pages * SUPPORT}
+    tags = [r for r in rows if "\t" not in r["token"]]
+    sides = {r["token"] for r in tags if r["pages"] >= MIN_PAGES and is_side(r["token"].rpartition("/")[2], confirmed=True)}
+    template = [r for r in tags if r["token"] and r["pages"] >= pages * SUPPORT]
+    classes: dict[tuple, list[str]] = {}
+    for r in template:
+        classes.setdefault((r["va"], r["vb"]), []).append(r["token"])
+    repeated: dict[str, int] = {}
+    for r in rows:
+        path, tab, _ = r["token"].partition("\t")
+        if tab and r["pages"] >= max(MIN_PAGES, pages * SUPPORT):
+            if any(path == t or path.startswith(t + "/") for t in classes.get((r["va"], r["vb"]), ())):
+                repeated[r["token"]] = r["chars"]
+    varying: dict[str, int] = {}        # container -> characters below it, less those that repeat
+    for token, chars in [*((r["token"], r["chars"]) for r in tags), *((t, -n) for t, n in repeated.items())]:
+        steps = token.partition("\t")[0].split("/")
+        for i in range(2, len(steps) + 1):
+            if steps[i - 1].partition(".")[0] in NAMED:
+                around = "/".join(steps[:i])
+                varying[around] = varying.get(around, 0) + chars
+    constant = {t for t in repeated if any(varying.get(t.partition("\t")[0][:i]) == 0 for i in _ends(t.partition("\t")[0]))}
     # without an article token each page is read by its own tokens: its own markup may hold a part of its text
-    roots = [p for p in main_roots(template, sides) if _name(p) in MAIN_TAGS]
-    return sorted(sides), roots
+    roots = [p for p in main_roots({r["token"]: (r["chars"], r["links"]) for r in template}, sides) if _name(p) in MAIN_TAGS]
+    return sorted(sides), roots, sorted(constant)
 
 
 def templates(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
-    """One row per host: its side parts (null for a host of few pages) and article paths."""
+    """One row per host: its side parts (null for a host of few pages), article paths and constant texts."""
     counts = materialise(token_counts(pages, id_col, html_col), "html-tokens")
     size = counts.where("token = ''").select(F.col("host").alias("h"), F.col("pages").alias("host_pages"))
     frequent = (counts.join(size, F.col("host") == F.col("h"))
@@ -280,13 +328,13 @@ def templates(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        sides, roots = deduce(rows)
+        sides, roots, constant = deduce(rows)
         known = rows[0]["host_pages"] >= MIN_PAGES
         kind = pa.list_(pa.string())
         return pa.table({"host": pa.array([rows[0]["host"]], pa.string()), "sides": pa.array([sides if known else None], kind),
-                         "roots": pa.array([roots if known else []], kind)})
+                         "roots": pa.array([roots if known else []], kind), "constant": pa.array([constant], kind)})
 
-    return frequent.groupBy("host").applyInArrow(run, "host string, sides array<string>, roots array<string>")
+    return frequent.groupBy("host").applyInArrow(run, "host string, sides array<string>, roots array<string>, constant array<string>")
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -302,7 +350,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     schema = StructType([*rest, StructField(text_col, StringType())])
 
     def run(batches):
-        memo: dict[str, tuple[list, set | None]] = {}
+        memo: dict[str, tuple[list, set | None, set]] = {}
         for batch in batches:
             hosts = batch.column("host_of_page").to_pylist()
             texts = []
@@ -310,8 +358,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
                 if host not in memo:
                     if len(memo) > 1000:
                         memo.clear()
-                    sides, roots = (batch.column(c)[i].as_py() for c in ("sides", "roots"))
-                    memo[host] = (roots or [], None if sides is None else set(sides))
+                    sides, roots, constant = (batch.column(c)[i].as_py() for c in ("sides", "roots", "constant"))
+                    memo[host] = (roots or [], None if sides is None else set(sides), set(constant or ()))
                 texts.append(extract(page_blocks(raw.decode("utf-8", "replace"))[1], *memo[host]))
             yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in rest], pa.array(texts, pa.string())],
                                              names=[f.name for f in schema.fields])

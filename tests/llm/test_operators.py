@@ -399,6 +399,17 @@ def test_html_names_of_headings_and_sections(spark):
     assert main_texts(spark, [PAGE.format(i=0, body=alone)]) == ["Share {i} Reply Text"]
 
 
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_html_constant_text(spark, tag):
+    """Text under neutral names that all pages of a host repeat is template; a page that is copied is not."""
+    body = ("<{tag}><h1>Head {i}</h1><div class=x7><p>Read our offer</p></div><p>Text of page {i}</p><section><h3>Terms</h3><p>apply</p></section>"
+            "<p>Common words</p>{own}</{tag}><div class=x9>Top stories of the host</div>")
+    pages = [PAGE.format(i=i, body=body.format(i=i, tag=tag, own="<p>Common words</p>" * (i % 2))) for i in range(6)]
+    assert main_texts(spark, pages) == [f"Head {i} Text of page {i}" + " Common words" * (1 + i % 2) for i in range(6)]
+    copy = PAGE.format(i=0, body=f"<{tag}><h1>Head</h1><p>Text</p></{tag}>")
+    assert all(t.startswith("Head Text") or " Head Text" in t for t in main_texts(spark, [copy] * 4))
+
+
 def test_html_articles_of_the_tables(spark):
     import html as h
     import re
