@@ -5,9 +5,10 @@ prefixes of 4 to 7 bytes, each present or absent, hashed to 2^18 places.
 The machine's score is w0 + sum w_i + sum over pairs <v_i, v_j>: the factors let
 two terms together (an insult and whom it is aimed at) weigh more than either.
 It is fitted on at most ``max_rows`` labelled rows, those of smallest hash of
-the id, with AdaGrad on logistic loss; of the terms only those in ``MIN_ROWS`` of
-these rows or more, and with a share of positives that stands out, take part, the
-others being noise. The model has a fixed size (2^18 rows
+the id, with AdaGrad on logistic loss; all terms in ``MIN_ROWS`` of these rows or
+more take part, whatever their own share of positives, as two neutral terms may be
+toxic together. Noise is held down by decay, and a row's
+terms that are neutral by themselves share one step. The model has a fixed size (2^18 rows
 of 1 + factors floats), so it goes to the tasks as a broadcast.
 
 Cases: null and empty texts have no term and score sigmoid(w0); without labelled
@@ -30,8 +31,8 @@ PLACES = 1 << 18
 FACTORS = 4
 MAX_ROWS = 12_000       # labelled rows that the fit sees at most
 MIN_ROWS = 5
+MIN_Z = 3.5             # a term nearer to the share of positives, in standard deviations, is neutral by itself
 MEMO = 1 << 18          # words that a worker remembers
-MIN_Z = 3.5             # a term must stand out this many standard deviations from the share of positives
 PREFIXES = (4, 5, 6, 7)   # bytes
 CUT = b".,;:!?\"'()[]{}<>|*#%&$-_/\\"
 
@@ -76,8 +77,10 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, passes: int = 12, rate: floa
     seen = np.bincount(np.concatenate(rows), minlength=PLACES)
     positive = np.bincount(np.concatenate([r for r, y in zip(rows, labels) if y == 1]), minlength=PLACES)
     z = (positive - seen * share) / np.sqrt(np.maximum(seen, 1) * share * (1 - share))
-    usable = (seen >= min_rows) & (np.abs(z) >= MIN_Z)
+    neutral = np.abs(z) < MIN_Z
+    usable = seen >= min_rows
     rows = [r[usable[r]] for r in rows]
+    pace = [np.where(neutral[r], 1 / max(1, neutral[r].sum()), 1).astype(np.float32) for r in rows]      # a row's neutral terms share one step
     rng = np.random.default_rng(seed)
     factors = np.where(usable[:, None], rng.normal(0, 0.01, (PLACES, FACTORS)), 0).astype(np.float32)
     gl, gf, gb = np.full(PLACES, 1e-2, np.float32), np.full((PLACES, FACTORS), 1e-2, np.float32), 1e-2
@@ -96,10 +99,10 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, passes: int = 12, rate: floa
             bias -= rate * g / np.sqrt(gb)
             step = g + decay * linear[x]
             gl[x] += step * step
-            linear[x] -= rate * step / np.sqrt(gl[x])
+            linear[x] -= rate * pace[i] * step / np.sqrt(gl[x])
             fstep = g * (total - v) + decay * v
             gf[x] += fstep * fstep
-            factors[x] -= 0.25 * rate * fstep / np.sqrt(gf[x])
+            factors[x] -= 0.25 * rate * pace[i][:, None] * fstep / np.sqrt(gf[x])
     return FactorizationMachine(bias, linear, factors)
 
 
@@ -153,12 +156,8 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col:
     total, positive = placed.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not 0 < positive < total:
         return fit([], np.full(total, float(positive > 0)))
-    share = positive / total
     # only terms that can take part travel to the driver: 2^18 rows at most, and these terms of max_rows rows
-    seen, hits = F.count("*"), F.sum("y")
-    terms = (placed.select("y", F.explode("p").alias("place")).groupBy("place").agg(seen.alias("seen"), hits.alias("hits"))
-             .where((F.col("seen") >= MIN_ROWS)
-                    & (F.abs(F.col("hits") - F.col("seen") * share) >= MIN_Z * 0.999 * F.sqrt(F.col("seen") * share * (1 - share)))))
+    terms = placed.select(F.explode("p").alias("place")).groupBy("place").agg(F.count("*").alias("seen")).where(F.col("seen") >= MIN_ROWS)
     used = np.array(sorted(r["place"] for r in terms.select("place").collect()), dtype=np.int32)
 
     def keep(batches):

@@ -285,6 +285,13 @@ def test_factorization_learns_a_pair():
     assert model.score(np.array([1, 2, 3])) > 0.5 > max(model.score(np.array([1, 3])), model.score(np.array([2, 3])))
 
 
+def test_factorization_learns_a_pair_of_neutral_terms():
+    """Two terms without any effect of their own: toxic are the rows with both or neither."""
+    rows = [np.array([x for x, there in ((1, a), (2, b), (3, True)) if there], np.int32) for a in (0, 1) for b in (0, 1)] * 1000
+    model = toxicity.fit(rows, np.array([1.0, 0.0, 0.0, 1.0] * 1000))
+    assert min(model.score(np.array(x)) for x in ([1, 2, 3], [3])) > 0.5 > max(model.score(np.array(x)) for x in ([1, 3], [2, 3]))
+
+
 def test_toxicity_awkward(spark, awkward, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(awkward, none)
