@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage: op1 to op10, and DuckDB SQL where SQL can express one."""
+"""The registered queries of this subpackage: op1 to op13, and DuckDB SQL where SQL can express one."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowlog.llm import (ann_forest, byte_bpe, exact_dedup, html_extract, lm_scoring, mixing, near_dedup, suffix_dedup,
-                         toxicity, url_filter)
+from flowlog.llm import (ann_forest, byte_bpe, exact_dedup, html_extract, lm_scoring, mixing, near_dedup, phrase_mining,
+                         suffix_dedup, toxicity, url_filter)
 from flowlog.llm.common import fold
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -78,9 +78,13 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.collocations(_read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_lm_score, op2_url_filter, op3_suffix_dedup, op4_exact_dedup, op5_source_mix, op6_near_dedup,
-                            op7_toxicity, op8_ann, op9_byte_bpe, op10_html_text)}
+                            op7_toxicity, op8_ann, op9_byte_bpe, op10_html_text, op12_phrases)}
 
 ORACLE: dict[str, str] = {
     "op2_url_filter": r"""
@@ -125,4 +129,27 @@ SELECT doc_id, size, source_size, target,
        CASE WHEN size > 0 THEN size * CAST(floor(pos * (target / source_size) + start) - floor((pos - 1) * (target / source_size) + start) AS BIGINT)
             ELSE 0 END AS taken
 FROM numbered JOIN targets ON numbered.source IS NOT DISTINCT FROM targets.source""",
+    "op12_phrases": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM worded GROUP BY lang),
+f AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS g, m, CAST(count(*) AS HUGEINT) AS f
+      FROM placed, (VALUES (1), (2), (3), (4), (5)) AS t(m) WHERE i + m - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100),
+split AS (SELECT lang, g, m, f AS a, string_split(g, ' ') AS w FROM f WHERE m > 1),
+cuts AS (SELECT lang, g, m, a, w, unnest(range(1, m)) AS k FROM split),
+parts AS (SELECT lang, g, m, a, k, array_to_string(w[1:k], ' ') AS p, array_to_string(w[k + 1:], ' ') AS q FROM cuts),
+scored AS (SELECT parts.*, l.f AS l, r.f AS r, n, (1000 * a * n) // (l.f * r.f) AS score
+           FROM parts JOIN f AS l ON l.lang = parts.lang AND l.g = p JOIN f AS r ON r.lang = parts.lang AND r.g = q
+           JOIN totals ON totals.lang = parts.lang),
+best AS (SELECT lang, g, a, n, min(score) AS score, arg_min({'l': l, 'r': r}, score * 10 + k) AS cut FROM scored GROUP BY lang, g, a, n),
+inside AS (SELECT DISTINCT split.lang, array_to_string(w[i:i + s - 1], ' ') AS g, s, a
+           FROM split, (VALUES (2), (3), (4)) AS t(s), (VALUES (1), (2), (3), (4)) AS u(i) WHERE s < m AND i + s - 1 <= m),
+kept AS (SELECT best.* FROM best WHERE NOT EXISTS (SELECT 1 FROM inside WHERE inside.lang = best.lang AND inside.g = best.g AND inside.a >= best.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM kept)
+SELECT lang, rank, g AS phrase, CAST(a AS BIGINT) AS a, CAST(cut.l AS BIGINT) AS l, CAST(cut.r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000""",
 }
