@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowlog.llm import (ann_forest, byte_bpe, exact_dedup, html_extract, lm_scoring, mixing, near_dedup, phrase_mining,
-                         suffix_dedup, toxicity, url_filter)
+                         quality_rules, suffix_dedup, toxicity, url_filter, whitening)
 from flowlog.llm.common import fold
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -78,13 +78,25 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
 
 
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(_read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    each = rows.select("vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "identity_error",
+                       F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "c"))
+    return each.select("vec_id", (F.col("place") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error")
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_mining.collocations(_read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.judge(_read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_lm_score, op2_url_filter, op3_suffix_dedup, op4_exact_dedup, op5_source_mix, op6_near_dedup,
-                            op7_toxicity, op8_ann, op9_byte_bpe, op10_html_text, op12_phrases)}
+                            op7_toxicity, op8_ann, op9_byte_bpe, op10_html_text, op11_whiten, op12_phrases, op13_quality_rules)}
 
 ORACLE: dict[str, str] = {
     "op2_url_filter": r"""
@@ -152,4 +164,46 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a
 SELECT lang, rank, g AS phrase, CAST(a AS BIGINT) AS a, CAST(cut.l AS BIGINT) AS l, CAST(cut.r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
        CAST(score AS BIGINT) AS score
 FROM ranked WHERE rank <= 2000""",
+    "op13_quality_rules": r"""
+WITH rows AS (SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, 'null') AS lang, coalesce('=' || source, 'null') AS source, coalesce(text, '') AS t
+              FROM documents),
+split AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+                 list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM rows),
+win AS (SELECT rid, i, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM split WHERE len(w) > 2)),
+again AS (SELECT rid, count(DISTINCT i + d) AS n FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM win), (VALUES (0), (1), (2)) AS s(d)
+          WHERE c > 1 GROUP BY rid),
+counted AS (
+  SELECT split.rid, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(again.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(len(regexp_extract_all(t, '[A-Z]{2,}')) AS BIGINT) AS n_capitals
+  FROM split LEFT JOIN again ON again.rid = split.rid),
+based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted),
+ratios AS (
+  SELECT rid, lang, source, base_failed, rule, CASE WHEN d > 0 THEN (1000 * x) // d ELSE 0 END AS v FROM (
+    SELECT rid, lang, source, base_failed, 'word_length' AS rule, word_chars AS x, n_words AS d FROM based UNION ALL
+    SELECT rid, lang, source, base_failed, 'symbols', n_symbols, n_words FROM based UNION ALL
+    SELECT rid, lang, source, base_failed, 'dup_lines', n_dup_lines, n_lines FROM based UNION ALL
+    SELECT rid, lang, source, base_failed, 'repeat_words', n_repeat_words, n_words FROM based UNION ALL
+    SELECT rid, lang, source, base_failed, 'capitals', n_capitals, n_words FROM based)),
+sketch AS (SELECT lang, source, rule, CASE WHEN v < 128 THEN v ELSE (length(bin(v)) - 7) * 64 + (v >> (length(bin(v)) - 7)) END AS bucket, count(*) AS n
+           FROM ratios WHERE NOT base_failed GROUP BY ALL),
+levels AS (SELECT 1 AS level, lang, source, rule, bucket, n FROM sketch UNION ALL
+           SELECT 2, lang, NULL, rule, bucket, sum(n) FROM sketch GROUP BY lang, rule, bucket UNION ALL
+           SELECT 3, NULL, NULL, rule, bucket, sum(n) FROM sketch GROUP BY rule, bucket),
+summed AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, rule ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY level, lang, source, rule) AS docs FROM levels),
+quart AS (SELECT level, lang, source, rule, max(docs) AS docs, min(bucket) FILTER (WHERE 100 * upto >= 25 * docs) AS b1,
+                 min(bucket) FILTER (WHERE 100 * upto >= 75 * docs) AS b3 FROM summed GROUP BY ALL),
+valued AS (SELECT level, lang, source, rule, docs, (b1 - greatest(b1 // 64 - 1, 0) * 64) << greatest(b1 // 64 - 1, 0) AS q1,
+                  (b3 - greatest(b3 // 64 - 1, 0) * 64) << greatest(b3 // 64 - 1, 0) AS q3 FROM quart),
+picked AS (SELECT o.lang, o.source, o.rule, CASE WHEN o.docs >= 50 THEN o.q1 WHEN l.docs >= 50 THEN l.q1 ELSE a.q1 END AS q1,
+                  CASE WHEN o.docs >= 50 THEN o.q3 WHEN l.docs >= 50 THEN l.q3 ELSE a.q3 END AS q3
+           FROM valued AS o JOIN valued AS l ON l.level = 2 AND l.lang = o.lang AND l.rule = o.rule JOIN valued AS a ON a.level = 3 AND a.rule = o.rule
+           WHERE o.level = 1),
+slack(rule, s) AS (VALUES ('word_length', 500), ('symbols', 30), ('dup_lines', 150), ('repeat_words', 110), ('capitals', 30)),
+fences AS (SELECT lang, source, rule, q3 + 3 * greatest(q3 - q1, s) AS high, CASE WHEN rule = 'word_length' THEN q1 - 3 * greatest(q3 - q1, s) END AS low
+           FROM picked JOIN slack USING (rule)),
+broken AS (SELECT DISTINCT rid FROM ratios JOIN fences USING (lang, source, rule) WHERE v > high OR v < low)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rid NOT IN (SELECT rid FROM broken) AS kept
+FROM based""",
 }
