@@ -6,7 +6,7 @@ does a third of the job.  Here:
 
 1. A sample estimates rows per key; keys above a threshold ("hot") get
    quantiles of the first sort column (the time axis) as bucket bounds. The
-   hot-key table holds at most rows / ``bucket_rows`` bounds and is broadcast.
+   hot-key table holds at most ``HOT_SHARE * BOUNDS`` bounds and is broadcast.
 2. Every row of a hot key gets a bucket of about equal frequency.  The window
    runs per (key, bucket), so a hot key is spread over many tasks while
    ordinary keys see one plain window.
@@ -30,6 +30,8 @@ from flowlog.config import SkewConfig
 
 
 BOUNDS = 255        # bounds of a hot key at most; a power of two less one
+HOT_SHARE = 4096    # a hot key has more than this part of all rows, so there are fewer hot keys than this
+RANK_BOUNDS = 1023  # bounds that split a table to be ranked; a power of two less one
 
 
 def sort_keys(order_by: Sequence) -> list[Column]:
@@ -69,10 +71,14 @@ def _left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
 def hot_keys(df: DataFrame, keys: Sequence[str], axis_col: str, skew: SkewConfig) -> DataFrame | None:
     """(keys, ``_hb`` sampled quantiles of the axis, ``_hm`` parts per stretch) for keys estimated to be hot.
 
+    One pass over the sample gives each key's count and quantile summary; both are merged
+    from the tasks' partial results. A key is hot if it has ``hot_rows`` rows or more and over
+    1 / ``HOT_SHARE`` of all rows: below that it is no larger than an even share of the work, so
+    there are at most ``HOT_SHARE`` hot keys, and ``HOT_SHARE * BOUNDS`` bounds, at every size.
+
     A key of about n buckets gets min(n, ``BOUNDS`` + 1) stretches of equal
     frequency, so a burst of events is cut as finely as its rows require; beyond
     that number each stretch is cut further into ``_hm`` parts of equal width.
-    All bounds together are at most rows / ``bucket_rows`` numbers.
     """
     if skew.mode == "off":
         return None
@@ -83,12 +89,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], axis_col: str, skew: SkewConfig
     if frac < 1.0:
         src = src.sample(fraction=frac, seed=17)
     marks = [i / (BOUNDS + 1) for i in range(1, BOUNDS + 1)]
-    least = 1 if skew.mode == "all" else skew.hot_rows
-    sizes = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hc")) \
-        .filter(F.col("_hc") / F.lit(frac) >= F.lit(least))
-    # only the sampled rows of hot keys reach the quantile sketches
-    g = _left_join(sizes, src, keys).groupBy(*keys).agg(
-        F.max("_hc").alias("_hc"), F.percentile_approx("_ax", marks, 10 * BOUNDS).alias("_q"))
+    sizes = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hc"), F.percentile_approx("_ax", marks, 10 * BOUNDS).alias("_q"))
+    if skew.mode == "all":
+        g = sizes
+    else:
+        total = sizes.agg(F.sum("_hc")).scalar()
+        g = sizes.filter((F.col("_hc") / F.lit(frac) >= F.lit(skew.hot_rows)) & (F.col("_hc") * F.lit(HOT_SHARE) > total))
     n = F.ceil(F.col("_hc") / F.lit(frac) / F.lit(float(max(1, skew.bucket_rows))))
     stretches = F.least(F.greatest(n, F.lit(2)), F.lit(BOUNDS + 1))
     # every (BOUNDS + 1) / stretches-th of the marks
@@ -147,7 +153,7 @@ def assign_buckets(df: DataFrame, keys: Sequence[str], axis_col: str, skew: Skew
     if hot is None:
         return df.withColumns({bucket_col: struct_of(F.lit(0), F.lit(0).cast("long"), F.lit(False)),
                                "_hot": F.lit(False)})
-    # at most rows / bucket_rows numbers in all, hence the hint
+    # at most HOT_SHARE * BOUNDS numbers (8 MB), hence the hint
     d = _left_join(df, hot, on, broadcast=(skew.mode != "all"))
     d = d.withColumns({"_hot": F.col("_hb").isNotNull(), "_x": _axis(d, axis_col)})
     stretch, part, tied = _bucket_of(F.col("_x"), F.col("_hb"), F.col("_hm"))
@@ -306,29 +312,53 @@ def forward_fill(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     return out.drop(*drop, bucket_col, "_hot")
 
 
-def global_rank(df: DataFrame, order_by: Sequence, out_col: str = "rank") -> DataFrame:
-    """1..N row numbers along a total order, without a one-partition window.
+def running(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], values: dict[str, tuple[str, Column]],
+            skew: SkewConfig = SkewConfig(), inclusive: bool = True, bucket_col: str = "_b") -> DataFrame:
+    """Running ``max``, ``min`` or ``sum`` of expressions along the order: ``values`` maps a new column to (kind, expression).
+
+    All three combine from the buckets of a hot key: each bucket runs by itself, and the
+    totals of the buckets before it are added in. Null where no value has come yet.
+    """
+    kinds = {"max": (F.max, F.greatest), "min": (F.min, F.least),
+             "sum": (F.sum, lambda a, b: F.coalesce(a + b, a, b))}
+    keys = list(partition_by)
+    d = assign_buckets(df, keys, order_by[0], skew, bucket_col, ties=list(order_by[1:4]))
+    d = d.withColumns({f"_rv_{n}": v for n, (_, v) in values.items()})
+    w_in = Window.partitionBy(*keys, bucket_col, "_hot").orderBy(*sort_keys(order_by)) \
+        .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    d = d.withColumns({f"_rin_{n}": kinds[k][0](f"_rv_{n}").over(w_in) for n, (k, _) in values.items()})
+    w_b = Window.partitionBy(*keys).orderBy(bucket_col).rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = (d.filter(F.col("_hot")).groupBy(*keys, bucket_col, "_hot")
+                  .agg(*[kinds[k][0](f"_rv_{n}").alias(f"_rt_{n}") for n, (k, _) in values.items()])
+                  .select(*keys, bucket_col, "_hot", *[kinds[k][0](f"_rt_{n}").over(w_b).alias(f"_ro_{n}") for n, (k, _) in values.items()]))
+    out = _left_join(d, per_bucket, [*keys, bucket_col, "_hot"])
+    out = out.withColumns({n: kinds[k][1](F.col(f"_rin_{n}"), F.col(f"_ro_{n}")) for n, (k, _) in values.items()})
+    return out.drop(*[f"{p}{n}" for n in values for p in ("_rv_", "_rin_", "_ro_")], bucket_col, "_hot")
+
+
+def range_rank(df: DataFrame, order_by: Sequence[tuple[str, bool]], out_col: str = "rank") -> DataFrame:
+    """1..N along a total order, lazily and without a one-partition window.
 
-    A range-partitioned sort spreads the rows; ``monotonically_increasing_id``
-    then holds (partition, row-in-partition).  The numbered rows are
-    checkpointed to the shared checkpoint folder so both uses below see the
-    same partitioning, and a table of per-partition counts (one row per
-    partition, so its size is bounded by the partition count) becomes
-    offsets that are broadcast back.
+    ``order_by``: (column, descending), descending ones numeric. The rows whose keys have
+    the smallest hashes are an even sample of the order; their keys, ``RANK_BOUNDS`` at most,
+    split the table into ranges. Ranges are counted, rows are numbered inside their range and
+    start behind the ranges before. The sample depends on the rows alone, so every
+    evaluation of the plan splits alike.
     """
-    from flowlog.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    ordered = df.orderBy(*order_by).withColumn("_mid", F.monotonically_increasing_id())
-    ordered = ordered.withColumns({
-        "_part": F.shiftright(F.col("_mid"), 33),
-        "_local": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)),
-    }).checkpoint(eager=True)
-    counts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_pc"))
-    offsets = counts.select(
-        "_part",
-        F.coalesce(F.sum("_pc").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0).cast("long")).alias("_poff"))
-    ranked = ordered.join(F.broadcast(offsets), "_part")
-    return ranked.withColumn(out_col, (F.col("_poff") + F.col("_local") + 1).cast("long")) \
-        .drop("_mid", "_part", "_local", "_poff")
+    key = F.struct(*[x for i, (c, down) in enumerate(order_by)
+                     for x in (F.col(c).isNull().alias(f"n{i}"), (-F.col(c) if down else F.col(c)).alias(f"v{i}"))])
+    d = df.withColumn("_key", key)
+    sample = d.select("_key").orderBy(F.xxhash64("_key"), "_key").limit(RANK_BOUNDS)
+    bounds = sample.agg(F.array_sort(F.collect_list("_key"))).scalar()
+    d = d.withColumn("_bounds", bounds)
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(RANK_BOUNDS.bit_length()))])
+    place = F.aggregate(steps, F.lit(0), lambda at, s: at + F.when(
+        F.get("_bounds", at + s - 1) <= F.col("_key"), s).otherwise(F.lit(0)))
+    d = d.withColumn("_range", place).drop("_bounds")
+    # one row a range, hence the hint
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (d.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+               .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0).cast("long")).alias("_start")))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy("_key"))
+    return (d.withColumn("_in", inside).join(F.broadcast(offsets), "_range")
+            .withColumn(out_col, (F.col("_start") + F.col("_in")).cast("long")).drop("_key", "_range", "_in", "_start"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from flowlog.config import MiningConfig
 from flowlog.operators.eventlog import event_order, mining_view
-from flowlog.operators.sequence import assign_buckets, global_rank
+from flowlog.operators.sequence import assign_buckets, range_rank
 
 ARROW = " → "
 
@@ -45,8 +45,8 @@ def variants(log: DataFrame, cfg: MiningConfig = MiningConfig(),
     ones combine map-side before the counting shuffle.
     """
     table = case_sequences(log, cfg).groupBy("sequence", "n_events").agg(F.count(F.lit(1)).alias("n_cases"))
-    ranked = global_rank(table, [F.col("n_cases").desc(), F.col("sequence").asc()])
-    ranked = ranked.withColumn("_total", ranked.agg(F.sum("n_cases")).scalar())  # of the ranked table, not of the log
+    ranked = range_rank(table, [("n_cases", True), ("sequence", False)])
+    ranked = ranked.withColumn("_total", table.agg(F.sum("n_cases")).scalar())  # of the counted table, not of the log
     stamp = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     return ranked.select(
         "rank", "sequence", "n_events", "n_cases",

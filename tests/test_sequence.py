@@ -4,7 +4,7 @@ import pandas as pd
 import pyspark.sql.functions as F
 
 from flowlog.config import SkewConfig
-from flowlog.operators.sequence import assign_buckets, forward_fill, global_rank, with_neighbors, with_prefix_xor
+from flowlog.operators.sequence import assign_buckets, forward_fill, range_rank, running, with_neighbors, with_prefix_xor
 from tests.conftest import ts
 
 MODES = [SkewConfig(mode="off"), SkewConfig(mode="all", bucket_rows=2),
@@ -63,13 +63,13 @@ def test_forward_fill_across_buckets(spark):
         assert got[10] is None and got[11] == 11.0 and got[23] == 11.0 and got[31] == 11.0 and got[32] == 32.0 and got[53] == 32.0
 
 
-def test_global_rank_dense_and_total(spark):
-    df = spark.range(0, 500).select((F.col("id") % 37).alias("g"), F.col("id"))
-    ranked = global_rank(df.repartition(7), [F.col("g").desc(), F.col("id")])
+def test_range_rank_dense_and_total(spark):
+    df = spark.range(0, 5000).select((F.col("id") % 37).alias("g"), F.col("id"))
+    ranked = range_rank(df.repartition(7), [("g", True), ("id", False)])
     got = [r.id for r in ranked.orderBy("rank").collect()]
     exp = [r.id for r in df.orderBy(F.col("g").desc(), F.col("id")).collect()]
     assert got == exp
-    assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, 501))
+    assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, 5001))
 
 
 def test_shared_hot_case_table_gives_same_results(spark):
@@ -118,3 +118,35 @@ def test_modes_agree_with_null_order_values_and_ties(spark):
         out = with_neighbors(df, ["k"], ["t", "i"], ["i"], lags=(1,), leads=(1,), skew=mode)
         got.append(sorted((r.i, r._pos, r._cnt, r._lag1 and r._lag1.i, r._lead1 and r._lead1.i) for r in out.collect()))
     assert got[0] == got[1] == got[2]
+
+
+def test_range_rank_with_nulls_ties_of_one_count_and_few_rows(spark):
+    rows = [(1, None), (1, "b"), (1, "a"), (2, "c"), (None, "d")]
+    ranked = range_rank(spark.createDataFrame(rows, "n int, s string"), [("n", True), ("s", False)])
+    assert [(r.n, r.s) for r in ranked.orderBy("rank").collect()] == [(2, "c"), (1, "a"), (1, "b"), (1, None), (None, "d")]
+    assert range_rank(spark.createDataFrame([], "n int, s string"), [("n", True)]).count() == 0
+
+
+def test_variants_are_built_without_a_job(spark):
+    from flowlog.operators.variants import variant_pareto, variants
+    from flowlog.plans.sample_logs import session_log
+
+    log = session_log(spark, "/root/testdata/sf0.001")
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    variant_pareto(variants(log, as_of="2026-03-31"))
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")) == []
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_running_aggregates_equal_plain_ones_in_every_mode(spark):
+    rng = __import__("random").Random(4)
+    rows = [(k, rng.randrange(6), i, rng.choice([None, rng.randrange(50)])) for i, k in enumerate("aab" * 40)]
+    df = spark.createDataFrame(rows, "k string, t int, i int, v int")
+    for mode in MODES:
+        out = running(df.repartition(5), ["k"], ["t", "i"], {"m": ("max", F.col("v")), "s": ("sum", F.col("v"))}, skew=mode)
+        got = {r.i: (r.m, r.s) for r in out.collect()}
+        for k in "ab":
+            seen = []
+            for _, t, i, v in sorted((r for r in rows if r[0] == k), key=lambda r: (r[1], r[2])):
+                seen += [v] if v is not None else []
+                assert got[i] == (max(seen, default=None), sum(seen) if seen else None)
