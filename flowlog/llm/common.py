@@ -79,6 +79,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete the files of a table of :func:`materialise` that no later job reads."""
+    files = table.inputFiles()
+    if files:
+        folder = table.sparkSession._jvm.org.apache.hadoop.fs.Path(os.path.dirname(files[0]))
+        folder.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def pack_keys(keys: np.ndarray) -> bytes:
     """Sorted 64-bit keys as differences, stored byte plane by byte plane (high planes compress away)."""
     steps = np.diff(keys, prepend=U64(0))
@@ -91,6 +99,20 @@ def unpack_keys(blob: bytes) -> np.ndarray:
     return np.cumsum(steps, dtype=np.uint64)
 
 
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counts of any size: the number of bytes that the largest needs, then byte plane by byte plane."""
+    size = max(1, (int(counts.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(counts, np.uint64).view(np.uint8).reshape(-1, 8).T[:size]
+    return bytes([size]) + planes.tobytes()
+
+
+def unpack_counts(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(blob, np.uint8, offset=1).reshape(blob[0], -1)
+    whole = np.zeros((planes.shape[1], 8), np.uint8)
+    whole[:, :blob[0]] = planes.T
+    return whole.view(np.int64).ravel()
+
+
 def owner_bits(expected_keys: int, owner_keys: int = OWNER_KEYS) -> int:
     """Leading key bits that name the owner, so that an owner gathers about ``owner_keys`` keys."""
     return min(20, max(6, int(np.ceil(np.log2(max(1, expected_keys / owner_keys))))))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from flowlog.llm.common import (BLOCK_BYTES, U64, as_bytes, count_blocks, hash_words, lower_words, mix, owner_bits,
-                                owner_slices, pack_keys, ship_package, text_of, unpack_keys)
+                                owner_slices, pack_counts, pack_keys, ship_package, text_of, unpack_counts, unpack_keys)
 
 END_KEY, START_KEY = U64(0xA5A5F00D5EED0001), U64(0xA5A5F00D5EED0002)
 GRID = 48               # the escape weight is tabulated for N, N/2, N/4, ... draws
@@ -74,7 +74,7 @@ class BlockGrams:
             self.place.append(place)
 
     def counts(self, m: int, training: np.ndarray) -> np.ndarray:
-        return np.bincount(self.place[m - 1], weights=training[self.doc] & self.counted, minlength=len(self.keys[m - 1])).astype(np.uint32)
+        return np.bincount(self.place[m - 1], weights=training[self.doc] & self.counted, minlength=len(self.keys[m - 1])).astype(np.int64)
 
 
 def _ask(table: pa.Table, order: int, bits: int, text_col: str, train_col: str) -> pa.Table:
@@ -89,7 +89,7 @@ def _ask(table: pa.Table, order: int, bits: int, text_col: str, train_col: str)
             rows["block"].append(block)
             rows["n"].append(m)
             rows["keys"].append(pack_keys(grams.keys[m - 1][a:b]))
-            rows["counts"].append(counts[a:b].tobytes())
+            rows["counts"].append(pack_counts(counts[a:b]))
     return pa.table({"owner": pa.array(rows["owner"], pa.int32()), "block": pa.array(rows["block"], pa.int32()),
                      "n": pa.array(rows["n"], pa.int32()), "keys": pa.array(rows["keys"], pa.binary()),
                      "counts": pa.array(rows["counts"], pa.binary())})
@@ -100,19 +100,20 @@ def _answer(table: pa.Table) -> pa.Table:
     owner = table.column("owner")[0].as_py()
     blocks, orders = table.column("block").to_pylist(), table.column("n").to_pylist()
     keys = [unpack_keys(x) for x in table.column("keys").to_pylist()]
-    counts = [np.frombuffer(x, np.uint32) for x in table.column("counts").to_pylist()]
+    counts = [unpack_counts(x) for x in table.column("counts").to_pylist()]
     out = {"block": [], "n": [], "owner": [], "totals": []}
     stats = [0.0] * (GRID + 2)
     for m in sorted(set(orders)):
         mine = [i for i, n in enumerate(orders) if n == m]
         distinct, place = np.unique(np.concatenate([keys[i] for i in mine]), return_inverse=True)
-        total = np.bincount(place, weights=np.concatenate([counts[i] for i in mine]), minlength=len(distinct))
+        total = np.zeros(len(distinct), np.int64)
+        np.add.at(total, place, np.concatenate([counts[i] for i in mine]))
         at = 0
         for i in mine:
             out["block"].append(blocks[i])
             out["n"].append(m)
             out["owner"].append(owner)
-            out["totals"].append(total[place[at:at + len(keys[i])]].astype(np.uint32).tobytes())
+            out["totals"].append(pack_counts(total[place[at:at + len(keys[i])]]))
             at += len(keys[i])
         if m == 1:
             words = total[(total > 0) & (distinct != START_KEY)]
@@ -133,68 +134,42 @@ def escape_weight(context_counts: np.ndarray, n: int, table: np.ndarray) -> np.n
 
 
 class BlockAutomaton:
-    """States, arcs and failure arcs of the n-grams that a block touches."""
+    """States, arcs and failure arcs of the n-grams that a block touches, by order and distinct n-gram.
+
+    The state of a context fails to the state of the same context without its first word, which ends at
+    the same position; the arc of a word from a context's state is the n-gram of both.
+    """
 
     def __init__(self, grams: BlockGrams, totals: list[np.ndarray], n: int, v: int, table: np.ndarray, escape: float):
-        order = len(totals)
-        self.grams = grams
-        position = [np.zeros(len(k), np.int64) for k in grams.keys]
-        for m in range(order):
-            position[m][grams.place[m]] = np.arange(len(grams.doc))
-        # states: root 0, then contexts of each order below the highest that were seen
-        state_of = []
-        size = 1
-        for m in range(order - 1):
-            live = self._whole(m, position[m]) & (totals[m] > 0) & (grams.keys[m] != END_KEY)
-            ids = np.zeros(len(live), np.int64)
-            ids[live] = size + np.arange(int(live.sum()))
-            size += int(live.sum())
-            state_of.append(ids)
-        self.fail, self.back = np.zeros(size, np.int64), np.zeros(size)
-        seen_as, extra = np.zeros(size), np.zeros(size)
-        for m in range(order - 1):
-            live = state_of[m] > 0
-            ids, c = state_of[m][live], totals[m][live].astype(float)
-            e = escape * escape_weight(c, n, table)
-            extra[ids] = e
-            self.back[ids] = np.log10(e / (c + e))
-            seen_as[ids] = c
-            if m:
-                shorter = grams.place[m - 1][position[m][live]]
-                self.fail[ids] = state_of[m - 1][shorter]
-        # arcs
-        word = grams.place[0]
-        self.words = len(grams.keys[0])
+        self.grams, self.order = grams, len(totals)
         self.unknown = math.log10(v / (n + v)) if v else 0.0
-        sources, labels, weights, targets = [], [], [], []
-        probability = None
-        for m in range(order):
-            live = (totals[m] > 0) & self._whole(m, position[m]) & grams.real[position[m]]
+        self.state, self.back, self.arc, self.weight = [], [], [], []
+        probability, extra, seen_as = None, None, None
+        for m in range(self.order):
+            position = np.zeros(len(grams.keys[m]), np.int64)
+            position[grams.place[m]] = np.arange(len(grams.doc))
+            seen = self._whole(m, position) & (totals[m] > 0)
+            arc = seen & grams.real[position]
             if m == 0:
-                probability = np.where(live, totals[0] / max(1.0, float(n + v)), 0.0)
-                source = np.zeros(int(live.sum()), np.int64)
+                probability = np.where(arc, totals[0] / max(1.0, float(n + v)), 0.0)
             else:
-                at = position[m][live]
-                source = state_of[m - 1][grams.place[m - 1][at - 1]]
-                c, e = seen_as[source], extra[source]
-                lower = probability[grams.place[m - 1][at]]
-                fresh = np.zeros(len(live))
-                fresh[live] = (totals[m][live] + e * lower) / (c + e)
+                at = position[arc]
+                context = grams.place[m - 1][at - 1]
+                fresh = np.zeros(len(arc))
+                fresh[arc] = (totals[m][arc] + extra[context] * probability[grams.place[m - 1][at]]) / (seen_as[context] + extra[context])
                 probability = fresh
-            at = position[m][live]
-            sources.append(source)
-            labels.append(word[at])
-            weights.append(np.log10(probability[live]))
-            kept = min(m, order - 2)                       # the longest context that can be carried on
-            targets.append(state_of[kept][grams.place[kept][at]] if order > 1 else np.zeros(len(at), np.int64))
-        self.arcs = {}
-        for s, w, p, t in zip(sources, labels, weights, targets):
-            self.arcs.update(zip((s * self.words + w).tolist(), zip(p.tolist(), t.tolist())))
-        start = np.flatnonzero(grams.keys[0] == START_KEY)
-        self.start = int(state_of[0][start[0]]) if order > 1 and len(start) else 0
-        if order > 2:
-            whole = grams.place[order - 2][order - 2]
-            self.start = int(state_of[order - 2][whole]) or self.start
+            weight = np.zeros(len(arc))
+            weight[arc] = np.log10(probability[arc])
+            self.arc.append(arc)
+            self.weight.append(weight)
+            if m < self.order - 1:
+                state = seen & (grams.keys[m] != END_KEY)
+                seen_as = totals[m].astype(float)
+                extra, back = np.zeros(len(state)), np.zeros(len(state))
+                extra[state] = escape * escape_weight(seen_as[state], n, table)
+                back[state] = np.log10(extra[state] / (seen_as[state] + extra[state]))
+                self.state.append(state)
+                self.back.append(back)
 
     def _whole(self, m: int, at: np.ndarray) -> np.ndarray:
         """The n-gram ends where its document has as many positions behind it."""
@@ -202,30 +177,31 @@ class BlockAutomaton:
         ok[ok] = self.grams.doc[at[ok]] == self.grams.doc[at[ok] - m]
         return ok
 
-    def score(self, words: list[int]) -> float:
-        """One pass over a document's words: follow the arc, or fall back and pay the failure weight."""
-        arcs, fail, back, size = self.arcs, self._fail, self._back, self.words
-        state, total = self.start, 0.0
-        for w in words:
-            while True:
-                arc = arcs.get(state * size + w)
-                if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                if not state:
-                    total += self.unknown
-                    break
-                total += back[state]
-                state = fail[state]
-        return total
+    def _longest(self, marks: list[np.ndarray]) -> np.ndarray:
+        """Per position the longest n-gram ending there all of whose ends are marked."""
+        out = np.zeros(len(self.grams.doc), np.int64)
+        for m, marked in enumerate(marks):
+            out[marked[self.grams.place[m]] & (out == m)] = m + 1
+        return out
 
     def score_all(self) -> np.ndarray:
-        self._fail, self._back = self.fail.tolist(), self.back.tolist()
-        real = self.grams.real
-        words = self.grams.place[0][real]
-        ends = np.cumsum(self.grams.lengths)
-        return np.array([self.score(words[e - k:e].tolist()) for e, k in zip(ends.tolist(), self.grams.lengths.tolist())])
+        """The traversals of all documents, each from left to right, at once.
+
+        An n-gram is only seen where its context was, so the state carried behind a position is the longest
+        seen context that ends there, and the arc taken at a position is the longest seen n-gram. What lies
+        between, from the state carried to the one that has the arc, are the failure arcs that are paid for.
+        """
+        place = self.grams.place
+        carried, taken = self._longest(self.state), self._longest(self.arc)
+        total = np.full(len(taken), self.unknown)
+        for m in range(self.order):
+            here = taken == m + 1
+            total[here] = self.weight[m][place[m][here]]
+        for m in range(self.order - 1):
+            fails = np.flatnonzero((carried[:-1] > m) & (taken[1:] <= m + 1))
+            total[fails + 1] += self.back[m][place[m][fails]]
+        lengths = self.grams.lengths
+        return np.add.reduceat(total[self.grams.real], np.cumsum(lengths) - lengths)
 
 
 def _score(docs: pa.Table, answers: pa.Table, order: int, escape: float, text_col: str, carry: list[str]) -> pa.Table:
@@ -233,9 +209,9 @@ def _score(docs: pa.Table, answers: pa.Table, order: int, escape: float, text_co
     parts: dict[int, list] = {m: [] for m in range(1, order + 1)}
     for m, owner, blob in zip(answers.column("n").to_pylist(), answers.column("owner").to_pylist(), answers.column("totals").to_pylist()):
         parts[m].append((owner, blob))
-    totals = [np.frombuffer(b"".join([x for _, x in sorted(parts[m])]), np.uint32) for m in range(1, order + 1)]
-    n, v = answers.column("train_tokens")[0].as_py(), answers.column("train_words")[0].as_py()
-    table = np.array(answers.column("escape_table")[0].as_py())
+    totals = [np.concatenate([unpack_counts(x) for _, x in sorted(parts[m])]) for m in range(1, order + 1)]
+    facts = answers.column("facts")[0].as_py()
+    n, v, table = facts["train_tokens"], facts["train_words"], np.array(facts["escape_table"])
     automaton = BlockAutomaton(grams, totals, n, v, table, escape)
     counts = totals[0][grams.place[0]][grams.real].astype(np.float64)
     starts = np.cumsum(grams.lengths) - grams.lengths
@@ -264,9 +240,9 @@ def score_texts(docs: DataFrame, train_col: str, id_col: str = "doc_id", text_co
     def added(i):
         return F.coalesce(F.sum(F.element_at("stats", i + 1)), F.lit(0.0))
 
-    facts = answers.where("block < 0").agg(added(0).cast("long").alias("train_tokens"), added(1).cast("long").alias("train_words"),
-                                           F.array(*[added(2 + j) for j in range(GRID)]).alias("escape_table"))
-    asked = answers.where("block >= 0").drop("stats").crossJoin(F.broadcast(facts))
+    facts = answers.where("block < 0").agg(F.struct(added(0).cast("long").alias("train_tokens"), added(1).cast("long").alias("train_words"),
+                                                    F.array(*[added(2 + j) for j in range(GRID)]).alias("escape_table")).alias("facts"))
+    asked = answers.where("block >= 0").drop("stats").withColumn("facts", facts.scalar())
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in carry) + ", n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return (dealt.groupBy("block").cogroup(asked.groupBy("block"))

@@ -11,23 +11,26 @@ set form one class, whatever their number, and only classes go on.
 3. A longer list (a passage in many texts, a text with very many variants) gives
    no pairs of its own. Two classes can only be similar without sharing a value
    of a short list if both consist almost wholly of values of long lists; a class
-   whose share of other values exceeds 1 - t by five standard deviations of the
-   sketch is not such a class. The few that are get compared, in every long list
-   and size band they are in, with two leaders: the member with the most values of
-   long lists (of these the one with most rows), which is nearest to what all have in
-   common, and one drawn by a hash of the list, a different one in each list.
+   with more other values in its sketch than two similar sets can differ by (but for
+   one pair in 10^9, by the binomial distribution) is not such a class. The few that are
+   get compared, in every long list and size band they are in, with two leaders: the member
+   with the most values of long lists (of these the one with most rows), which is nearest to
+   what all have in common, and one drawn by a hash of the list, a different one in each list.
 4. The union sketch (the smallest ``sketch`` values of both sketches) estimates the
-   similarity; pairs 4.5 standard deviations below the threshold are dropped.
+   similarity; pairs with fewer agreements than one similar pair in 10^9 has are dropped.
 5. The classes of step 3 go through steps 1 to 3 once more with their full sets for
    sketches, so what two of them have in common beside the long lists is found.
 6. Pairs are decided on the full sets. Components of these links, by minimum labels with
    pointer jumping, are the groups so far.
 7. Classes still made of long lists are compared exactly. Two of them that have met in no
    short list have all they share in values of long lists, and reach the threshold only if
-   they share one among the rarest of these in both (prefix filter). A part, the classes with
-   the same rarest shared value, that is long is split by the next shared value, until
-   comparing its classes costs no more than splitting it. Only classes of different groups
-   are compared, so a large group of variants costs nothing here. New links join the groups.
+   they share one among the rarest of these in both (prefix filter), hence also the leader
+   of that value's list. So a class belongs to the parts of the few leaders of its rarest
+   values. Jaccard distance is a metric: two classes of a part are only compared where their
+   distances to the leader differ by no more than the threshold allows, which a grid of
+   distance cells tells, and only classes of different groups are, so a large group of
+   variants costs nothing here. Cells are cut into chunks and compared chunk against chunk
+   inside a task: no candidate pairs are written. New links join the groups.
 
 Cases: null, empty and white-space texts have no shingle, are linked with nothing and
 kept; a text with fewer words than a shingle is one shingle of all its words; of rows
@@ -43,12 +46,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from flowlog.llm.common import U64, as_bytes, hash_words, lower_words, materialise, mix, ship_package
+from flowlog.llm.common import U64, as_bytes, hash_words, discard, lower_words, materialise, mix, ship_package
 
 SKETCH = 32
 LIST_MAX = 32
-SPLITS = 4              # values after the first that split a part; what is long after them is compared in chunks
-CHUNK = 4096            # classes of a part that one task compares with the others
+MISSED = 1e-9           # chance that a sketch hides a similar pair
+CELLS = 20              # distance cells along a part's leader, each 1 / CELLS wide
+CHUNK = 1024            # classes of a cell that are compared at once with as many others,
+CHUNK_VALUES = 400_000  # and values of their sets
 BROADCAST_IDS = 1_000_000       # candidate ids that may be broadcast (16 MB); more are joined by shuffling
 _SLICE = 1 << 20
 
@@ -131,10 +136,25 @@ def short_list_pairs(shared: DataFrame, percent: int, list_max: int) -> DataFram
             .groupBy("p.a", "p.b").agg(F.count("*").alias("overlap")))
 
 
-def common_classes(shared: DataFrame, percent: int, list_max: int, spread: float) -> DataFrame:
-    """Classes made almost wholly of values of long lists, with the number of these values."""
+def most_apart(sketch: int, percent: int) -> int:
+    """Values of a sketch in which sets at the threshold differ at most, but for one pair in 1 / MISSED."""
+    p, tail, k = 1 - percent / 100, 0.0, sketch
+    while k > 0:
+        tail += math.comb(sketch, k) * p ** k * (1 - p) ** (sketch - k)
+        if tail > MISSED:
+            return k
+        k -= 1
+    return 0
+
+
+def common_classes(shared: DataFrame, percent: int, list_max: int, sketch: int | None) -> DataFrame:
+    """Classes made almost wholly of values of long lists, with the number of these values. With ``sketch``
+    the lists hold sketches, else whole sets; sets so small that all similar ones fit a sketch are whole too."""
+    whole = 100 * (F.col("kk") - F.col("common")) <= (100 - percent) * F.col("kk")
+    if sketch:
+        whole = F.when(100 * F.col("kk") <= percent * sketch, whole).otherwise(F.col("kk") - F.col("common") <= most_apart(sketch, percent))
     return (shared.where(F.col("listed") > list_max).groupBy("cls").agg(F.count("*").alias("common"), F.max("k").alias("kk"))
-            .where(F.col("kk") - F.col("common") <= F.col("kk") * (1 - percent / 100 + spread)).select("cls", "common"))
+            .where(whole).select("cls", "common"))
 
 
 def leader_pairs(shared: DataFrame, common: DataFrame, percent: int, list_max: int, drawn: bool) -> DataFrame:
@@ -152,14 +172,14 @@ def leader_pairs(shared: DataFrame, common: DataFrame, percent: int, list_max: i
 
 def likely_pairs(pairs: DataFrame, classes: DataFrame, percent: int, sketch: int) -> DataFrame:
     """Pairs whose union sketch does not rule the threshold out."""
-    t = percent / 100
-    least = t - 4.5 * math.sqrt(t * (1 - t) / sketch)
     sk = classes.select("cls", "n", "sketch")
     both = (pairs.join(sk.toDF("a", "na", "sa"), "a").join(sk.toDF("b", "nb", "sb"), "b")
             .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
             .withColumn("u", F.slice(F.array_sort(F.array_union("sa", "sb")), 1, sketch)))
     agreed = F.size(F.array_intersect(F.array_intersect("sa", "sb"), "u"))
-    return both.where(agreed >= F.size("u") * least).select("a", "b", "na", "nb")
+    # a union that does not fill a sketch is known as a whole
+    enough = F.when(F.size("u") < sketch, 100 * agreed >= percent * F.size("u")).otherwise(agreed >= sketch - most_apart(sketch, percent))
+    return both.where(enough).select("a", "b", "na", "nb")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, classes: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
@@ -178,61 +198,112 @@ def verified_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
             .where(100 * inter >= percent * (F.size("sa") + F.size("sb") - inter)).select("a", "b"))
 
 
-def prefixes(again: DataFrame, still: DataFrame, found: DataFrame, classes: DataFrame, percent: int, list_max: int) -> DataFrame:
-    """Per class made of long lists: its values of long lists, rarest first, how many of them are its prefix, and its group so far."""
-    long = (again.where(F.col("listed") > list_max).join(still.select("cls"), "cls").groupBy("cls")
-            .agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("listed", "value"))).alias("m"))
-            .select("cls", "n", F.col("m.value").alias("long")))
+def leader_parts(again: DataFrame, still: DataFrame, found: DataFrame, classes: DataFrame, percent: int, list_max: int) -> DataFrame:
+    """Classes made of long lists by the leaders of their rarest values: rows (part, cls, n, part_of, main), parts of one group left out."""
+    long = again.where(F.col("listed") > list_max).join(still, "cls").select("cls", "n", "copies", "common", "listed", "value")
+    leaders = long.groupBy("value").agg(F.max_by("cls", F.struct("common", "copies", "cls")).alias("part"))
     # of n values at least percent are shared, all in long lists: the first shared one has at most n - shared long ones before it
-    first = F.size("long") - F.ceil(F.col("n") * percent / F.lit(100)).cast("int") + 1
+    first = F.size("m") - F.ceil(F.col("n") * percent / F.lit(100)).cast("int") + 1
+    rarest = (long.groupBy("cls").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("listed", "value"))).alias("m"))
+              .withColumn("first", first).where("first > 0").select("cls", "n", F.explode(F.expr("slice(m, 1, first)")).alias("x")))
+    rows = rarest.select("cls", "n", F.col("x.value").alias("value")).join(leaders, "value").select("part", "cls", "n").distinct()
     named = classes.select("cls", "least_id").join(found, "cls", "left").select(
         "cls", F.struct(F.coalesce("component", "least_id").alias("id"), F.when(F.col("component").isNull(), F.col("cls")).alias("own")).alias("part_of"))
-    # values that all share, at the end: pairs with fewer shared values than splits still meet
-    ends = F.array(*[F.lit(i).cast("long") for i in range(SPLITS)])
-    return (long.withColumn("first", first).where("first > 0").withColumn("long", F.concat("long", ends))
-            .join(named, "cls").withColumn("part_of", F.xxhash64("part_of.id", "part_of.own")))
-
-
-def part_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes of different groups in the same part; the part's largest group is not compared with itself."""
-    member = members.withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int"))
-    left = (member.where(F.col("part_of") != F.col("main"))
-            .select("part", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("part_of").alias("gx"),
-                    F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")))
-    right = member.select("part", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("part_of").alias("gy"), "main",
-                          F.pmod(F.hash("cls"), F.col("chunks")).alias("chunk"))
-    return (left.join(right, ["part", "chunk"])
-            .where((F.col("gx") != F.col("gy")) & ((F.col("gy") == F.col("main")) | (F.col("x") < F.col("y")))
-                   & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-
-
-def exact_pairs(ordered: DataFrame, percent: int, list_max: int) -> list[DataFrame]:
-    """Every pair of different groups that can reach the threshold on values of long lists, by parts."""
-    base = materialise(ordered, "near-prefixes")
-    rows = base.select("cls", "n", "part_of", "first", F.posexplode(F.expr("slice(long, 1, first)")).alias("at", "part"))
-    out = []
-    for split in range(SPLITS + 1):
-        rows = materialise(rows, "near-parts")
-        # a class goes to one part for each value that may be the next shared one: up to ``first`` + split places from the start
-        onward = F.col("first") + split - F.col("at")
-        groups = rows.groupBy("part", "part_of").agg(F.count("*").alias("c"), F.sum(onward).alias("onward"))
-        parts = (groups.groupBy("part").agg(F.sum("c").alias("size"), F.max_by("part_of", F.struct("c", "part_of")).alias("main"),
-                                            ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs"),
-                                            F.sum("onward").alias("onward"))
-                 .where("pairs > 0"))
-        compare = F.lit(True) if split == SPLITS else F.col("pairs") <= F.greatest(F.lit(list_max * list_max / 2), F.col("onward"))
-        parts = materialise(parts.select("part", "size", "main", compare.alias("compare")), "near-part-sizes")
-        state = {r["compare"] for r in parts.select("compare").distinct().collect()}
-        if True in state:
-            out.append(part_pairs(rows.join(parts.where("compare"), "part"), percent))
-        if False not in state:
-            break
-        rows = (rows.join(parts.where("not compare").select("part"), "part").join(base.select("cls", "long"), "cls")
-                .select("cls", "n", "part_of", "first", "part", "at",
-                        F.posexplode(F.expr(f"slice(long, at + 2, first + {split} - at)")).alias("next", "value"))
-                .select("cls", "n", "part_of", "first", (F.col("at") + 1 + F.col("next")).alias("at"), F.xxhash64("part", "value").alias("part")))
-    return out
+    rows = materialise(rows.join(named, "cls").withColumn("part_of", F.xxhash64("part_of.id", "part_of.own")), "near-parts")
+    mixed = (rows.groupBy("part", "part_of").agg(F.count("*").alias("c")).groupBy("part")
+             .agg(F.max_by("part_of", F.struct("c", "part_of")).alias("main"), F.count("*").alias("groups")).where("groups > 1").select("part", "main"))
+    return rows.join(mixed, "part")
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all left with all right sets. Values in many sets are multiplied as columns
+    of a matrix, the others counted pair by pair."""
+    nl, nr = len(left), len(right)
+    out = np.zeros(nl * nr, np.float64)
+    known, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    owner = np.repeat(np.arange(nl + nr), [len(x) for x in (*left, *right)])
+    side = owner < nl
+    in_left, in_right = np.bincount(place[side], minlength=len(known)), np.bincount(place[~side], minlength=len(known))
+    work = in_left * in_right
+    dense = np.flatnonzero(work * 256 > nl * nr)
+    for a in range(0, len(dense), 4096):
+        column = np.full(len(known), -1)
+        column[dense[a:a + 4096]] = np.arange(len(dense[a:a + 4096]))
+        both = np.zeros((nl + nr, len(dense[a:a + 4096])), np.float32)
+        hit = column[place] >= 0
+        both[owner[hit], column[place[hit]]] = 1
+        out += (both[:nl] @ both[nl:].T).ravel()
+    rest = work > 0
+    rest[dense] = False
+    order = np.argsort(place, kind="stable")            # of each value first its left owners, then its right ones
+    starts = np.cumsum(in_left + in_right) - (in_left + in_right)
+    values = np.flatnonzero(rest)
+    ends = np.cumsum(work[values])
+    for a, b in _runs(ends, 1 << 22):
+        v = values[a:b]
+        pair = np.arange(int(work[v].sum())) - np.repeat(np.cumsum(work[v]) - work[v], work[v])
+        width = np.repeat(in_right[v], work[v])
+        at = np.repeat(starts[v], work[v])
+        x, y = owner[order[at + pair // width]], owner[order[at + np.repeat(in_left[v], work[v]) + pair % width]] - nl
+        out += np.bincount(x * nr + y, minlength=nl * nr)
+    return out.reshape(nl, nr)
+
+
+def _runs(ends: np.ndarray, most: int):
+    """Runs of places whose work adds up to about ``most``."""
+    at = 0
+    while at < len(ends):
+        done = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + most, side="right")))
+        yield at, to
+        at = to
+
+
+def tile_links(table: pa.Table, percent: int) -> pa.Table:
+    """Links between the left and right classes of one tile: of each left class one with every group that it reaches."""
+    is_left = np.array(table.column("is_left").to_pylist(), dtype=bool)
+    cls, group = (table.column(c).to_numpy() for c in ("cls", "part_of"))
+    sets = [np.asarray(x, np.int64) for x in table.column("shingles").to_pylist()]
+    l, r = np.flatnonzero(is_left), np.flatnonzero(~is_left)
+    found = []
+    if len(l) and len(r):
+        sizes = np.array([len(x) for x in sets])
+        inter = overlaps([sets[i] for i in l], [sets[i] for i in r])
+        union = sizes[l][:, None] + sizes[r][None, :] - inter
+        x, y = np.nonzero((100 * inter >= percent * union) & (group[l][:, None] != group[r][None, :]))
+        _, at = np.unique(np.stack([x, group[r][y]], axis=1), axis=0, return_index=True)
+        found = [(int(cls[l[i]]), int(cls[r[j]])) for i, j in zip(x[at].tolist(), y[at].tolist())]
+    return pa.table({"a": pa.array([min(p) for p in found], pa.int64()), "b": pa.array([max(p) for p in found], pa.int64())})
+
+
+def exact_links(parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different groups of the same part. A part's largest group is not compared with itself."""
+    # cell by the exact distance to the part's leader
+    placed = (parts.join(sets, "cls").join(sets.toDF("part", "leader"), "part")
+              .withColumn("cell", F.expr(f"cast(({CELLS} * (size(shingles) + size(leader) - 2 * size(array_intersect(shingles, leader)))) "
+                                         "div (size(shingles) + size(leader) - size(array_intersect(shingles, leader))) as int)"))
+              .select("part", "cell", "cls", "n", "part_of", (F.col("part_of") != F.col("main")).alias("is_left"), "shingles"))
+    placed = materialise(placed, "near-cells")
+
+    def chunks(rows, values):
+        return F.greatest(F.ceil(rows / CHUNK), F.ceil(values / CHUNK_VALUES), F.lit(1)).cast("int")
+
+    cells = (placed.groupBy("part", "cell").agg(F.count("*").alias("rows"), F.sum("n").alias("values"), F.sum(F.col("is_left").cast("long")).alias("left_rows"),
+                                                F.sum(F.when(F.col("is_left"), F.col("n")).otherwise(0)).alias("left_values")))
+    cells = materialise(cells.select("part", "cell", "left_rows", chunks(F.col("left_rows"), F.col("left_values")).alias("lchunks"),
+                                     chunks(F.col("rows"), F.col("values")).alias("rchunks")), "near-cell-sizes")
+    # cells further apart than ``reach`` hold no two classes within the threshold
+    reach = -(-CELLS * (100 - percent) // 100)
+    lefts = cells.where("left_rows > 0").select("part", F.col("cell").alias("lcell"), F.explode(F.sequence(F.lit(0), F.col("lchunks") - 1)).alias("lchunk"))
+    rights = cells.select("part", F.col("cell").alias("rcell"), F.explode(F.sequence(F.lit(0), F.col("rchunks") - 1)).alias("rchunk"))
+    tiles = lefts.join(rights, "part").where(F.abs(F.col("lcell") - F.col("rcell")) <= reach)
+    sized = placed.join(cells.select("part", "cell", "lchunks", "rchunks"), ["part", "cell"])
+    tile = ["part", "lcell", "lchunk", "rcell", "rchunk"]
+    left = (sized.where("is_left").withColumn("lchunk", F.pmod(F.xxhash64("cls"), F.col("lchunks")).cast("int")).withColumnRenamed("cell", "lcell")
+            .join(tiles, ["part", "lcell", "lchunk"]).select(*tile, F.lit(True).alias("is_left"), "cls", "part_of", "shingles"))
+    right = (sized.withColumn("rchunk", F.pmod(F.xxhash64("cls"), F.col("rchunks")).cast("int")).withColumnRenamed("cell", "rcell")
+             .join(tiles, ["part", "rcell", "rchunk"]).select(*tile, F.lit(False).alias("is_left"), "cls", "part_of", "shingles"))
+    return left.unionByName(right).groupBy(*tile).applyInArrow(lambda t: tile_links(t, percent), "a long, b long").distinct()
 
 
 def components(links: DataFrame, classes: DataFrame) -> DataFrame:
@@ -249,6 +320,7 @@ def components(links: DataFrame, classes: DataFrame) -> DataFrame:
         after = materialise(jumped, "near-labels")
         before = labels.select(F.col("cls"), F.col("label").alias("was"))
         changed = after.join(before, "cls").where(F.col("label") != F.col("was")).limit(1).count()
+        discard(labels)
         labels = after
         if not changed:
             return labels.select("cls", F.col("label.id").alias("component"))
@@ -263,29 +335,25 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           .agg(F.min(id_col).alias("least_id"), F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch"),
                                F.count("*").alias("copies")), "near-classes")
     shared = materialise(shared_values(classes), "near-lists")
-    t = percent / 100
-    common = common_classes(shared, percent, list_max, 5 * math.sqrt(t * (1 - t) / sketch))
+    common = common_classes(shared, percent, list_max, sketch)
     met = short_list_pairs(shared, percent, list_max).unionByName(leader_pairs(shared, common, percent, list_max, drawn=True))
     met = met.groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
     pairs = materialise(likely_pairs(met, classes, percent, sketch), "near-pairs")
     common = materialise(common, "near-common")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(common.select("cls"))
-    sets = sets_of(docs, wanted, classes, width, id_col, text_col)
+    sets = materialise(sets_of(docs, wanted, classes, width, id_col, text_col), "near-sets")
     # the classes made of long lists once more, by all their values instead of a sketch
     whole = classes.join(common.select("cls"), "cls").join(sets, "cls").select("cls", "n", "copies", F.col("shingles").alias("sketch"))
     again = materialise(shared_values(whole), "near-lists")
-    still = common_classes(again, percent, list_max, 0.0)
+    still = common_classes(again, percent, list_max, None)
     more = short_list_pairs(again, percent, list_max).unionByName(leader_pairs(again, still, percent, list_max, drawn=False))
     links = verified_links(pairs.select("a", "b").unionByName(more.select("a", "b")).distinct(), sets, percent)
     links = materialise(links, "near-links")
     found = components(links, classes)
     # what is still made of long lists: every pair of different groups that can reach the threshold
-    rest = exact_pairs(prefixes(again, still, found, classes, percent, list_max), percent, list_max)
-    if rest:
-        met = rest[0]
-        for pairs in rest[1:]:
-            met = met.unionByName(pairs)
-        extra = materialise(verified_links(likely_pairs(met.distinct(), classes, percent, sketch), sets, percent), "near-links")
+    parts = materialise(leader_parts(again, still, found, classes, percent, list_max), "near-mixed-parts")
+    if not parts.isEmpty():
+        extra = materialise(exact_links(parts, sets, percent), "near-links")
         if not extra.isEmpty():
             found = components(links.unionByName(extra), classes)
     named = (classes.select("cls", "least_id").join(found, "cls", "left")

@@ -158,11 +158,16 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col:
         return fit([], np.full(total, float(positive > 0)))
     # only terms that can take part travel to the driver: 2^18 rows at most, and these terms of max_rows rows
     terms = placed.select(F.explode("p").alias("place")).groupBy("place").agg(F.count("*").alias("seen")).where(F.col("seen") >= MIN_ROWS)
-    used = np.array(sorted(r["place"] for r in terms.select("place").collect()), dtype=np.int32)
+    used = np.zeros(PLACES, bool)
+    used[[r["place"] for r in terms.select("place").collect()]] = True
 
     def keep(batches):
         for batch in batches:
-            kept = [np.intersect1d(np.array(p, np.int32), used).tobytes() for p in batch.column("p").to_pylist()]
+            if not batch.num_rows:
+                continue
+            rows = batch.column("p")
+            flat, ends = rows.flatten().to_numpy(zero_copy_only=False), np.cumsum(rows.value_lengths().to_numpy(zero_copy_only=False))
+            kept = [p[used[p]].tobytes() for p in np.split(flat, ends[:-1])]
             yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("y"), pa.array(kept, pa.binary())], names=["h", "y", "p"])
 
     found = sorted(placed.mapInArrow(keep, "h long, y int, p binary").collect(), key=lambda r: r["h"])

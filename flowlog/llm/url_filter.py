@@ -53,24 +53,25 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     parsed = pages.withColumn("host", url_host(url)).withColumn("path", url_path(url))
     listed = prepare_rules(rules)
     # two bounded facts of the rule table: the path lengths and label counts to expand
-    shape = listed.agg(F.collect_set(F.length("path")).alias("lengths"),
-                       F.collect_set(F.size(F.split("host", r"\."))).alias("labels"))
+    shape = listed.agg(F.struct(F.collect_set(F.length("path")).alias("lengths"),
+                                F.collect_set(F.size(F.split("host", r"\."))).alias("labels")).alias("shape"))
     keys = parsed.where(F.col("host") != "").select("host", "path").distinct()
     labels = F.split(F.col("host"), r"\.")
-    expanded = (keys.crossJoin(F.broadcast(shape))
+    expanded = (keys.withColumn("shape", shape.scalar())
                 .withColumn("parts", labels)
                 .withColumn("suffix", F.explode(F.transform(
-                    F.filter("labels", lambda n: n <= F.size("parts")),
+                    F.filter("shape.labels", lambda n: n <= F.size("parts")),
                     lambda n: F.array_join(F.slice("parts", F.size("parts") - n + 1, n), "."))))
                 .withColumn("prefix", F.explode(F.transform(
-                    F.filter("lengths", lambda n: n <= F.length("path")),
+                    F.filter("shape.lengths", lambda n: n <= F.length("path")),
                     lambda n: F.substring(F.col("path"), F.lit(1), n))))
                 .select("host", "path", _digest(F.col("suffix"), F.col("prefix")).alias("digest")))
-    hits = (expanded.alias("e").join(listed.alias("r"),
-                                     (F.substring("e.digest", 1, PREFIX_HEX) == F.col("r.rule_prefix"))
-                                     & (F.col("e.digest") == F.col("r.rule_digest")))
-            .groupBy(F.col("e.host").alias("host"), F.col("e.path").alias("path"))
-            .agg(F.max(F.struct("rank", F.concat("r.host", "r.path").alias("rule"), F.col("r.verdict").alias("verdict"))).alias("best"))
+    # the compact list: short prefixes, each with the rules that begin with it; these are told apart by full digests
+    short = listed.groupBy("rule_prefix").agg(F.collect_list(F.struct(
+        "rule_digest", "rank", F.concat("host", "path").alias("rule"), "verdict")).alias("candidates"))
+    hits = (expanded.join(short, F.substring("digest", 1, PREFIX_HEX) == F.col("rule_prefix"))
+            .select("host", "path", F.explode(F.filter("candidates", lambda c: c["rule_digest"] == F.col("digest"))).alias("r"))
+            .groupBy("host", "path").agg(F.max(F.struct("r.rank", "r.rule", "r.verdict")).alias("best"))
             .select("host", "path", "best.rule", "best.verdict"))
     joined = parsed.where(F.col("host") != "").join(hits, ["host", "path"], "left")
     bare = parsed.where(F.col("host") == "").withColumn("rule", F.lit(None).cast("string")).withColumn("verdict", F.lit(None).cast("string"))
