@@ -13,11 +13,12 @@ def id_text(c) -> Column:
     Only a zero fraction is cut, by string operations: ``123.0`` and ``123``
     hash alike, and so does a float-typed column (printed ``1.0E7`` when large).
     All other text stays as it is, leading zeros included (``0012`` and ``12``
-    are two ids, as are ``12d`` or ``1e3``); null stays null.
+    are two ids, as are ``12d`` or the texts ``1e3`` and ``1.0E7``); null stays null.
     """
     text = as_col(c).cast("string")
     exact = text.try_cast("decimal(38,6)")
-    printed_float = text.rlike(r"^-?\d\.\d+E\d{1,2}$") & exact.isNotNull() & (exact == F.floor(exact))
+    is_float = F.typeof(as_col(c)).isin("double", "float")
+    printed_float = is_float & text.rlike(r"^-?\d\.\d+E\d{1,2}$") & exact.isNotNull() & (exact == F.floor(exact))
     return (F.when(text.rlike(r"^-?\d+\.0+$"), F.regexp_replace(text, r"\.0+$", ""))
             .when(printed_float, exact.cast("decimal(38,0)").cast("string"))
             .otherwise(text))

@@ -102,6 +102,9 @@ def case_attributes(parts: Sequence[DataFrame], schema: dict[str, str]) -> DataF
     return union_logs(aligned)
 
 
+BLOOM_BITS = 22     # bits of the case filter as a power of two (512 KB)
+
+
 def mining_view(log: DataFrame) -> DataFrame:
     """Events usable for mining: case, activity and timestamp all present (EL7)."""
     return log.dropna(subset=["case_id", "activity", "timestamp"])
@@ -167,10 +170,41 @@ def filter_events(log: DataFrame, column: str, values: Sequence | None = None) -
     return log.filter(F.col(column).isin(list(values)))
 
 
-def filter_cases(log: DataFrame, predicate: Column) -> DataFrame:
-    """Whole cases having at least one event that satisfies ``predicate`` (EL10)."""
-    hits = log.filter(predicate).select("case_id").distinct()
-    return log.join(hits, "case_id", "left_semi")
+def bloom_words(keys: DataFrame, key: str, bits: int = BLOOM_BITS) -> Column:
+    """A Bloom filter of the keys (two hashes), as a scalar subquery: an array of ``2^bits / 64`` longs, whatever their number."""
+    words = 1 << (bits - 6)
+    places = keys.select(F.explode(F.array(*_bloom_places(F.col(key), bits))).alias("p"))
+    held = places.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("b"))
+    dense = keys.sparkSession.range(words).withColumnRenamed("id", "w").join(held, "w", "left")
+    return dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", F.coalesce("b", F.lit(0).cast("long")).alias("b")))),
+                                 lambda x: x["b"])).scalar()
+
+
+def _bloom_places(key: Column, bits: int) -> list[Column]:
+    return [F.shiftrightunsigned(F.xxhash64(F.lit(seed), key), 64 - bits) for seed in (1, 2)]
+
+
+def in_bloom(words: Column, key: Column, bits: int = BLOOM_BITS) -> Column:
+    """False only if the key is not among those of :func:`bloom_words`."""
+    hit = None
+    for p in _bloom_places(key, bits):
+        word = F.get(words, F.shiftright(p, 6).cast("int"))
+        one = F.call_function("shiftright", word, p.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+        hit = one if hit is None else hit & one
+    return hit
+
+
+def filter_cases(log: DataFrame, predicate: Column, bloom_bits: int = BLOOM_BITS) -> DataFrame:
+    """Whole cases having at least one event that satisfies ``predicate`` (EL10).
+
+    Events of cases that a Bloom filter of the hit cases rules out are dropped where they are
+    read, before the semi join that decides. The filter has a fixed size (``2^bloom_bits`` bits);
+    with very many hits it only lets more through.
+    """
+    hits = log.filter(predicate).select("case_id").where("case_id is not null").distinct()
+    words = bloom_words(hits, "case_id", bloom_bits)
+    near = log.withColumn("_bloom", words).filter(in_bloom(F.col("_bloom"), F.col("case_id"), bloom_bits)).drop("_bloom")
+    return near.join(hits, "case_id", "left_semi")
 
 
 def variant_fingerprints(log: DataFrame, cfg: MiningConfig = MiningConfig()) -> DataFrame:

@@ -6,6 +6,7 @@ import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from flowlog.config import Rule
 
@@ -111,3 +112,60 @@ def column_profile(df: DataFrame, dataset: str, digits: int = 4) -> DataFrame:
     out = wide.select(F.col("_total").alias("total"), F.explode(items).alias("_p"))
     return out.select(F.lit(dataset).alias("dataset"), "_p.column", "total", "_p.non_null",
                       F.round(F.col("_p.non_null") / F.col("total"), digits).alias("share"))
+
+
+def write_observed(df: DataFrame, rules: Sequence[Rule], path: str, dataset: str, fmt: str = "parquet",
+                   partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` under its ``drop`` rules and return what the writing job counted (DQ1, DQ2, IO12).
+
+    Rows (dataset, rule, action, total, failed) as from :func:`expectation_metrics`, and one with
+    rule ``written`` (total: rows that reached the table, failed: rows dropped). The input is
+    scanned once: the counts are ``Observation``s of the write, before and after the drops.
+    """
+    kept, before = observe_expectations(df, rules, name=f"{dataset}-input")
+    after = Observation(f"{dataset}-written")
+    writer = kept.observe(after, F.count(F.lit(1)).alias("total")).write.format(fmt).mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+    counts, written = before.get, after.get["total"]
+    rows = [(dataset, r.name, r.action, counts["total"], counts[r.name]) for r in rules]
+    rows.append((dataset, "written", "audit", written, counts["total"] - written))
+    return df.sparkSession.createDataFrame(rows, "dataset string, rule string, action string, total long, failed long")
+
+
+class StreamExpectations(StreamingQueryListener):
+    """Expectation counts of streaming queries, summed over their micro-batches.
+
+    Attach with ``spark.streams.addListener`` and mark a stream with :meth:`observed`; the
+    counts arrive with each batch's progress, from the job that writes it.
+    """
+
+    def __init__(self) -> None:
+        self.rules: dict[str, Sequence[Rule]] = {}
+        self.counts: dict[str, dict[str, int]] = {}
+
+    def observed(self, stream: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame:
+        """``stream`` counted against its rules and without the rows that fail a ``drop`` rule."""
+        self.rules[dataset] = list(rules)
+        metrics = [F.count(F.lit(1)).alias("total"), *[F.count_if(~_passes(r)).alias(r.name) for r in rules]]
+        return apply_expectations(stream.observe(dataset, *metrics), rules)
+
+    def metrics(self, spark) -> DataFrame:
+        rows = [(d, r.name, r.action, self.counts.get(d, {}).get("total", 0), self.counts.get(d, {}).get(r.name, 0))
+                for d, rules in self.rules.items() for r in rules]
+        return spark.createDataFrame(rows, "dataset string, rule string, action string, total long, failed long")
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        for dataset, row in event.progress.observedMetrics.items():
+            if dataset in self.rules:
+                held = self.counts.setdefault(dataset, {})
+                for name, value in row.asDict().items():
+                    held[name] = held.get(name, 0) + value
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

@@ -63,9 +63,9 @@ def el_case_attributes(spark, d):
     return el.case_attributes([orders, cust], CASE_ATTR_SCHEMA)
 
 
-@register("el_case_filter", with_logs("log_b") + """
-SELECT * FROM log_b
-WHERE case_id IN (SELECT case_id FROM log_b WHERE source = 'lineitem' AND specialty = 'R')""")
+@register("el_case_filter", with_logs("log_b") + """,
+hits AS MATERIALIZED (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS case_id FROM lineitem WHERE l_returnflag = 'R')
+SELECT log_b.* FROM log_b JOIN hits USING (case_id)""")
 def el_case_filter(spark, d):
     log = logs.order_log(spark, d)
     return el.filter_cases(log, (F.col("source") == "lineitem") & (F.col("specialty") == "R"))

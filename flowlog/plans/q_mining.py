@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowlog.operators import kpis, network as sn, transitions as tr, variants as mv
+from flowlog.operators import episodes, kpis, network as sn, transitions as tr, variants as mv
 from flowlog.plans import sample_logs as logs
 from flowlog.plans.oracle_sql import EVENT_ORDER, mining, with_logs
 from flowlog.plans.registry import AS_OF, CFG, register
@@ -196,3 +196,71 @@ def el_patient_journeys(spark, d):
     link = orders.select(F.col("o_orderkey").cast("string").alias("case_id"),
                          F.col("o_custkey").alias("patient_id"))
     return kpis.patient_journeys(logs.order_log(spark, d), link)
+
+
+_STAYS_SQL = """WITH stays AS (
+  SELECT user_id AS patient_id, event_id AS stay_id, CASE WHEN event_type = 'error' THEN 'emergency' ELSE 'inpatient' END AS kind, ts AS start,
+         CASE WHEN event_id % 7 <> 0 THEN ts + to_microseconds(CAST(floor(value * 60000000) AS BIGINT)) END AS "end"
+  FROM events WHERE event_type IN ('error', 'purchase')),
+timed AS (SELECT *, greatest(start, coalesce("end", start)) AS until FROM stays)"""
+
+
+def _stays(spark, d):
+    """``events`` as stays: errors are emergency stays, purchases inpatient ones, value minutes long; one in seven is open."""
+    ev = spark.read.parquet(f"{d}/events.parquet").where(F.col("event_type").isin("error", "purchase"))
+    micros = F.floor(F.col("value") * 60_000_000)
+    return ev.select(F.col("user_id").alias("patient_id"), F.col("event_id").alias("stay_id"),
+                     F.when(F.col("event_type") == "error", "emergency").otherwise("inpatient").alias("kind"), F.col("ts").alias("start"),
+                     F.when(F.col("event_id") % 7 != 0, F.timestamp_add("MICROSECOND", micros, F.col("ts"))).alias("end"))
+
+
+@register("el_episode_links", _STAYS_SQL + """,
+nexts AS (SELECT e.patient_id, e.stay_id, e.start, e."end", e.until, min({'s': i.start, 'id': i.stay_id}) AS nx
+          FROM timed e LEFT JOIN timed i ON i.kind = 'inpatient' AND i.patient_id = e.patient_id AND i.start >= e.start
+                                         AND i.start <= e.until + INTERVAL 720 MINUTE
+          WHERE e.kind = 'emergency' GROUP BY ALL)
+SELECT patient_id, stay_id, start, "end", nx.id AS next_stay_id, nx.s AS next_start,
+       round(CASE WHEN nx.s IS NOT NULL THEN greatest(date_diff('microsecond', until, nx.s), 0) / 60000000.0 END, 4) AS wait_minutes
+FROM nexts""")
+def el_episode_links(spark, d):
+    """Emergency stays with the inpatient stay that follows within 12 hours (OP4)."""
+    return episodes.link_stays(_stays(spark, d), 720, CFG.skew)
+
+
+@register("el_episodes", _STAYS_SQL + """,
+reach AS (SELECT *, max(until) OVER (PARTITION BY patient_id ORDER BY start, until, stay_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM timed),
+numbered AS (SELECT *, sum(CASE WHEN r IS NULL OR start > r + INTERVAL 60 MINUTE THEN 1 ELSE 0 END)
+                       OVER (PARTITION BY patient_id ORDER BY start, until, stay_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ep FROM reach)
+SELECT patient_id, CAST(ep AS BIGINT) AS episode, count(*) AS stays, count(*) FILTER (WHERE kind = 'emergency') AS emergency_stays,
+       count(*) FILTER (WHERE kind = 'inpatient') AS inpatient_stays, min(start) AS first_start,
+       CASE WHEN count(*) = count("end") THEN max("end") END AS last_end
+FROM numbered GROUP BY patient_id, ep""")
+def el_episodes(spark, d):
+    """Chains of stays no more than an hour apart (OP4)."""
+    return episodes.episodes(_stays(spark, d), 60, CFG.skew)
+
+
+@register("el_attribute_kpis", with_logs("log_b") + f""",
+per AS (SELECT case_id, min(timestamp) AS s, count(*) AS n,
+               floor((floor(epoch_ms(max(timestamp)) / 1000.0) - floor(epoch_ms(min(timestamp)) / 1000.0)) / 60) AS dur
+        FROM {mining('log_b')} l GROUP BY case_id),
+attrs AS (SELECT CAST(o_orderkey AS VARCHAR) AS case_id, 'order' AS case_type, o_orderpriority AS specialty, o_orderdate + INTERVAL 30 DAY AS valid_from FROM orders
+          UNION ALL SELECT CAST(l_orderkey AS VARCHAR), 'line', l_returnflag, l_shipdate FROM lineitem),
+held AS (SELECT per.case_id, per.s, per.n, per.dur, min({{'age': date_diff('microsecond', valid_from, s), 't': case_type, 'p': specialty}}) FILTER (WHERE valid_from <= s) AS b,
+                min({{'v': valid_from, 't': case_type, 'p': specialty}}) FILTER (WHERE NOT valid_from <= s) AS a
+         FROM per LEFT JOIN attrs USING (case_id) GROUP BY ALL),
+rows AS (SELECT strftime(s, '%Y-%m') AS month, coalesce(b.t, a.t) AS case_type, coalesce(b.p, a.p) AS specialty, n, dur FROM held)
+SELECT month, case_type, specialty, count(*) AS cases, round(avg(dur), 4) AS mean_duration_min, round(quantile_cont(dur, 0.5), 4) AS median_duration_min,
+       round(avg(n), 4) AS mean_events
+FROM rows GROUP BY ALL""")
+def el_attribute_kpis(spark, d):
+    """Journey KPIs by the case attributes that held when the case began; a case has an order row and line rows (OP2, EL6)."""
+    from flowlog.operators.eventlog import case_attributes
+
+    schema = {"case_id": "string", "case_type": "string", "specialty": "string", "valid_from": "timestamp_ntz"}
+    orders = spark.read.parquet(f"{d}/orders.parquet").select(
+        F.col("o_orderkey").alias("case_id"), F.lit("order").alias("case_type"), F.col("o_orderpriority").alias("specialty"),
+        (F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("valid_from"))
+    lines = spark.read.parquet(f"{d}/lineitem.parquet").select(
+        F.col("l_orderkey").alias("case_id"), F.lit("line").alias("case_type"), F.col("l_returnflag").alias("specialty"), F.col("l_shipdate").alias("valid_from"))
+    return kpis.journey_kpis_by_attributes(logs.order_log(spark, d), case_attributes([orders, lines], schema), ("case_type", "specialty"), CFG)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from flowlog.operators import conformance as cf, model as md
+from pyspark.sql import functions as F
+
+from flowlog.operators import conformance as cf, model as md, prefix_tree as pt
 from flowlog.plans import sample_logs as logs
 from flowlog.plans.oracle_sql import EVENT_ORDER, mining, with_logs
-from flowlog.plans.registry import CFG, NOISE, register
+from flowlog.plans.registry import CFG, NOISE, ORACLE, register
 
 
 def _edges_sql(log: str) -> str:
@@ -161,3 +163,30 @@ FROM edges e LEFT JOIN model m USING (segment, prev_activity, activity) GROUP BY
 def cf_fitness_source(spark, d):
     edges = md.edge_steps(logs.order_log(spark, d), CFG, scope="source")
     return cf.fitness(edges, md.filtered_model(md.dfg(edges), NOISE))
+
+
+_TREE_SQL = """,
+walked AS (SELECT segment, month, plen AS depth0, list_concat(pfx, [lpad(CAST(step AS VARCHAR), 9, '0') || ':' || activity]) AS path,
+                  pfx, prev_activity, activity FROM edges e JOIN cm USING (case_id)),
+nodes AS (SELECT segment, month, depth0 + 1 AS depth, path, pfx, prev_activity, activity, count(*) AS n FROM walked GROUP BY ALL),
+family AS (SELECT segment, month, pfx, count(*) AS siblings, CAST(sum(n) AS BIGINT) AS parent_n FROM nodes GROUP BY ALL)
+SELECT segment, month, depth, prev_activity, activity, n, siblings, parent_n FROM nodes JOIN family USING (segment, month, pfx)"""
+
+
+def _tree_rows(tree):
+    """A tree's nodes without their ids; siblings and the cases of the parent show that parents are right."""
+    family = tree.groupBy("segment", "month", "parent").agg(F.count(F.lit(1)).alias("siblings"), F.sum("n").alias("parent_n"))
+    return tree.join(family, ["segment", "month", "parent"]).select(
+        "segment", "month", "depth", "prev_activity", "activity", "n", "siblings", "parent_n")
+
+
+@register("cf_prefix_tree", _edges_sql("log_b") + _TREE_SQL)
+def cf_prefix_tree(spark, d):
+    """The prefix tree of the order log per source and month, nodes told apart exactly (CF7)."""
+    return _tree_rows(pt.prefix_tree(logs.order_log(spark, d), CFG))
+
+
+@register("cf_tree_conformance", ORACLE["cf_conformance"])
+def cf_tree_conformance(spark, d):
+    """Fitness and precision of the session log read off its prefix tree (CF6-CF8)."""
+    return pt.tree_conformance(pt.prefix_tree(logs.session_log(spark, d), CFG), NOISE)

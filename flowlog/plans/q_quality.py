@@ -391,3 +391,55 @@ def dd_silver_builder(spark, d):
                     F.col("L_SHIPDATE").cast("timestamp_ntz").alias("L_SHIPDATE"),
                     F.col("O_ORDERDATE").cast("timestamp_ntz").alias("O_ORDERDATE"),
                     "flag_ship_before_order")
+
+
+_SHAPES = ["M/d/yyyy h:mm:ss a", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "dd-MMM-yyyy HH:mm:ss", "M/d/yyyy H:mm:ss",
+           "MMM d, yyyy h:mm:ss a", "yyyyMMdd HH:mm:ss"]
+
+
+def _mixed_cells(spark, d):
+    """Order dates written in one of seven shapes by order key, or as a shape that is no date."""
+    o = spark.read.parquet(f"{d}/orders.parquet")
+    kind = F.col("o_orderkey") % (len(_SHAPES) + 1)
+    cell = F.when(kind == len(_SHAPES), F.concat(F.lit("week "), F.date_format("o_orderdate", "D/yyyy")))
+    for i, shape in enumerate(_SHAPES):
+        cell = cell.when(kind == i, F.date_format("o_orderdate", shape))
+    return o.select("o_orderkey", cell.alias("cell"))
+
+
+@register("rs_mixed_formats", f"""
+SELECT o_orderkey, CASE WHEN o_orderkey % {len(_SHAPES) + 1} < {len(_SHAPES)} THEN date_trunc('second', o_orderdate) END AS parsed FROM orders""")
+def rs_mixed_formats(spark, d):
+    """Dates of seven shapes in one column, each parsed by its mask (RS5)."""
+    return _mixed_cells(spark, d).select("o_orderkey", rs.mixed_timestamp(F.col("cell")).cast("timestamp_ntz").alias("parsed"))
+
+
+@register("rs_unknown_masks", f"""
+SELECT 'AAAA ' || CASE WHEN dayofyear(o_orderdate) < 100 THEN '9' ELSE '999' END || '/9999' AS mask, count(*) AS rows
+FROM orders WHERE o_orderkey % {len(_SHAPES) + 1} = {len(_SHAPES)} GROUP BY ALL""")
+def rs_unknown_masks(spark, d):
+    """Cells of no known shape, counted by shape (RS5)."""
+    return rs.unknown_masks(_mixed_cells(spark, d), "cell")
+
+
+@register("rs_from_file", """
+WITH g AS (SELECT c_nationkey, c_custkey, c_name, c_mktsegment, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn,
+                  count(*) OVER (PARTITION BY c_nationkey) AS cnt FROM customer)
+SELECT c_nationkey AS unit, rn + 1 AS row_in_unit, CAST(c_custkey AS VARCHAR) AS ATEND, c_name AS NM_PACIENTE, 'Unidade ' || c_nationkey AS header FROM g""")
+def rs_from_file(spark, d):
+    """A landed report, one unit's header line and its rows below it, read back as numbered lines (RS1-RS4)."""
+    from flowlog.plans.q_io import _scratch
+
+    path = _scratch(spark, "report")
+    cust = spark.read.parquet(f"{d}/customer.parquet")
+    rows = cust.select("c_nationkey", F.col("c_custkey").alias("k"), F.concat_ws(";", F.col("c_custkey").cast("string"), "c_name", "c_mktsegment").alias("value"))
+    heads = cust.select("c_nationkey").distinct().select("c_nationkey", F.lit(-1).cast("long").alias("k"),
+                                                         F.concat(F.lit("Unidade;"), F.col("c_nationkey").cast("string")).alias("value"))
+    (rows.unionByName(heads).repartition("c_nationkey").sortWithinPartitions("c_nationkey", "k")
+     .select("c_nationkey", "value").write.partitionBy("c_nationkey").text(path))
+    lines = rs.split_cells(rs.read_lines(spark, path), 3)
+    filled = rs.fill_group_headers(lines, {"header": (F.col("c0") == "Unidade", F.concat_ws(" ", "c0", "c1"))}, skew=CFG.skew)
+    kept = rs.numeric_key_rows(filled, "c0")
+    table = rs.positional_projection(kept, ["c0", "c1"], ["ATEND", "NM_PACIENTE"], extra=["file", "row_no", "header"])
+    return table.select(F.regexp_extract("file", "c_nationkey=([0-9]+)", 1).cast("int").alias("unit"), F.col("row_no").alias("row_in_unit"),
+                        "ATEND", "NM_PACIENTE", "header")

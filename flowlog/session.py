@@ -47,13 +47,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        # Spark's own checkpoint folder lies below the one that was set
         path = spark.sparkContext.getCheckpointDir()
-    if not path:
+        if path:
+            return path
         if not spark.sparkContext.master.split("[")[0] == "local":
             raise ValueError("spark.checkpoint.dir is unset; name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="flowlog-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if path.split(":")[-1].strip("/") not in (spark.sparkContext.getCheckpointDir() or ""):
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 

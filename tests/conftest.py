@@ -1,7 +1,6 @@
 import datetime as dt
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,8 +14,6 @@ SF001 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[4]", app_name="flowlog-tests", shuffle_partitions=4)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="flowlog-test-ckpt-"))
     yield s
     s.stop()
 
