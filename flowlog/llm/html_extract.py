@@ -15,15 +15,17 @@ or more (their number is bounded by twice the tokens of an average page):
   container around all varying text that is neither links nor in a side part. All of its
   subtree is main text but its side parts;
 * side parts are nav, footer, aside, form, menu and dialog, and containers that a whole
-  word of class, role or id names as menu, advert, comments or the like, if they are in
+  word of class, role or id names as menu, advert, comments or the like, or a part of a
+  compound class does (comment-list, adSlot, related-posts), if they are in
   MIN_PAGES pages of the host. Names decide here because comments and adverts vary from
   page to page as the article does: occurrence alone cannot tell them from it.
 On hosts of fewer pages nothing is constant and names alone mark side parts. A page without
 its host's article token is read by its own tokens.
 
 Cases: null and empty html give empty text; a null url has host ''; scripts, styles and comments are
-never text, an unclosed one reaches to the end of the page; unclosed tags end with
-the block around them; a repeated page counts each time; extra columns are kept.
+never text, an unclosed one reaches to the end of the page, a self-closed one has no content; unclosed
+tags end with the block around them, buttons, selects and objects also with the next block; a repeated
+page counts each time; very long pages are read whole; extra columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -46,18 +48,26 @@ SUPPORT = 0.5           # share of a host's pages that a template token is in
 VARYING = 0.5           # share of an article that varies over the host, at least, unless the page is a copy
 
 # fixed values: HTML element names
-RAW = "script|style|noscript|template|iframe|svg|textarea|select|button|object"
+RAW = "script|style|noscript|template|iframe|svg|textarea"     # their content is skipped up to the end tag
+CONTROLS = {"button", "select", "object"}      # side parts that end with the block around them or the next block
 BLOCK = set("html head title body article section main header footer nav aside div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd "
             "table caption thead tbody tfoot tr td th blockquote pre figure figcaption address form fieldset details summary "
-            "dialog menu center".split())
+            "dialog menu center button select object".split())
 BREAK = {"br", "hr"}
-ENDS_P = BLOCK - {"html", "head", "title", "body"}
+ENDS_P = BLOCK - {"html", "head", "title", "body"} - CONTROLS
 # fixed values: names that mark parts of a page other than its main text
-SIDE_TAGS = set("head title nav footer aside form menu dialog".split())
+SIDE_TAGS = set("head title nav footer aside form menu dialog".split()) | CONTROLS
 SIDE_WORDS = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo nav navbar navigation menu "
                  "breadcrumb breadcrumbs sidebar footer cookie cookies consent cookie-notice cookie-banner gdpr popup modal newsletter "
                  "subscribe signup login share sharing social related recommended comment comments disqus reply replies "
                  "widget toolbar pagination".split())
+#: parts of compound names (comment-list, ad_slot, relatedPosts) that mark a side part wherever they stand
+SIDE_PARTS = set("ad ads advert adverts advertisement advertising sponsor sponsored promo comment comments reply replies disqus cookie cookies "
+                 "consent gdpr newsletter subscribe sidebar breadcrumb breadcrumbs pagination popup".split())
+#: pairs of neighbouring parts that mark one
+SIDE_PAIRS = {(a, b) for a in ("related", "recommended", "popular", "share", "social")
+              for b in ("posts", "articles", "stories", "links", "items", "list", "box", "buttons", "bar", "widget", "icons")}
+NOTICE_WORDS = set("notice alert banner".split())       # whole words on a container inside the article
 SITE_WORDS = set("header masthead banner notice alert overlay search skip".split())      # only where no article holds them
 # containers that a name may mark
 NAMED = set("div section ul ol dl table center".split())
@@ -66,12 +76,14 @@ HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 HOLDERS = set("html body article section main div center".split())     # what may hold a whole text: no list, table or paragraph
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?:svg|iframe)\b(?:[^>\"'/]|/(?!>)|\"[^\"]*\"|'[^']*')*+/>|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
     r"|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|</?[a-zA-Z][^>]*>|<[!?][^>]*>", re.S | re.I)
 _NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
 _LABEL = re.compile(r"\s(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _DIGITS = re.compile(r"\d+")
 _WORDS = re.compile(r"[a-z]+")
+_PART = re.compile(r"[^a-z]+")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HEADING = re.compile(r"\s*(?:<(?!h[1-6]\b)[^>]*>\s*){0,4}<h[1-6]\b[^>]*>(.{0,200}?)</h[1-6]", re.S | re.I)
 
 
@@ -85,7 +97,7 @@ def _label(name: str, tag: str, page: str, end: int) -> str:
         return name
     out = name
     for kind, value in sorted((k.lower(), a or b or c) for k, a, b, c in _LABEL.findall(tag)):
-        words = _DIGITS.sub("0", value).replace("/", " ").replace(".", "_").lower().split()
+        words = _CAMEL.sub("-", _DIGITS.sub("0", value)).replace("/", " ").replace(".", "_").lower().split()
         if kind == "id" and not SIDE_WORDS.isdisjoint(words):
             heading = _HEADING.match(page, end)
             if heading and _slug(heading.group(1)) == _slug(value):
@@ -138,6 +150,8 @@ def page_blocks(page: str):
                     del stack[i:]
                     break
             continue
+        while stack and stack[-1][0] in CONTROLS:
+            stack.pop()
         if name in ENDS_P and stack and stack[-1][0] == "p":
             stack.pop()
         if name in ("li", "dt", "dd", "tr", "td", "th") and stack and stack[-1][0] == name:
@@ -164,9 +178,17 @@ def is_side(label: str, confirmed: bool = False) -> bool:
         kind, _, words = mark.partition("=")
         if (kind != "own" or confirmed) and not SIDE_WORDS.isdisjoint(words.split()):
             return True
+        if kind in ("class", "role") and any(w in NOTICE_WORDS or _compound_side(w) for w in words.split()):
+            return True
     return False
 
 
+def _compound_side(word: str) -> bool:
+    """Whether a class of several parts names a side part: by one of its parts, or by two in a row."""
+    parts = _PART.split(word)
+    return len(parts) > 1 and (not SIDE_PARTS.isdisjoint(parts) or any(pair in SIDE_PAIRS for pair in zip(parts, parts[1:])))
+
+
 def side_part(path: str, sides: set[str] | None, start: int = 0) -> bool:
     """Whether a step of ``path`` after its first ``start`` characters opens a side part: by names alone, or if
     ``sides`` is known (the named containers in MIN_PAGES pages of the host or more) by these and by side tags."""
@@ -337,28 +359,38 @@ def templates(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
     return frequent.groupBy("host").applyInArrow(run, "host string, sides array<string>, roots array<string>, constant array<string>")
 
 
+def _free_name(pages: DataFrame, name: str) -> str:
+    """A column name that the table lacks."""
+    taken = {c.lower() for c in pages.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                       text_col: str = "main_text") -> DataFrame:
     """``pages`` without its html, with the main text of every page."""
     ship_package(pages.sparkSession)
     rest = [f for f in pages.schema.fields if f.name not in (html_col, text_col)]
-    hosted = pages.select(*[f.name for f in rest], F.col(html_col).alias("raw_html"),
-                          url_host(F.coalesce(F.col(url_col), F.lit(""))).alias("host_of_page"))
-    known = materialise(templates(hosted.select(F.col(id_col), F.col("host_of_page").alias("host"), F.col("raw_html")), id_col, "raw_html"),
-                        "html-templates").withColumnRenamed("host", "host_of_template")
-    joined = hosted.join(known, F.col("host_of_page") == F.col("host_of_template"), "left").drop("host_of_template")
+    raw_col, host_col, known_col = (_free_name(pages, n) for n in ("raw_html", "host_of_page", "host_of_template"))
+    side_col, root_col, constant_col = (_free_name(pages, n) for n in ("sides", "roots", "constant"))
+    hosted = pages.select(*[F.col(f"`{f.name}`") for f in rest], F.col(html_col).alias(raw_col),
+                          url_host(F.coalesce(F.col(url_col), F.lit(""))).alias(host_col))
+    known = materialise(templates(hosted.select(F.col(id_col).alias("page"), F.col(host_col).alias("host"), F.col(raw_col).alias("raw")), "page", "raw"),
+                        "html-templates").toDF(known_col, side_col, root_col, constant_col)
+    joined = hosted.join(known, F.col(host_col) == F.col(known_col), "left").drop(known_col)
     schema = StructType([*rest, StructField(text_col, StringType())])
 
     def run(batches):
         memo: dict[str, tuple[list, set | None, set]] = {}
         for batch in batches:
-            hosts = batch.column("host_of_page").to_pylist()
+            hosts = batch.column(host_col).to_pylist()
             texts = []
-            for i, (host, raw) in enumerate(zip(hosts, as_bytes(batch.column("raw_html")))):
+            for i, (host, raw) in enumerate(zip(hosts, as_bytes(batch.column(raw_col)))):
                 if host not in memo:
                     if len(memo) > 1000:
                         memo.clear()
-                    sides, roots, constant = (batch.column(c)[i].as_py() for c in ("sides", "roots", "constant"))
+                    sides, roots, constant = (batch.column(c)[i].as_py() for c in (side_col, root_col, constant_col))
                     memo[host] = (roots or [], None if sides is None else set(sides), set(constant or ()))
                 texts.append(extract(page_blocks(raw.decode("utf-8", "replace"))[1], *memo[host]))
             yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in rest], pa.array(texts, pa.string())],

@@ -417,6 +417,29 @@ def test_html_constant_text(spark, tag):
     assert all(t.startswith("Head Text") or " Head Text" in t for t in main_texts(spark, [copy] * 4))
 
 
+def test_html_self_closed_and_unclosed_controls(spark):
+    body = ("<article><h1>Head {i}</h1><svg class='i'/><p>One <svg viewBox='0 0 1 1'><text>icon</text></svg>two {i}</p><button>Press<p>Three {i}</p>"
+            "<select><option>a<option>b</select><p>Four</p><div><button>No</div><p>Five {i}</p></article>")
+    assert main_texts(spark, [PAGE.format(i=i, body=body.format(i=i)) for i in range(4)]) == [f"Head {i} One two {i} Three {i} Four Five {i}" for i in range(4)]
+
+
+@pytest.mark.parametrize("pages", [1, 5])
+def test_html_compound_names_of_side_parts(spark, pages):
+    body = ("<article><h1>Head {i}</h1><p>Text {i}</p><div class='notice'>Please note {i}</div><div class='reader-comments'><p>Nice {i}</p></div>"
+            "<ul class='comment-list'><li>First {i}</ul><div class=ad-slot>Buy {i}</div><div class='relatedPosts'>See {i}</div>"
+            "<div class='header-image'><p>Caption {i}</p></div><p>End {i}</p></article><div class=post-comments>Second {i}</div>")
+    got = main_texts(spark, [PAGE.format(i=i, body=body.format(i=i)) for i in range(pages)])
+    assert got == [f"Head {i} Text {i} Caption {i} End {i}" for i in range(pages)]
+
+
+def test_html_clashing_columns_and_long_pages(spark):
+    long = "<article>" + "<p>word and more</p>" * 50_000 + "</article>"
+    rows = [(1, "http://a.org/", long, *"abcdef"), (1, "http://a.org/", None, *"abcdef")]
+    names = "raw_html string, host_of_page string, host_of_template string, sides string, roots string, Main_Text string"
+    got = html_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string, " + names), text_col="out").collect()
+    assert sorted(len(r.out) for r in got) == [0, 14 * 50_000 - 1] and {r.raw_html + r.sides for r in got} == {"ad"}
+
+
 def test_html_articles_of_the_tables(spark):
     import html as h
     import re
