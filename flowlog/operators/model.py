@@ -114,6 +114,18 @@ def footprint(graph: DataFrame) -> DataFrame:
     return both.select("segment", "a", "b", rel.alias("relation"))
 
 
+def full_footprint(graph: DataFrame) -> DataFrame:
+    """Ordering relation of every pair of a segment's activities, ``#`` for those never adjacent (CF3).
+
+    One row per pair: the square of the activities of a segment, which the vocabulary bounds.
+    """
+    names = (graph.select("segment", F.explode(F.array("prev_activity", "activity")).alias("a"))
+             .where(~F.col("a").isin(START, END)).distinct())
+    pairs = names.join(names.select("segment", F.col("a").alias("b")), "segment")
+    return (pairs.join(footprint(graph), ["segment", "a", "b"], "left")
+            .withColumn("relation", F.coalesce("relation", F.lit("#"))).select("segment", "a", "b", "relation"))
+
+
 def eventually_follows(log: DataFrame, cfg: MiningConfig = MiningConfig(),
                        scope: str = "case") -> DataFrame:
     """Cases in which some ``a`` occurs before some ``b`` (CF4).

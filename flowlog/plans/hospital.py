@@ -440,12 +440,18 @@ def ingest_hospital(spark, landing_root: str, bronze_root: str, checkpoint_root:
                     skip_absent: bool = False) -> dict[str, DataFrame]:
     """Stream every landing folder into its bronze table, wait for all, and
     return the bronze tables by name (EP-A). An absent folder is an error
-    unless ``skip_absent``; folders may be in any store that Spark reads."""
-    from flowlog.streaming.ingest import folder_exists, ingest_all, read_bronze
+    unless ``skip_absent``; folders may be in any store that Spark reads. Folders whose
+    header is declared in ``columns`` are held to it; in all others every file is read
+    by the names of its own header."""
+    from flowlog.streaming.evolving import BATCH_COL, ingest_evolving, read_evolving
+    from flowlog.streaming.ingest import folder_exists, ingest_to_bronze, read_bronze
 
     wanted = bronze_sources(landing_root, columns)
     present = [s for s in wanted if folder_exists(spark, s.folder)]
     if len(present) < len(wanted) and not skip_absent:
         raise FileNotFoundError(f"no landing folder {', '.join(s.folder for s in wanted if s not in present)}")
-    ingest_all(spark, present, bronze_root, checkpoint_root)
-    return {s.table: read_bronze(spark, bronze_root, s.table) for s in present}
+    ingest = {s.table: ingest_to_bronze if s.columns else ingest_evolving for s in present}
+    for query in [ingest[s.table](spark, s, bronze_root, checkpoint_root, await_termination=False) for s in present]:
+        query.awaitTermination()
+    return {s.table: read_bronze(spark, bronze_root, s.table) if s.columns
+            else read_evolving(spark, bronze_root, checkpoint_root, s.table).drop(BATCH_COL) for s in present}

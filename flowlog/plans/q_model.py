@@ -190,3 +190,15 @@ def cf_prefix_tree(spark, d):
 def cf_tree_conformance(spark, d):
     """Fitness and precision of the session log read off its prefix tree (CF6-CF8)."""
     return pt.tree_conformance(pt.prefix_tree(logs.session_log(spark, d), CFG), NOISE)
+
+
+@register("cf_footprint_full", _edges_sql("log_b") + """,
+r AS (SELECT segment, prev_activity AS a, activity AS b FROM dfg WHERE prev_activity <> '[start]' AND activity <> '[end]'),
+n AS (SELECT DISTINCT segment, x AS a FROM (SELECT segment, unnest([prev_activity, activity]) AS x FROM dfg) WHERE x NOT IN ('[start]', '[end]'))
+SELECT n.segment, n.a, m.a AS b,
+       CASE WHEN f.a IS NOT NULL AND g.a IS NOT NULL THEN '||' WHEN f.a IS NOT NULL THEN '->' WHEN g.a IS NOT NULL THEN '<-' ELSE '#' END AS relation
+FROM n JOIN n AS m ON m.segment = n.segment LEFT JOIN r AS f ON f.segment = n.segment AND f.a = n.a AND f.b = m.a
+LEFT JOIN r AS g ON g.segment = n.segment AND g.a = m.a AND g.b = n.a""")
+def cf_footprint_full(spark, d):
+    """All four ordering relations, ``#`` included (CF3)."""
+    return md.full_footprint(md.dfg(md.edge_steps(logs.order_log(spark, d), CFG, scope="case")))

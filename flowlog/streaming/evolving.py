@@ -42,7 +42,7 @@ _FILES = T.StructType([T.StructField("path", T.StringType()), T.StructField("mod
 def first_line(spark: SparkSession, path: str, encoding: str) -> str | None:
     """First line of a file on any Hadoop file system, plain or compressed; None if the file is empty."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(path)) if "://" in path or path.startswith("file:") else jvm.org.apache.hadoop.fs.Path(path)
+    file = jvm.org.apache.hadoop.fs.Path(path)
     stream = file.getFileSystem(conf).open(file)
     codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file)
     reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec is not None else stream, encoding))
