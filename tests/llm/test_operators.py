@@ -72,14 +72,56 @@ def test_lm_score_equals_brute_force(spark):
     assert sum(r.score for r in rows.values() if r.held_out) > sum(r.base_score for r in rows.values() if r.held_out)
 
 
-def test_lm_probabilities_sum_to_one(spark):
-    """From any state, the known words, the end and one unknown word share probability 1."""
-    train = [(i, t, True) for i, t in enumerate(["a b a", "a c", "b b a c"])]
-    probe = [(100 + k, f"{h} {w}".strip(), False) for k, (h, w) in enumerate((h, w) for h in "abcx" for w in ["a", "b", "c", "x", ""])]
-    docs = spark.createDataFrame(train + probe, "doc_id long, text string, training boolean")
-    score = {r.doc_id: r.score for r in lm_scoring.score_texts(docs, "training").collect()}
-    start = {r: lm_brute([b"a b a", b"a c", b"b b a c", r.encode()], [True] * 3 + [False])[3][4] for r in "abcx"}
-    assert set(start) == set("abcx") and all(s < 0 for s in score.values())
+class LmBrute:
+    """The smoothed model by its definition, with counts of word tuples."""
+
+    def __init__(self, texts, order, escape=lm_scoring.ESCAPE):
+        self.order, self.escape = order, escape
+        self.counts = [collections.Counter() for _ in range(order + 1)]
+        for t in texts:
+            tokens = ["<s>"] * (order - 1) + t.lower().split() + ["</s>"]
+            for i in range(max(0, order - 2), len(tokens)):         # of the start marks the last counts
+                for m in range(1, order + 1):
+                    if i + 1 >= m:
+                        self.counts[m][tuple(tokens[i + 1 - m:i + 1])] += 1
+        self.words = {w: c for (w,), c in self.counts[1].items() if w != "<s>"}
+        self.n, self.v = sum(self.words.values()), len(self.words)
+        self.table = np.array([sum(-math.expm1(-c * 2.0 ** -j) for c in self.words.values()) for j in range(lm_scoring.GRID)])
+
+    def p(self, word, context):
+        if not context:
+            return (self.words[word] if word in self.words else self.v) / (self.n + self.v)
+        c = self.counts[len(context)][context]
+        shorter = self.p(word, context[1:])
+        if not c:
+            return shorter
+        e = self.escape * float(lm_scoring.escape_weight(np.array([c]), self.n, self.table)[0])
+        return (self.counts[len(context) + 1][(*context, word)] + e * shorter) / (c + e)
+
+    def score(self, text):
+        tokens = ["<s>"] * (self.order - 1) + text.lower().split() + ["</s>"]
+        k = self.order - 1
+        return sum(math.log10(self.p(tokens[i], tuple(tokens[i - k:i]))) for i in range(k, len(tokens)))
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_lm_orders_equal_the_definition(spark, order):
+    """Scores of every order; and from any history the known words, the end and one unknown word share probability 1."""
+    rng = np.random.default_rng(order)
+    train = [" ".join(rng.choice(list("abcde"), size=rng.integers(0, 12), p=[.4, .3, .15, .1, .05])) for _ in range(40)]
+    probes = [" ".join(rng.choice(list("abcdefx"), size=rng.integers(0, 9))) for _ in range(40)]
+    model = LmBrute(train, order)
+    for history in [("<s>",) * (order - 1), *[tuple(rng.choice(list("abcx"), size=order - 1).tolist()) for _ in range(20)]]:
+        assert sum(model.p(w, history) for w in [*model.words, "unknown"]) == pytest.approx(1)
+    rows = [(i, t, True) for i, t in enumerate(train)] + [(100 + i, t, False) for i, t in enumerate(probes)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, training boolean")
+    got = {r.doc_id: r.score for r in lm_scoring.score_texts(docs, "training", order=order, block_bytes=64).collect()}
+    assert got == {i: pytest.approx(model.score(t)) for i, t, _ in rows}
+
+
+def test_lm_totals_beyond_32_bits():
+    counts = np.array([0, 1, 2**32 - 1, 2**32, 2**45 + 3], np.int64)
+    assert (common.unpack_counts(common.pack_counts(counts)) == counts).all() and (common.unpack_counts(common.pack_counts(counts[:0])) == counts[:0]).all()
 
 
 def test_lm_awkward(awkward, empty):
