@@ -198,6 +198,16 @@ def test_exact_dedup_awkward(awkward, empty):
     assert exact_dedup.exact_groups(empty).count() == 0
 
 
+@pytest.mark.parametrize("key,digest", [(lambda b: F.lit(1).cast("long"), exact_dedup.text_digest),
+                                        (lambda b: F.length(b).cast("long"), lambda b: F.lit("same")),
+                                        (exact_dedup.text_key, lambda b: F.substring(F.md5(b), 1, 1))])
+def test_exact_dedup_with_colliding_keys_and_digests(awkward, key, digest):
+    """Chains of one key are told apart by digests, and texts that share both by their bytes."""
+    want = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_groups(awkward).collect()}
+    got = exact_dedup.exact_groups(awkward, key=key, digest=digest).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in got} == want and len(got) == len(AWKWARD)
+
+
 def test_directory_splits_overfull_buckets(spark):
     keys = spark.range(5000).select(F.xxhash64("id").alias("key")).unionByName(spark.range(300).select(F.lit(7).cast("long").alias("key")))
     buckets = exact_dedup.build_directory(keys, 100)
