@@ -20,8 +20,8 @@ set form one class, whatever their number, and only classes go on.
    similarity; pairs with fewer agreements than one similar pair in 10^9 has are dropped.
 5. The classes of step 3 go through steps 1 to 3 once more with their full sets for
    sketches, so what two of them have in common beside the long lists is found.
-6. Pairs are decided on the full sets. Components of these links, by minimum labels with
-   pointer jumping, are the groups so far.
+6. Pairs are decided on the full sets. Components of these links, by hooking onto the
+   smallest neighbour and contracting, are the groups so far.
 7. Classes still made of long lists are compared exactly. Two of them that have met in no
    short list have all they share in values of long lists, and reach the threshold only if
    they share one among the rarest of these in both (prefix filter), hence also the leader
@@ -307,23 +307,35 @@ def exact_links(parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def components(links: DataFrame, classes: DataFrame) -> DataFrame:
-    """(cls, component): the smallest id of the classes reachable over links."""
-    edges = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    name = F.struct(F.col("least_id").isNull().alias("none"), F.col("least_id").alias("id"), F.col("cls").alias("root"))
-    labels = materialise(edges.select(F.col("src").alias("cls")).distinct().join(classes, "cls").select("cls", name.alias("label")), "near-labels")
+    """(cls, component): the smallest id of the classes reachable over links.
+
+    Every class hooks onto its smallest neighbour, links are renamed to what their ends hooked onto, and
+    those that have become loops or equal to others go; so a large group shrinks to few links in a round
+    or two, and only its first round reads all of them.
+    """
+    edges = links.select("a", "b").distinct()
+    home = None
     while True:
-        reach = (labels.unionByName(edges.join(labels, edges.src == labels.cls).select(F.col("dst").alias("cls"), "label"))
-                 .groupBy("cls").agg(F.min("label").alias("label")))
-        up = reach.select(F.col("cls").alias("root"), F.col("label").alias("higher"))
-        jumped = (reach.join(up, F.col("label.root") == F.col("root"), "left")
-                  .select("cls", F.coalesce(F.least("higher", "label"), "label").alias("label")))
-        after = materialise(jumped, "near-labels")
-        before = labels.select(F.col("cls"), F.col("label").alias("was"))
-        changed = after.join(before, "cls").where(F.col("label") != F.col("was")).limit(1).count()
-        discard(labels)
-        labels = after
-        if not changed:
-            return labels.select("cls", F.col("label.id").alias("component"))
+        ends = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(edges.select(F.col("b").alias("x"), F.col("a").alias("y")))
+        hook = materialise(ends.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("h")), "near-hooks")
+        if home is None:
+            after = hook.select(F.col("x").alias("cls"), F.col("h").alias("root"))
+        else:
+            after = home.join(hook, F.col("root") == F.col("x"), "left").select("cls", F.coalesce("h", "root").alias("root"))
+        after = materialise(after, "near-homes")
+        renamed = (edges.join(hook.toDF("a", "ha"), "a").join(hook.toDF("b", "hb"), "b").where("ha <> hb")
+                   .select(F.least("ha", "hb").alias("a"), F.greatest("ha", "hb").alias("b")).distinct())
+        left = materialise(renamed, "near-edges")
+        discard(hook)
+        if home is not None:
+            discard(home)
+            discard(edges)
+        home, edges = after, left
+        if edges.isEmpty():
+            break
+    least = F.min(F.struct(F.col("least_id").isNull().alias("none"), F.col("least_id").alias("id")))
+    named = home.join(classes.select("cls", "least_id"), "cls")
+    return named.select("cls", "root").join(named.groupBy("root").agg(least.alias("m")), "root").select("cls", F.col("m.id").alias("component"))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80,
