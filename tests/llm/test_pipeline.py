@@ -43,3 +43,23 @@ def test_pipeline_on_empty_documents(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_pipeline_stages_on_awkward_rows(spark):
+    """Nulls, ties, repeated rows, a very long text and columns with clashing names."""
+    from pyspark.sql import functions as F
+
+    from tests.llm.test_operators import AWKWARD, DOCS
+
+    names = ("toxicity", "text_digest", "keep_id", "kept", "gone_id", "mix_size", "copy", "n_tokens")
+    docs = spark.createDataFrame(AWKWARD, DOCS).withColumns({c: F.lit("clash") for c in names})
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        kept = stage(spark, kept, SF)
+        assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
+    # of the six-word texts one stays, of the two long ones the first, of the empty ones that of the smallest id; " \n " is one space
+    assert sorted((r.doc_id for r in kept.collect()), key=lambda i: (i is None, i or 0)) == [1, 3, 8, 9, None]
+    mixed = corpus_pipeline.mix_sources(spark, kept, SF)
+    assert {r.doc_id for r in mixed.collect()} <= {3, 9, None}
+    coded = corpus_pipeline.encode_texts(spark, mixed, SF).collect()
+    assert all(r.round_trip for r in coded)
