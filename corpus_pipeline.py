@@ -5,7 +5,9 @@ kept; all but the last return the columns of ``documents``. ``run`` writes each
 stage as Parquet in the shared folder and rereads it for the next.
 
 Rows that nothing speaks against stay: null and empty texts are scored like any
-other. Rows are told apart by id: rows that repeat an id share its fate. The mix returns a document once for each copy taken.
+other, very long ones whole. Rows are told apart by id: rows that repeat an id share its fate.
+The mix returns a document once for each copy taken. Stages work on the five columns of ``documents``;
+other columns, whatever their names, are left out. An empty table gives an empty result.
 """
 
 from __future__ import annotations
