@@ -45,18 +45,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     A cluster must name it: on other than a local master an unset folder is an
     error. Local runs (tests) get a scratch folder.
     """
+    context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        # Spark's own checkpoint folder lies below the one that was set
-        path = spark.sparkContext.getCheckpointDir()
-        if path:
-            return path
-        if not spark.sparkContext.master.split("[")[0] == "local":
+    if path:
+        if path.split(":")[-1].strip("/") not in (context.getCheckpointDir() or ""):
+            context.setCheckpointDir(path)
+        return path
+    if not context.getCheckpointDir():
+        if context.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir is unset; name a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="flowlog-ckpt-")
-    if path.split(":")[-1].strip("/") not in (spark.sparkContext.getCheckpointDir() or ""):
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="flowlog-ckpt-"))
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:

@@ -54,3 +54,20 @@ def test_salted_hash(spark):
 def test_weekday_label(spark):
     df = spark.createDataFrame([(ts("2024-01-01 00:00:00"),)], "t timestamp_ntz")  # a Monday
     assert df.select(weekday_label("t").alias("w")).first().w == "Segunda"
+
+
+def test_text_ids_in_float_notation_stay_apart(spark):
+    """Only float columns print numbers in scientific notation; a text id of that form is its own id."""
+    from flowlog.functions.hashing import id_text
+
+    text = spark.createDataFrame([("1.0E7",), ("10000000",), ("2.5E3",), ("123.0",)], "v string").select(id_text("v").alias("t"))
+    assert [r.t for r in text.collect()] == ["1.0E7", "10000000", "2.5E3", "123"]
+    number = spark.createDataFrame([(1.0e7,), (123.0,), (0.5,)], "v double").select(id_text("v").alias("t"))
+    assert [r.t for r in number.collect()] == ["10000000", "123", "0.5"]
+
+
+def test_checkpoint_folder_of_a_session_without_one(spark):
+    from flowlog.session import checkpoint_dir
+
+    first = checkpoint_dir(spark)
+    assert checkpoint_dir(spark) == first and spark.sparkContext.getCheckpointDir()
