@@ -19,8 +19,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowlog.llm.common import text_of
-
 PREFIX_HEX = 8          # 32 bits of the digest in the equi-join
 _SCHEME_END = "://"
 

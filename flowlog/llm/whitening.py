@@ -1,7 +1,8 @@
 """Whitening of embeddings by refined eigenvectors of their covariance.
 
-Entries become integers first, ``floor(scale * entry) + offset``, so sums are exact (for
-entries below 2^46 in size; larger ones are rounded to 53 bits).
+Entries become integers first, ``floor(SCALE * entry)``, so sums are exact (for entries
+below 2^46 in size; larger ones are rounded to 53 bits). A constant added to all entries would
+change nothing: all that is returned is centred.
 
 1. One pass adds up the integers by dimension; a second one multiplies the vectors,
    centred at the nearest integers to the means, and adds the products, in integers
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from flowlog.llm.common import ship_package
 
-SCALE, OFFSET = 64, 1_000_000
+SCALE = 64
 COMPONENTS = 32
 STEPS = 12                  # refinement steps at most; they stop when corrections vanish
 GROUPS = 64                 # matrices of tasks are first added in so many groups
@@ -55,7 +56,7 @@ def most_frequent_length(vectors: DataFrame, vec_col: str) -> int:
 
 
 def _matrix(column, dim: int) -> np.ndarray:
-    """A batch's vectors as rows of float64 integers floor(scale * entry), without the offset."""
+    """A batch's vectors as rows of float64 integers floor(SCALE * entry)."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     return np.floor(SCALE * column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)).reshape(-1, dim)
@@ -108,7 +109,7 @@ def _per_task(vectors: DataFrame, vec_col: str, dim: int, products) -> DataFrame
 
 
 def exact_covariance(vectors: DataFrame, vec_col: str, dim: int) -> tuple[int, list[int], np.ndarray]:
-    """Rows n, sums of the integers without offset, and n^2 times their covariance, all exact."""
+    """Rows n, sums of the integers, and n^2 times their covariance, all exact."""
     def sums(x):
         small = float(np.abs(x).sum(axis=0).max(initial=0.0)) < EXACT
         return np.array([[len(x)] * dim, [int(v) for v in x.sum(axis=0)] if small else [sum(map(int, c)) for c in x.T]], dtype=object)

@@ -6,7 +6,6 @@ import corpus_pipeline
 from tests.llm.test_operators import near_brute
 
 from flowlog.llm import toxicity
-from flowlog.llm.common import as_bytes  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
