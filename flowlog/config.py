@@ -79,8 +79,8 @@ class SkewConfig:
 
     ``mode='detect'``: a ``sample_fraction`` sample estimates rows per key;
     keys estimated at ``hot_rows`` or more are split into buckets of about ``bucket_rows`` rows along
-    the first sort column, at sampled quantiles, if they hold over 1 / 4096 of all rows, so
-    there are at most 4096 hot keys (see operators/sequence.py).  ``mode='off'``: no splitting.  ``mode='all'``:
+    the first sort column, at sampled quantiles, if they are among the
+    4096 largest keys (see operators/sequence.py).  ``mode='off'``: no splitting.  ``mode='all'``:
     every key is split (tests exercise the split path with it).
     """
 

@@ -30,7 +30,7 @@ from flowlog.config import SkewConfig
 
 
 BOUNDS = 255        # bounds of a hot key at most; a power of two less one
-HOT_SHARE = 4096    # a hot key has more than this part of all rows, so there are fewer hot keys than this
+HOT_SHARE = 4096    # hot keys at most, the largest ones; any other key has less than this part of all rows
 RANK_BOUNDS = 1023  # bounds that split a table to be ranked; a power of two less one
 
 
@@ -72,9 +72,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], axis_col: str, skew: SkewConfig
     """(keys, ``_hb`` sampled quantiles of the axis, ``_hm`` parts per stretch) for keys estimated to be hot.
 
     One pass over the sample gives each key's count and quantile summary; both are merged
-    from the tasks' partial results. A key is hot if it has ``hot_rows`` rows or more and over
-    1 / ``HOT_SHARE`` of all rows: below that it is no larger than an even share of the work, so
-    there are at most ``HOT_SHARE`` hot keys, and ``HOT_SHARE * BOUNDS`` bounds, at every size.
+    from the tasks' partial results. A key is hot if it has ``hot_rows`` rows or more and is among
+    the ``HOT_SHARE`` largest: any other has less than 1 / ``HOT_SHARE`` of all rows, no more than
+    an even share of the work. So there are at most ``HOT_SHARE * BOUNDS`` bounds at every size.
 
     A key of about n buckets gets min(n, ``BOUNDS`` + 1) stretches of equal
     frequency, so a burst of events is cut as finely as its rows require; beyond
@@ -90,11 +90,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], axis_col: str, skew: SkewConfig
         src = src.sample(fraction=frac, seed=17)
     marks = [i / (BOUNDS + 1) for i in range(1, BOUNDS + 1)]
     sizes = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hc"), F.percentile_approx("_ax", marks, 10 * BOUNDS).alias("_q"))
-    if skew.mode == "all":
-        g = sizes
-    else:
-        total = sizes.agg(F.sum("_hc")).scalar()
-        g = sizes.filter((F.col("_hc") / F.lit(frac) >= F.lit(skew.hot_rows)) & (F.col("_hc") * F.lit(HOT_SHARE) > total))
+    g = sizes if skew.mode == "all" else (sizes.filter(F.col("_hc") / F.lit(frac) >= F.lit(skew.hot_rows))
+                                          .orderBy(F.col("_hc").desc(), *keys).limit(HOT_SHARE))
     n = F.ceil(F.col("_hc") / F.lit(frac) / F.lit(float(max(1, skew.bucket_rows))))
     stretches = F.least(F.greatest(n, F.lit(2)), F.lit(BOUNDS + 1))
     # every (BOUNDS + 1) / stretches-th of the marks
