@@ -106,19 +106,27 @@ class BlockStrings:
     def buckets(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct buckets and the order in which they are asked: minima crowd at small values, so by a
         fingerprint of theirs, which spreads them evenly over the owners."""
-        own = np.unique(self.bucket[self.inside])
+        own = np.unique(self._runs()[0])
         return own, np.argsort(_spread(own), kind="stable")
 
+    def _runs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Neighbouring strings mostly share their bucket: the bucket of each run of strings, and the run's length."""
+        mine = self.bucket[self.inside]
+        starts = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]]) if len(mine) else np.zeros(0, np.int64)
+        return mine[starts], np.diff(np.r_[starts, len(mine)])
+
     def open_strings(self, buckets: np.ndarray, flags: np.ndarray) -> np.ndarray:
         """Starts of the strings whose bucket has another member: elsewhere, or later in this block."""
-        mine = self.bucket[self.inside]
-        place = np.searchsorted(buckets, mine)
-        # the q-gram's positions in this block, as runs of strings that share one occurrence
-        grams = np.searchsorted(buckets, self.level)
-        grams[grams == len(buckets)] = 0
-        hit = np.flatnonzero(buckets[grams] == self.level) if len(buckets) else np.zeros(0, np.int64)
-        times = np.bincount(grams[hit], minlength=len(buckets))
-        return self.inside[((flags[place] & ELSEWHERE) > 0) | (times[place] > 1)]
+        runs, lengths = self._runs()
+        place = np.searchsorted(buckets, runs)
+        # places of q-grams that are the smallest of some string: no smaller one in all of the strings that hold them
+        of_string = np.zeros(len(self.level), np.uint64)
+        of_string[self.inside] = self.bucket[self.inside]
+        width = self.length - self.depth + 1
+        highest = ~smallest_ahead(np.concatenate([np.full(width - 1, ~U64(0)), ~of_string]), width)
+        hit = np.flatnonzero((highest == self.level) & (highest > 0))
+        times = np.bincount(np.searchsorted(buckets, self.level[hit]), minlength=len(buckets))
+        return self.inside[np.repeat(((flags[place] & ELSEWHERE) > 0) | (times[place] > 1), lengths)]
 
     def full_depth(self, starts: np.ndarray) -> np.ndarray:
         """Identifiers at the full depth for strings starting at ``starts``."""
@@ -129,14 +137,10 @@ class BlockStrings:
         rest = self.length - depth
         return mix(level[starts], level[starts + rest]) if rest else level[starts]
 
-    def repeated(self, starts: np.ndarray, names: np.ndarray, keys: np.ndarray, flags: np.ndarray) -> np.ndarray:
-        """Of these strings the starts of those that occurred before, in an earlier block or here."""
-        place = np.searchsorted(keys, names)
-        order = np.argsort(place, kind="stable")
-        later = np.zeros(len(starts), bool)
-        same = place[order][1:] == place[order][:-1]
-        later[order[1:][same]] = True
-        return starts[later | ((flags[place] & EARLIER) > 0)]
+    def repeated(self, starts: np.ndarray, names: np.ndarray, flags: np.ndarray) -> np.ndarray:
+        """Of these strings the starts of those that occurred before, in an earlier block or here; ``flags`` by sorted name."""
+        _, first, place = np.unique(names, return_index=True, return_inverse=True)
+        return starts[(first[place] != np.arange(len(starts))) | ((flags[place] & EARLIER) > 0)]
 
 
 def _rows(block: int, kind: int, keys: np.ndarray, bits: int) -> list[tuple]:
@@ -229,10 +233,10 @@ class _Plan:
     def remove(self, docs: pa.Table, answers: pa.Table) -> pa.Table:
         flags = _answers(answers)
         s, copies, starts, names = self._refined(docs, flags)
-        gone = s.repeated(starts, names, np.unique(names), flags[FULL]) if len(starts) else starts
+        gone = s.repeated(starts, names, flags[FULL]) if len(starts) else starts
         cover = np.zeros(int(s.sizes[s.used].sum()) + 1, np.int32)
-        np.add.at(cover, gone, 1)
-        np.add.at(cover, gone + self.length, -1)
+        cover[gone] += 1                    # starts are distinct
+        cover[gone + self.length] -= 1
         covered = np.cumsum(cover[:-1]) > 0
         at = dict(zip(s.used.tolist(), s.at.tolist()))
         removed, kept, spans = [], [], []
