@@ -18,6 +18,7 @@ count once; extra columns are kept.
 
 from __future__ import annotations
 
+import zlib
 from zlib import crc32
 
 import numpy as np
@@ -55,6 +56,19 @@ def word_places(word: bytes) -> list[int]:
     return [crc32(word, 1) % PLACES, *[crc32(word[:n], n) % PLACES for n in PREFIXES if len(word) >= n]]
 
 
+def pack_places(places: np.ndarray) -> bytes:
+    """Sorted places as steps from one to the next, compressed byte plane by byte plane."""
+    steps = np.diff(places, prepend=0).astype(np.uint32)
+    return zlib.compress(steps.view(np.uint8).reshape(-1, 4).T[:3].tobytes(), 1)
+
+
+def unpack_places(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(blob), np.uint8).reshape(3, -1)
+    steps = np.zeros((planes.shape[1], 4), np.uint8)
+    steps[:, :3] = planes.T
+    return np.cumsum(steps.view(np.uint32).ravel(), dtype=np.int32)
+
+
 class FactorizationMachine:
     def __init__(self, bias: float, linear: np.ndarray, factors: np.ndarray):
         self.bias, self.linear, self.factors = bias, linear, factors
@@ -74,13 +88,16 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, passes: int = 12, rate: floa
     share = float(labels.mean()) if len(labels) else 0.0
     if share in (0.0, 1.0):
         return FactorizationMachine(40.0 if share else -40.0, linear, np.zeros((PLACES, FACTORS), np.float32))
-    seen = np.bincount(np.concatenate(rows), minlength=PLACES)
-    positive = np.bincount(np.concatenate([r for r, y in zip(rows, labels) if y == 1]), minlength=PLACES)
+    seen, positive = np.zeros(PLACES, np.int64), np.zeros(PLACES, np.int64)
+    for r, y in zip(rows, labels):          # places are distinct within a row
+        seen[r] += 1
+        if y == 1:
+            positive[r] += 1
     z = (positive - seen * share) / np.sqrt(np.maximum(seen, 1) * share * (1 - share))
     neutral = np.abs(z) < MIN_Z
     usable = seen >= min_rows
-    rows = [r[usable[r]] for r in rows]
-    pace = [np.where(neutral[r], 1 / max(1, neutral[r].sum()), 1).astype(np.float32) for r in rows]      # a row's neutral terms share one step
+    if not usable[seen > 0].all():
+        rows = [r[usable[r]] for r in rows]
     rng = np.random.default_rng(seed)
     factors = np.where(usable[:, None], rng.normal(0, 0.01, (PLACES, FACTORS)), 0).astype(np.float32)
     gl, gf, gb = np.full(PLACES, 1e-2, np.float32), np.full((PLACES, FACTORS), 1e-2, np.float32), 1e-2
@@ -95,14 +112,16 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, passes: int = 12, rate: floa
             g = float(weight[i]) * (1.0 / (1.0 + np.exp(-np.clip(z, -30, 30))) - labels[i])
             if abs(g) < 1e-3:
                 continue
+            dull = neutral[x]
+            pace = np.where(dull, 1 / max(1, dull.sum()), 1).astype(np.float32)        # a row's neutral terms share one step
             gb += g * g
             bias -= rate * g / np.sqrt(gb)
             step = g + decay * linear[x]
             gl[x] += step * step
-            linear[x] -= rate * pace[i] * step / np.sqrt(gl[x])
+            linear[x] -= rate * pace * step / np.sqrt(gl[x])
             fstep = g * (total - v) + decay * v
             gf[x] += fstep * fstep
-            factors[x] -= 0.25 * rate * pace[i][:, None] * fstep / np.sqrt(gf[x])
+            factors[x] -= 0.25 * rate * pace[:, None] * fstep / np.sqrt(gf[x])
     return FactorizationMachine(bias, linear, factors)
 
 
@@ -167,11 +186,13 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col:
                 continue
             rows = batch.column("p")
             flat, ends = rows.flatten().to_numpy(zero_copy_only=False), np.cumsum(rows.value_lengths().to_numpy(zero_copy_only=False))
-            kept = [p[used[p]].tobytes() for p in np.split(flat, ends[:-1])]
+            kept = [pack_places(p[used[p]]) for p in np.split(flat, ends[:-1])]
             yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("y"), pa.array(kept, pa.binary())], names=["h", "y", "p"])
 
-    found = sorted(placed.mapInArrow(keep, "h long, y int, p binary").collect(), key=lambda r: r["h"])
-    return fit([np.frombuffer(r["p"], np.int32) for r in found], np.array([r["y"] for r in found], dtype=np.float64))
+    # partition by partition, so that the driver never holds rows twice
+    found = [(r["h"], r["y"], unpack_places(r["p"])) for r in placed.mapInArrow(keep, "h long, y int, p binary").toLocalIterator()]
+    found.sort(key=lambda r: r[0])
+    return fit([p for _, _, p in found], np.array([y for _, y, _ in found], dtype=np.float64))
 
 
 def score_texts(docs: DataFrame, model: FactorizationMachine, text_col: str = "text", score_col: str = "toxicity",
