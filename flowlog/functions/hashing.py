@@ -19,7 +19,8 @@ def id_text(c) -> Column:
     exact = text.try_cast("decimal(38,6)")
     is_float = F.typeof(as_col(c)).isin("double", "float")
     printed_float = is_float & text.rlike(r"^-?\d\.\d+E\d{1,2}$") & exact.isNotNull() & (exact == F.floor(exact))
-    return (F.when(text.rlike(r"^-?\d+\.0+$"), F.regexp_replace(text, r"\.0+$", ""))
+    # the plain search first: the pattern is tried only on texts that hold a zero fraction
+    return (F.when(F.contains(text, F.lit(".0")) & text.rlike(r"^-?\d+\.0+$"), F.regexp_replace(text, r"\.0+$", ""))
             .when(printed_float, exact.cast("decimal(38,0)").cast("string"))
             .otherwise(text))
 
