@@ -13,9 +13,10 @@ set form one class, whatever their number, and only classes go on.
    of a short list if both consist almost wholly of values of long lists; a class
    with more other values in its sketch than two similar sets can differ by (but for
    one pair in 10^9, by the binomial distribution) is not such a class. The few that are
-   get compared, in every long list and size band they are in, with two leaders: the member
+   get compared, in every long list and size band they are in, with its leader: the member
    with the most values of long lists (of these the one with most rows), which is nearest to
-   what all have in common, and one drawn by a hash of the list, a different one in each list.
+   what all have in common and mostly the same one in all lists of a group of variants, so
+   such a group gives a few pairs a class, whatever its size. What the leaders miss is left to 5 and 7.
 4. The union sketch (the smallest ``sketch`` values of both sketches) estimates the
    similarity; pairs with fewer agreements than one similar pair in 10^9 has are dropped.
 5. The classes of step 3 go through steps 1 to 3 once more with their full sets for
@@ -157,15 +158,13 @@ def common_classes(shared: DataFrame, percent: int, list_max: int, sketch: int |
             .where(whole).select("cls", "common"))
 
 
-def leader_pairs(shared: DataFrame, common: DataFrame, percent: int, list_max: int, drawn: bool) -> DataFrame:
-    """Members of long lists with the leaders of their list, in their own size band and the next ones."""
+def leader_pairs(shared: DataFrame, common: DataFrame, percent: int, list_max: int) -> DataFrame:
+    """Members of long lists with the leader of their list, in their own size band and the next ones."""
     band = F.floor(F.log("n") / math.log(100 / percent)).cast("int")
     member = (shared.where(F.col("listed") > list_max).join(common, "cls")
               .select("value", "cls", "common", "copies", band.alias("band")))
-    hub, other = F.max_by("cls", F.struct("common", "copies", "cls")), F.min_by("cls", F.xxhash64("value", "cls"))
-    leaders = (member.groupBy("value", "band").agg((F.array_distinct(F.array(hub, other)) if drawn else F.array(hub)).alias("leaders"))
-               .select("value", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "leaders")
-               .select("value", "band", F.explode("leaders").alias("leader")))
+    leaders = (member.groupBy("value", "band").agg(F.max_by("cls", F.struct("common", "copies", "cls")).alias("leader"))
+               .select("value", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "leader"))
     return (member.join(leaders, ["value", "band"]).where(F.col("cls") != F.col("leader"))
             .groupBy(F.least("cls", "leader").alias("a"), F.greatest("cls", "leader").alias("b")).agg(F.count("*").alias("overlap")))
 
@@ -348,7 +347,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                F.count("*").alias("copies")), "near-classes")
     shared = materialise(shared_values(classes), "near-lists")
     common = common_classes(shared, percent, list_max, sketch)
-    met = short_list_pairs(shared, percent, list_max).unionByName(leader_pairs(shared, common, percent, list_max, drawn=True))
+    met = short_list_pairs(shared, percent, list_max).unionByName(leader_pairs(shared, common, percent, list_max))
     met = met.groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
     pairs = materialise(likely_pairs(met, classes, percent, sketch), "near-pairs")
     common = materialise(common, "near-common")
@@ -358,7 +357,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole = classes.join(common.select("cls"), "cls").join(sets, "cls").select("cls", "n", "copies", F.col("shingles").alias("sketch"))
     again = materialise(shared_values(whole), "near-lists")
     still = common_classes(again, percent, list_max, None)
-    more = short_list_pairs(again, percent, list_max).unionByName(leader_pairs(again, still, percent, list_max, drawn=False))
+    more = short_list_pairs(again, percent, list_max).unionByName(leader_pairs(again, still, percent, list_max))
     links = verified_links(pairs.select("a", "b").unionByName(more.select("a", "b")).distinct(), sets, percent)
     links = materialise(links, "near-links")
     found = components(links, classes)

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -229,6 +230,21 @@ def test_mix_targets_and_copies(spark, awkward, empty):
     assert all(r.mix_copies == 0 for r in odd.where("mix_size = 0").collect())
 
 
+def test_toxicity_worker_memory_is_bounded():
+    """A worker remembers a bounded number of words, and texts of a batch are taken part by part, each row once."""
+    finder = toxicity.TermFinder(np.arange(0, toxicity.PLACES, 2))
+    for i in range(0, 150_000, 100):
+        found = finder.places(b" ".join(b"word%d" % k for k in range(i, i + 100)))
+        assert len(found) == len(set(found.tolist())) and (found % 2 == 0).all()
+        assert len(finder.dull) + len(finder.known) <= 100_000
+    rows = ["x" * 400_000, None, "y" * 3_000_000, "", "z"] * 3
+    batch = pa.RecordBatch.from_pydict({"i": list(range(15)), "t": pa.array(rows, pa.string())})
+    parts = list(common.text_runs([batch, batch.slice(0, 0)], "t"))
+    assert [i for p, _ in parts for i in p.column("i").to_pylist()] == list(range(15))
+    assert [t for _, v in parts for t in v] == [(r or "").encode() for r in rows]
+    assert all(len(v) == 1 or sum(map(len, v)) <= common.SLICE_BYTES for _, v in parts)
+
+
 def near_brute(rows, width, percent):
     sets = {}
     for i, t in rows.items():
@@ -278,6 +294,25 @@ def test_near_dedup_long_lists(spark):
     assert got == want
 
 
+def test_near_dedup_one_large_group_of_variants(spark, monkeypatch):
+    """Each class of one large group of variants takes part in a few candidate pairs, not in one for every list it is in."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(120)]
+    rows = {}
+    for i in range(200):
+        own = list(base)
+        for p in rng.choice(120, size=2, replace=False):
+            own[p] = f"edit{i}_{p}"
+        rows[i] = " ".join(own)
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    made, write = {}, near_dedup.materialise
+    monkeypatch.setattr(near_dedup, "materialise", lambda df, name: made.setdefault(name, write(df, name)) if name == "near-pairs" else write(df, name))
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(docs, width=3, percent=85, list_max=8).collect()}
+    want, _ = near_brute({i: t.encode() for i, t in rows.items()}, 3, 85)
+    assert got == want
+    assert made["near-pairs"].count() <= 5 * len(rows)
+
+
 def form_letters(options, fields=30, letters=300, planted=60):
     """Letters of fields filled from short lists; of each planted pair the second differs from the first in one field."""
     rng = np.random.default_rng(11)
