@@ -18,6 +18,7 @@ from flowlog.session import checkpoint_dir
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_BYTES = 4 << 20      # text of one block of documents; the unit of work of a task's memory
+SLICE_BYTES = 1 << 20      # text that a Python worker handles at once
 OWNER_KEYS = 4_000_000     # packed keys that one owner group gathers, on average
 
 U64 = np.uint64
@@ -47,6 +48,20 @@ def as_bytes(column) -> list[bytes]:
     return [b"" if x is None else x for x in pc.cast(column, pa.binary()).to_pylist()]
 
 
+def text_runs(batches, text_col: str):
+    """(part of a batch, its texts as bytes), part by part, so that no copy of a whole batch's texts is held."""
+    for batch in batches:
+        column = batch.column(text_col)
+        lengths = pc.fill_null(pc.binary_length(pc.cast(column, pa.binary())), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths, dtype=np.int64)
+        at = 0
+        while at < len(ends):
+            to = max(at + 1, int(np.searchsorted(ends, (int(ends[at - 1]) if at else 0) + SLICE_BYTES, side="right")))
+            part = batch.slice(at, to - at)
+            yield part, as_bytes(part.column(text_col))
+            at = to
+
+
 def lower_words(text: bytes) -> list[bytes]:
     """A-Z lowered, cut at ASCII white space (0x20, 0x09-0x0D): what bytes methods do."""
     return text.lower().split()

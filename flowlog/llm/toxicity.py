@@ -26,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from flowlog.llm.common import as_bytes, lower_words, materialise, ship_package, spark_of
+from flowlog.llm.common import lower_words, materialise, ship_package, spark_of, text_runs
 
 PLACES = 1 << 18
 FACTORS = 4
 MAX_ROWS = 12_000       # labelled rows that the fit sees at most
 MIN_ROWS = 5
 MIN_Z = 3.5             # a term nearer to the share of positives, in standard deviations, is neutral by itself
-MEMO = 1 << 18          # words that a worker remembers
+MEMO = 1 << 16          # words that a worker remembers (some 30 MB)
 PREFIXES = (4, 5, 6, 7)   # bytes
 CUT = b".,;:!?\"'()[]{}<>|*#%&$-_/\\"
 
@@ -129,7 +129,8 @@ class TermFinder:
     """The places that a model uses in a text; words without any are remembered (boundedly) and skipped."""
 
     def __init__(self, used: np.ndarray):
-        self.used = set(used.tolist())
+        self.used = bytearray(PLACES)
+        np.frombuffer(self.used, np.uint8)[used] = 1
         self.dull: set[bytes] = set()
         self.known: dict[bytes, tuple[int, ...]] = {}
 
@@ -138,7 +139,7 @@ class TermFinder:
         for word in set(lower_words(text)) - self.dull:
             places = self.known.get(word)
             if places is None:
-                places = tuple(self.used.intersection(word_places(word)))
+                places = tuple(p for p in word_places(word) if self.used[p])
                 if places:
                     self.known[word] = places
                 else:
@@ -167,9 +168,9 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col:
             .groupBy("h").agg(F.max("y").alias("y"), F.max("t").alias("t")))      # one row an id
 
     def run(batches):
-        for batch in batches:
-            places = [term_places(t) for t in as_bytes(batch.column("t"))]
-            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("y"), pa.array(places, pa.list_(pa.int32()))], names=["h", "y", "p"])
+        for part, found in text_runs(batches, "t"):
+            places = [term_places(t) for t in found]
+            yield pa.RecordBatch.from_arrays([part.column("h"), part.column("y"), pa.array(places, pa.list_(pa.int32()))], names=["h", "y", "p"])
 
     placed = materialise(rows.mapInArrow(run, "h long, y int, p array<int>"), "toxicity-terms")
     total, positive = placed.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
@@ -209,9 +210,9 @@ def score_texts(docs: DataFrame, model: FactorizationMachine, text_col: str = "t
         linear, factors = np.zeros(PLACES, np.float32), np.zeros((PLACES, v.shape[1]), np.float32)
         linear[at], factors[at] = w, v
         machine, finder = FactorizationMachine(bias, linear, factors), TermFinder(at)
-        for batch in batches:
-            scores = [machine.score(finder.places(t)) for t in as_bytes(batch.column(text_col))]
-            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in rest], pa.array(scores, pa.float64())],
+        for part, found in text_runs(batches, text_col):
+            scores = [machine.score(finder.places(t)) for t in found]
+            yield pa.RecordBatch.from_arrays([*[part.column(f.name) for f in rest], pa.array(scores, pa.float64())],
                                              names=[f.name for f in schema.fields])
 
     return docs.select(*dict.fromkeys([*[f.name for f in rest], text_col])).mapInArrow(run, schema)
