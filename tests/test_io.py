@@ -1,6 +1,7 @@
 import os
 import uuid
 
+import pytest
 
 from flowlog.config import LOG_COLUMNS
 from flowlog.operators.eventlog import mining_view, with_case_duration
@@ -9,7 +10,7 @@ from flowlog.session import checkpoint_dir
 from flowlog.sources.files import read_delimited, write_delimited
 from flowlog.sources.xes import export_xes, read_xes
 from flowlog.streaming.ingest import IngestSource, ingest_all, ingest_to_bronze, read_bronze
-from tests.conftest import SF001
+from tests.conftest import SF001, make_log
 
 
 def _root(spark):
@@ -79,3 +80,44 @@ def test_xes_round_trip_is_lossless(spark):
     assert back.exceptAll(orig).count() == 0 and orig.exceptAll(back).count() == 0
     months = [d for d in os.listdir(path) if d.startswith("month=")]
     assert len(months) > 12
+
+
+def test_xes_traces_are_lines_that_split(spark):
+    # one line a trace, so a file is read by many tasks; line breaks and markup in values survive
+    odd = ["a\nb", "a\r\nb", "tab\tend", "<x a='1'>&amp;\"", "]]>", "line\u2028sep\u0085", "</trace>", "<log x", ""]
+    log = make_log(spark, [(f"c{i}{v}", v, f"2024-01-0{1 + i % 9} 10:00:00", v, v) for i, v in enumerate(odd)]
+                   + [("c0", "later", "2024-02-01 10:00:00", "s", None)])
+    path = os.path.join(_root(spark), "xes")
+    export_xes(log, path, single_file=True)
+    lines = [r.value for r in spark.read.option("lineSep", "\n").text(path).collect()]
+    assert sum(x.startswith("<trace>") and x.endswith("</trace>") for x in lines) == len(odd) + 1
+    columns = ["case_id", "activity", "source", "specialty", "timestamp"]
+    want = sorted(map(str, log.select(*columns).collect()))
+    assert sorted(map(str, read_xes(spark, path).select(*columns).collect())) == want
+    assert sorted(map(str, read_xes(spark, path, trace_per_line=False).select(*columns).collect())) == want
+    with_parts = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        split = read_xes(spark, path)
+        assert split.rdd.getNumPartitions() > len([f for f in spark.read.text(path).inputFiles()])
+        assert sorted(map(str, split.select(*columns).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", with_parts)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_xes_over_several_lines_is_read_by_file_and_fails_by_line(spark):
+    path = os.path.join(_root(spark), "xes")
+    _write(os.path.join(path, "month=2024-01"), "a.xml", """<?xml version="1.0"?>
+<log>
+  <trace>
+    <string key="concept:name" value="c1"/>
+    <event><string key="concept:name" value="A"/><string key="source" value="s"/>
+      <date key="time:timestamp" value="2024-01-01T00:00:00.000000Z"/></event>
+  </trace>
+</log>
+""")
+    assert [(r.case_id, r.activity, r.source) for r in read_xes(spark, path, trace_per_line=False).collect()] == [("c1", "A", "s")]
+    with pytest.raises(Exception, match="not a whole trace"):
+        read_xes(spark, path).collect()
