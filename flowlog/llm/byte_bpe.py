@@ -26,11 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from flowlog.llm.common import as_bytes, ship_package
+from flowlog.llm.common import ship_package, text_runs
 
-MEMO = 1 << 18          # stretches in one of the two generations that a worker remembers
+MEMO = 1 << 17          # stretches in one of the two generations that a worker remembers
 TOGETHER = 128          # new stretches encoded in one call
-BATCH_BYTES = 1 << 20   # text encoded between two emitted batches
 
 # one space between two characters that are not white space: always a boundary of the split pattern
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -136,19 +135,6 @@ def codec(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
 
 
-def _batches(batch: pa.RecordBatch, column: str):
-    """Slices of about BATCH_BYTES of text (one very long text is a slice of its own)."""
-    values = as_bytes(batch.column(column))
-    start, held = 0, 0
-    for i, v in enumerate(values):
-        if held and held + len(v) > BATCH_BYTES:
-            yield batch.slice(start, i - start), values[start:i]
-            start, held = i, 0
-        held += len(v)
-    if start < len(values):
-        yield batch.slice(start), values[start:]
-
-
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids",
            count_col: str = "n_tokens", decoded_col: str | None = None) -> DataFrame:
     """``docs`` without its text, with ids (packed unsigned 32-bit), their number and, if named, the bytes decoded from them."""
@@ -162,14 +148,13 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
 
     def run(batches):
         bpe = codec(path, pattern)
-        for batch in batches:
-            for part, values in _batches(batch, text_col):
-                ids = bpe.encode_batch([v.decode("utf-8", "replace") for v in values])
-                columns = [part.column(n) for n in keep]
-                columns += [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
-                if decoded_col:
-                    columns.append(pa.array([bpe.decode(x) for x in ids], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
+        for part, values in text_runs(batches, text_col):
+            ids = bpe.encode_batch([v.decode("utf-8", "replace") for v in values])
+            columns = [part.column(n) for n in keep]
+            columns += [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
+            if decoded_col:
+                columns.append(pa.array([bpe.decode(x) for x in ids], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
     return docs.select(*keep, text_col).mapInArrow(run, schema)
 

@@ -542,3 +542,33 @@ def test_packed_keys_round_trip():
     keys = np.unique(np.random.default_rng(2).integers(0, 2**64, 1000, dtype=np.uint64))
     assert (common.unpack_keys(common.pack_keys(keys)) == keys).all()
     assert sum(b - a for _, a, b in common.owner_slices(keys, 6)) == len(keys)
+
+
+def test_bpe_holds_one_part_of_a_batch(monkeypatch, spark):
+    # the texts of a whole Arrow batch are never copied at once into the worker
+    import tracemalloc
+
+    class Codec:
+        def encode_batch(self, texts):
+            return [b"\x01\x00\x00\x00" for _ in texts]
+
+    class Docs:
+        sparkSession = spark
+        schema = spark.createDataFrame([], "doc_id long, text string").schema
+
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(byte_bpe, "codec", lambda *_: Codec())
+    run = byte_bpe.encode(Docs(), "", "")
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(160)), "text": ["x" * 100_000] * 159 + [None]})
+    tracemalloc.start()
+    try:
+        rows = sum(out.num_rows for out in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 160 and peak < 6 * common.SLICE_BYTES
