@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from flowlog.llm.common import ship_package, text_runs
+from flowlog.llm.common import release_memory, ship_package, text_runs
 
-MEMO = 1 << 17          # stretches in one of the two generations that a worker remembers
+MEMO = 1 << 15          # stretches in one of the two generations that a worker remembers
 TOGETHER = 128          # new stretches encoded in one call
 
 # one space between two characters that are not white space: always a boundary of the split pattern
@@ -132,7 +132,9 @@ class ByteBpe:
 
 @functools.lru_cache(maxsize=4)
 def codec(path: str, pattern: str) -> ByteBpe:
-    return ByteBpe(path, pattern)
+    made = ByteBpe(path, pattern)
+    release_memory()        # building takes twice what the model keeps
+    return made
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -48,18 +49,28 @@ def as_bytes(column) -> list[bytes]:
     return [b"" if x is None else x for x in pc.cast(column, pa.binary()).to_pylist()]
 
 
+def release_memory() -> None:
+    """Give memory that is no longer used back to the system: a Python worker waits for its next task with all it ever took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def text_runs(batches, text_col: str):
-    """(part of a batch, its texts as bytes), part by part, so that no copy of a whole batch's texts is held."""
+    """(part of a batch, its texts as bytes), part by part, so that no copy of a whole batch's texts is held; then memory is released."""
     for batch in batches:
         column = batch.column(text_col)
         lengths = pc.fill_null(pc.binary_length(pc.cast(column, pa.binary())), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths, dtype=np.int64)
-        at = 0
+        at, part = 0, None
         while at < len(ends):
             to = max(at + 1, int(np.searchsorted(ends, (int(ends[at - 1]) if at else 0) + SLICE_BYTES, side="right")))
             part = batch.slice(at, to - at)
             yield part, as_bytes(part.column(text_col))
             at = to
+        del batch, column, part
+        release_memory()
 
 
 def lower_words(text: bytes) -> list[bytes]:

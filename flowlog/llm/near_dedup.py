@@ -47,7 +47,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from flowlog.llm.common import U64, as_bytes, hash_words, discard, lower_words, materialise, mix, ship_package
+from flowlog.llm.common import U64, as_bytes, hash_words, discard, lower_words, materialise, mix, release_memory, ship_package
 
 SKETCH = 32
 LIST_MAX = 32
@@ -105,6 +105,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, sketch: in
                     [batch.column(id_col).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([_class_of(s) if len(s) else None for s in sets], pa.int64()),
                      pa.array([s[:sketch] for s in sets], pa.list_(pa.int64()))], names=[id_col, "n_shingles", "cls", "sketch"])
+            batch = values = sets = None
+            release_memory()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_shingles long, cls long, sketch array<long>")
@@ -118,6 +120,8 @@ def full_sets(docs: DataFrame, text_col: str, width: int) -> DataFrame:
                 sets = [s for s in shingle_sets(values[a:b], width) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([_class_of(s) for s in sets], pa.int64()),
                                                   pa.array(sets, pa.list_(pa.int64()))], names=["cls", "shingles"])
+            batch = values = sets = None
+            release_memory()
 
     return docs.select(text_col).mapInArrow(run, "cls long, shingles array<long>")
 
